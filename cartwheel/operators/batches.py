@@ -1,0 +1,32 @@
+"""Arrow-batch script hook (V8): the warehouse's ``TRANSFORM(col) USING
+'script'`` re-expressed as ``mapInPandas``. Each task streams Arrow record
+batches through a Python function; nothing is collected per key or on the
+driver. The default body is the segmenter used across the library."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+
+# Fixed value: a token is a maximal run of Unicode letters (as TOKEN_PATTERN).
+_LETTERS = r"\p{L}+"
+
+
+def _segment_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import regex
+    pat = regex.compile(_LETTERS)
+    for pdf in batches:
+        seg = [" ".join(pat.findall(t.lower())) if isinstance(t, str) else None for t in pdf["text"]]
+        yield pd.DataFrame({"doc_id": pdf["doc_id"], "seg": seg})
+
+
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
+                schema: str) -> DataFrame:
+    """Run ``fn`` over the frame's Arrow batches (one Python worker per task)."""
+    return df.mapInPandas(fn, schema)
+
+
+def map_tokenize(docs: DataFrame) -> DataFrame:
+    return map_batches(docs.select("doc_id", "text"), _segment_batches, "doc_id long, seg string")

@@ -1 +1,176 @@
-"""Catalog module."""
+"""Catalog: file sources, table sinks and table maintenance.
+
+Each query writes its table below the session's shared folder, reads it back
+and returns what was read, so the oracle checks the round trip."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..functions.typed import to_int
+from ..operators.batches import map_tokenize
+from ..session import scratch_path
+from ..sinks import tables as SK
+from ..sources import fixtures as FXS
+from ..sources.corpus import LABEL_RULES, UNKNOWN_LABEL, read_corpus
+from ..sources.tables import delimited_load, external_table, load_table, text_lines
+from .registry import query
+
+ORDER_COLS = FXS.ORDER_COLUMNS
+
+
+def _name(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+def _events_by_day(spark, sf):
+    """Events written as a daily-partitioned table (dt = yyyyMMdd)."""
+    path = scratch_path(spark, "events_dt")
+    e = load_table(spark, sf, "events").select(
+        "event_id", "event_type", F.date_format("ts", "yyyyMMdd").alias("dt"))
+    SK.insert_partitioned(e, path, ["dt"], mode="overwrite")
+    return SK.read_partitioned(spark, path, ["dt"])
+
+
+@query("delimited_load", ops=("S2",), fx=("fx_orders",), sql="SELECT * FROM fx_orders")
+def q_delimited_load(spark, sf):
+    path = scratch_path(spark, "orders_csv")
+    SK.save_delimited(FXS.fx_orders(spark, sf), path, ",")
+    return delimited_load(spark, path, ORDER_COLS, ",")
+
+
+@query("text_lines", ops=("S3",), sql="""
+SELECT unnest(string_split(text, chr(10))) AS sentence FROM documents""")
+def q_text_lines(spark, sf):
+    path = scratch_path(spark, "article")
+    SK.save_text(load_table(spark, sf, "documents"), path, F.col("text"))
+    return text_lines(spark, path, "sentence")
+
+
+@query("external_table", ops=("S4",), fx=("fx_ratings",), sql="""
+SELECT user_id, item_id, rating FROM fx_ratings WHERE rating = 5""")
+def q_external_table(spark, sf):
+    path = scratch_path(spark, "ext")
+    SK.overwrite(FXS.fx_ratings(spark, sf).filter(F.col("rating") == 5), path)
+    name = _name("ext")
+    external_table(spark, name, path).count()
+    spark.sql(f"DROP TABLE {name}")            # drops metadata only
+    return spark.read.parquet(path)
+
+
+_LABEL_SQL = "CASE " + " ".join(f"WHEN host LIKE '%{r}%' THEN '{r}'" for r in LABEL_RULES) + f" ELSE '{UNKNOWN_LABEL}' END"
+
+
+@query("corpus_ingest", ops=("S5", "X13", "X14"), sql=f"""
+SELECT page_id, replace(replace(html, chr(10), ''), ' ', '') AS sentence, {_LABEL_SQL} AS label,
+       replace(html, chr(10), '') AS segs
+FROM (SELECT page_id, html, regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS host FROM pages) p""")
+def q_corpus_ingest(spark, sf):
+    """Pages stored one file per page under host=/page_id= folders, then
+    ingested recursively as whole files."""
+    root = scratch_path(spark, "corpus")
+    p = load_table(spark, sf, "pages").select(
+        "page_id", "html", F.regexp_extract("url", r"^[a-z]+://([^/:?#]+)", 1).alias("host"))
+    p.repartition("page_id").write.mode("overwrite").partitionBy("host", "page_id").text(root)
+    c = read_corpus(spark, root)
+    return c.select(F.regexp_extract("path", r"page_id=(\d+)", 1).cast("bigint").alias("page_id"),
+                    "sentence", "label", "segs")
+
+
+@query("partition_range_scan", ops=("S6",), sql="""
+SELECT event_id, event_type, strftime(ts, '%Y%m%d') AS dt FROM events
+WHERE strftime(ts, '%Y%m%d') BETWEEN '20240105' AND '20240111'""")
+def q_partition_range_scan(spark, sf):
+    return _events_by_day(spark, sf).filter(F.col("dt").between("20240105", "20240111"))
+
+
+@query("snapshot_retention", ops=("K7",), sql="""
+SELECT event_id, event_type, strftime(ts, '%Y%m%d') AS dt FROM events
+WHERE strftime(ts, '%Y%m%d') IN (SELECT DISTINCT strftime(ts, '%Y%m%d') AS d FROM events ORDER BY d DESC LIMIT 7)""")
+def q_snapshot_retention(spark, sf):
+    return SK.retain_latest(_events_by_day(spark, sf), "dt", 7)
+
+
+@query("overwrite_readback", ops=("K1",), fx=("fx_orders",), sql="SELECT * FROM fx_orders WHERE eval_set = 'train'")
+def q_overwrite_readback(spark, sf):
+    o = FXS.fx_orders(spark, sf)
+    name, path = _name("orders_tbl"), scratch_path(spark, "orders_tbl")
+    SK.save_as_table(o.filter(F.col("eval_set") == "test"), name, path)
+    t = SK.save_as_table(o.filter(F.col("eval_set") == "train"), name, path)   # overwrite
+    return t.select(*ORDER_COLS)
+
+
+@query("ctas_readback", ops=("K2",), fx=("fx_ratings",), sql="""
+SELECT user_id, item_id, rating FROM fx_ratings WHERE ((user_id % 4) + 4) % 4 = 0""")
+def q_ctas_readback(spark, sf):
+    view = _name("udata")
+    FXS.fx_ratings(spark, sf).createOrReplaceTempView(view)
+    return SK.ctas(spark, _name("tmp1"), scratch_path(spark, "tmp1"),
+                   f"SELECT user_id, item_id, rating FROM {view} WHERE pmod(user_id, 4) = 0")
+
+
+@query("static_partition_overwrite", ops=("K3",), sql="""
+SELECT doc_id, lang, '20180821' AS dt FROM documents
+UNION ALL SELECT doc_id, lang, '20180822' AS dt FROM documents WHERE lang = 'en'""")
+def q_static_partition_overwrite(spark, sf):
+    path = scratch_path(spark, "art_dt")
+    d = load_table(spark, sf, "documents").select("doc_id", "lang")
+    both = d.withColumn("dt", F.lit("20180821")).unionByName(d.withColumn("dt", F.lit("20180822")))
+    SK.insert_partitioned(both, path, ["dt"], mode="overwrite")
+    SK.overwrite_partitions(d.filter(F.col("lang") == "en").withColumn("dt", F.lit("20180822")), path, ["dt"])
+    return SK.read_partitioned(spark, path, ["dt"]).select("doc_id", "lang", "dt")
+
+
+def _order_part(spark, sf):
+    path = scratch_path(spark, "order_part")
+    SK.insert_partitioned(FXS.fx_orders(spark, sf), path, ["order_dow"], mode="overwrite")
+    return SK.read_partitioned(spark, path, ["order_dow"])
+
+
+@query("dynamic_partition_insert", ops=("K4",), fx=("fx_orders",), sql="SELECT * FROM fx_orders")
+def q_dynamic_partition_insert(spark, sf):
+    return _order_part(spark, sf).select(*ORDER_COLS)
+
+
+@query("list_partitions", ops=("K6",), fx=("fx_orders",), sql="""
+SELECT order_dow, count(*) AS rows FROM fx_orders GROUP BY order_dow""")
+def q_list_partitions(spark, sf):
+    return SK.list_partitions(_order_part(spark, sf), "order_dow")
+
+
+@query("bucketed_write", ops=("K8",), fx=("fx_ratings",), sql="SELECT user_id, item_id, rating FROM fx_ratings")
+def q_bucketed_write(spark, sf):
+    return SK.bucketed_save(FXS.fx_ratings(spark, sf), _name("bucket_users"),
+                            scratch_path(spark, "bucket_users"), 4, "user_id")
+
+
+@query("wide_column_cells", ops=("K9", "O3"), fx=("fx_orders",), sql="""
+SELECT user_id AS row_key, 'id' AS family, 'order' AS qualifier,
+       arg_max(order_id, CAST(order_number AS INTEGER)) AS value FROM fx_orders GROUP BY user_id
+UNION ALL
+SELECT user_id, 'num', 'dow', arg_max(order_dow, CAST(order_number AS INTEGER)) FROM fx_orders GROUP BY user_id""")
+def q_wide_column_cells(spark, sf):
+    o = FXS.fx_orders(spark, sf).withColumn("version", to_int("order_number"))
+    cells = SK.to_cells(o, "user_id", [("id", "order", "order_id"), ("num", "dow", "order_dow")], "version")
+    path = scratch_path(spark, "hcells")
+    SK.overwrite(cells, path)
+    return spark.read.parquet(path)
+
+
+@query("text_save", ops=("K10",), fx=("fx_orders",), sql="""
+SELECT '(' || user_id || ',(' || order_number || ',' || order_hour_of_day || '))' AS value FROM fx_orders""")
+def q_text_save(spark, sf):
+    o = FXS.fx_orders(spark, sf)
+    line = F.concat(F.lit("("), F.col("user_id"), F.lit(",("), F.col("order_number"), F.lit(","),
+                    F.col("order_hour_of_day"), F.lit("))"))
+    path = scratch_path(spark, "pairs_txt")
+    SK.save_text(o, path, line)
+    return spark.read.text(path)
+
+
+@query("map_batches", ops=("V8",), sql="""
+SELECT doc_id, array_to_string(regexp_extract_all(lower(text), '\\p{L}+'), ' ') AS seg FROM documents""")
+def q_map_batches(spark, sf):
+    return map_tokenize(load_table(spark, sf, "documents").select("doc_id", "text"))

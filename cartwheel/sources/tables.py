@@ -30,10 +30,10 @@ def string_schema(names: list[str] | str) -> T.StructType:
 def delimited_load(spark: SparkSession, path: str, columns: list[str] | str,
                    sep: str = ",") -> DataFrame:
     """Delimited text without header, every column a string (the warehouse
-    text-table contract). The schema is given, never inferred, so the scan is
+    text-table contract: an empty field is '', NULL is written \\N). The schema is given, never inferred, so the scan is
     one pass and splits across files freely."""
     return (spark.read.schema(string_schema(columns))
-            .option("sep", sep).option("header", "false")
+            .option("sep", sep).option("header", "false").option("nullValue", "\\N")
             .option("mode", "PERMISSIVE").csv(path))
 
 
