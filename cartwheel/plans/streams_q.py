@@ -1 +1,125 @@
-"""Catalog module."""
+"""Catalog: Structured Streaming jobs (F1-F9, S12-S13, K5, K11) and JSON parsing.
+
+Each streaming query stages its input from the test tables as files, runs a
+real streaming query to completion (``availableNow``), and returns the
+sink's table read back. The oracle is the SQL of the same batch aggregate."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import scratch_path
+from ..sources import fixtures as FXS
+from ..sources.tables import load_table
+from ..streaming import counts as SC
+from ..streaming import ingest as SI
+from ..streaming import sources as SS
+from .registry import query
+
+WORDS_SQL = """(SELECT ts, unnest(string_split(event_type || ' ' || CAST(user_id AS VARCHAR), ' ')) AS word FROM events)"""
+
+# Commit positions used by the resume query (partition -> committed offset):
+# one below the earliest offset, one past the latest, one inside, and
+# partition 3 without a commit.
+COMMITTED = [(FXS.OFFSET_TOPIC, 0, 5), (FXS.OFFSET_TOPIC, 1, 999999), (FXS.OFFSET_TOPIC, 2, 150)]
+INGEST_DT = "20181212"
+
+
+def _lines(spark, sf):
+    src = SS.stage_lines(spark, sf, scratch_path(spark, "lines"))
+    return SS.text_stream(spark, src, max_files_per_trigger=1)
+
+
+def _read_batches(spark, out):
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@query("stream_batch_wordcount", ops=("F1", "S12", "S13", "K11", "F10"), sql=f"""
+SELECT strftime(ts, '%Y-%m-%d') AS day, word, count(*) AS cnt FROM {WORDS_SQL} w GROUP BY 1, 2""")
+def q_stream_batch_wordcount(spark, sf):
+    out = scratch_path(spark, "wc_batches")
+    SC.per_batch_word_counts(_lines(spark, sf), out, scratch_path(spark, "chk"))
+    return _read_batches(spark, out).select("day", "word", "cnt")
+
+
+@query("stream_line_count", ops=("F2",), sql="""
+SELECT strftime(ts, '%Y-%m-%d') AS day, event_type || ' ' || CAST(user_id AS VARCHAR) AS line, count(*) AS cnt
+FROM events GROUP BY 1, 2""")
+def q_stream_line_count(spark, sf):
+    out = scratch_path(spark, "lc_batches")
+    SC.per_batch_line_counts(_lines(spark, sf), out, scratch_path(spark, "chk"))
+    return _read_batches(spark, out).select("day", "line", "cnt")
+
+
+@query("stream_running_count", ops=("F3", "F6"), sql=f"""
+SELECT word, count(*) AS cnt FROM {WORDS_SQL} w GROUP BY word""")
+def q_stream_running_count(spark, sf):
+    out = scratch_path(spark, "wc_running")
+    SC.running_word_counts(_lines(spark, sf), out, scratch_path(spark, "chk"))
+    return spark.read.parquet(out).select("word", "cnt")
+
+
+@query("stream_custom_state", ops=("F4", "V10"), sql=f"""
+SELECT word, count(*) AS cnt FROM {WORDS_SQL} w GROUP BY word""")
+def q_stream_custom_state(spark, sf):
+    out = scratch_path(spark, "wc_state")
+    SC.custom_state_counts(_lines(spark, sf), out, scratch_path(spark, "chk"))
+    return _read_batches(spark, out).groupBy("word").agg(F.max("cnt").alias("cnt"))
+
+
+@query("stream_sliding_count", ops=("F5",), sql="""
+SELECT strftime(make_timestamp(s), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(make_timestamp(s + 20000000), '%Y-%m-%d %H:%M:%S') AS window_end, word, count(*) AS cnt
+FROM (SELECT event_type AS word, (epoch_us(ts) - epoch_us(ts) % 4000000) - 4000000 * i AS s
+      FROM events CROSS JOIN range(5) r(i)) w
+GROUP BY s, word""")
+def q_stream_sliding_count(spark, sf):
+    src = SS.stage_events(spark, sf, scratch_path(spark, "events_stream"))
+    out = scratch_path(spark, "sliding")
+    SC.sliding_window_counts(SS.event_stream(spark, src), out, scratch_path(spark, "chk"))
+    return spark.read.parquet(out)
+
+
+@query("stream_json_append", ops=("F7", "K5"), fx=("fx_offsets",), sql=f"""
+SELECT json_extract_string(value, '$.order_id') AS order_id, json_extract_string(value, '$.user_id') AS user_id,
+       '{INGEST_DT}' AS dt FROM fx_offsets""")
+def q_stream_json_append(spark, sf):
+    src = SS.stage_messages(spark, sf, scratch_path(spark, "messages"))
+    msgs = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+    out, bad = scratch_path(spark, "order_partition"), scratch_path(spark, "quarantine")
+    SI.ingest_json(msgs, INGEST_DT, out, bad, scratch_path(spark, "chk"))
+    t = spark.read.option("basePath", out).parquet(out)
+    return t.select("order_id", "user_id", F.col("dt").cast("string").alias("dt"))
+
+
+@query("json_extract", ops=("X16",), sql="""
+SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""")
+def q_json_extract(spark, sf):
+    e = load_table(spark, sf, "events").select("event_id", "props")
+    p = SI.parse_json(e, T.StructType([T.StructField("k", T.IntegerType())]), "props")
+    return p.select("event_id", "k")
+
+
+@query("offset_ranges", ops=("F8",), fx=("fx_offsets",), sql="""
+SELECT topic, "partition", min("offset") AS from_offset, max("offset") + 1 AS until_offset
+FROM fx_offsets GROUP BY topic, "partition\"""")
+def q_offset_ranges(spark, sf):
+    return SI.offset_ranges(FXS.fx_offsets(spark, sf))
+
+
+_COMMITTED_SQL = " UNION ALL ".join(f"SELECT '{t}' AS topic, {p} AS \"partition\", CAST({o} AS BIGINT) AS committed"
+                                    for t, p, o in COMMITTED)
+
+
+@query("resume_from_offsets", ops=("F9",), fx=("fx_offsets",), sql=f"""
+WITH c AS ({_COMMITTED_SQL}),
+b AS (SELECT topic, "partition", min("offset") AS low, max("offset") + 1 AS high FROM fx_offsets GROUP BY 1, 2),
+s AS (SELECT b.topic, b."partition",
+             CASE WHEN c.committed IS NULL THEN b.low ELSE GREATEST(b.low, LEAST(c.committed, b.high)) END AS start
+      FROM b LEFT JOIN c ON b.topic = c.topic AND b."partition" = c."partition")
+SELECT l.topic, l."partition", l."offset", l.value FROM fx_offsets l
+JOIN s ON l.topic = s.topic AND l."partition" = s."partition" WHERE l."offset" >= s.start""")
+def q_resume_from_offsets(spark, sf):
+    committed = spark.createDataFrame(COMMITTED, "topic string, partition int, committed long")
+    return SI.resume_from(FXS.fx_offsets(spark, sf), committed).select("topic", "partition", "offset", "value")
