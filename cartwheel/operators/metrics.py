@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def confusion_matrix(pred: DataFrame, label: str = "label_index", prediction: str = "prediction") -> DataFrame:
     """(label, prediction, cnt)."""
@@ -66,26 +68,31 @@ def running_totals(df: DataFrame, order: str, cols: list[str], buckets: int = 64
     return out.select(order, *cols, *[(F.col(f"{c}_off") + F.sum(c).over(inner)).alias(f"cum_{c}") for c in cols])
 
 
+def roc_points(scored: DataFrame, score: str = "score", label: str = "label", buckets: int = 64):
+    """Per distinct score: pos, neg and their running sums from the highest
+    score down, plus the totals (P, N) as scalar columns. The per-score table
+    is read by several passes, so it is checkpointed once."""
+    per = cut_lineage(scored.groupBy(F.col(score).alias("threshold")).agg(
+        F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("pos"),
+        F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("neg")))
+    p = per.agg(F.sum("pos")).scalar()
+    n = per.agg(F.sum("neg")).scalar()
+    return running_totals(per, "threshold", ["pos", "neg"], buckets), p, n
+
+
 def roc_curve(scored: DataFrame, score: str = "score", label: str = "label", buckets: int = 64) -> DataFrame:
     """One ROC point per distinct score, highest first: (threshold, fpr, tpr)."""
-    per = scored.groupBy(F.col(score).alias("threshold")).agg(
-        F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("pos"),
-        F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("neg"))
-    tot = scored.agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("p"),
-                     F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("n"))
-    p, n = tot.select("p").scalar(), tot.select("n").scalar()
-    cum = running_totals(per, "threshold", ["pos", "neg"], buckets)
+    cum, p, n = roc_points(scored, score, label, buckets)
     return cum.select("threshold", F.try_divide(F.col("cum_neg").cast("double"), n.cast("double")).alias("fpr"),
                       F.try_divide(F.col("cum_pos").cast("double"), p.cast("double")).alias("tpr"))
 
 
-def auc(roc: DataFrame, buckets: int = 64) -> DataFrame:
-    """Area under the ROC points by the trapezoid rule, starting at (0, 0):
-    sum (fpr_i - fpr_{i-1}) (tpr_i + tpr_{i-1}) / 2. Points are numbered with
-    the same two-level running count, and each point meets its predecessor
-    through an equi join on the number."""
-    numbered = running_totals(roc.withColumn("one", F.lit(1)), "threshold", ["one"], buckets)
-    cur = numbered.select(F.col("cum_one").alias("i"), "threshold").join(roc, "threshold")
-    prev = cur.select((F.col("i") + 1).alias("i"), F.col("fpr").alias("fpr0"), F.col("tpr").alias("tpr0"))
-    pairs = cur.join(prev, "i", "left").na.fill(0.0, ["fpr0", "tpr0"])
-    return pairs.agg(F.sum((F.col("fpr") - F.col("fpr0")) * (F.col("tpr") + F.col("tpr0")) / 2).alias("auc"))
+def auc(scored: DataFrame, score: str = "score", label: str = "label", buckets: int = 64) -> DataFrame:
+    """Area under the ROC curve by the trapezoid rule from (0, 0). Between a
+    point and its predecessor, fpr grows by neg_i / N and tpr_i + tpr_(i-1)
+    = (2 cum_pos_i - pos_i) / P, so the area is
+    sum(neg_i (2 cum_pos_i - pos_i)) / (2 N P) - one pass over the running
+    sums, integer arithmetic until the final division."""
+    cum, p, n = roc_points(scored, score, label, buckets)
+    area = F.sum(F.col("neg") * (2 * F.col("cum_pos") - F.col("pos")))
+    return cum.agg(F.try_divide(area.cast("double"), (2 * n * p).cast("double")).alias("auc"))

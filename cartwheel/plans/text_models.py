@@ -190,4 +190,4 @@ SELECT round(sum((fpr - fpr0) * (tpr + tpr0) / 2), 6) AS auc FROM (
   SELECT fpr, tpr, COALESCE(lag(fpr) OVER (ORDER BY threshold DESC), 0) AS fpr0,
          COALESCE(lag(tpr) OVER (ORDER BY threshold DESC), 0) AS tpr0 FROM roc) z""")
 def q_auc(spark, sf):
-    return round_doubles(M.auc(M.roc_curve(_roc_input(spark, sf))))
+    return round_doubles(M.auc(_roc_input(spark, sf)))

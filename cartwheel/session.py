@@ -45,10 +45,12 @@ def shared_dir(spark: SparkSession) -> str:
     when neither is set - a test or a laptop - is a fresh folder created and
     registered, so later calls in the same session reuse it.
     """
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
         return d.rstrip("/")
-    sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d.rstrip("/")
@@ -61,3 +63,11 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder (reliable, survives
+    executor loss) and continue from the written copy. Used where a result is
+    read by several later passes."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
