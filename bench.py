@@ -36,6 +36,14 @@ def main() -> int:
     reg = load_all()
     spark.read.parquet(f"{sf_dir}/region.parquet").count()          # warm the JVM
     times: dict[str, float] = {}
+    # The reference reads its shopping / rating / corpus tables from the
+    # warehouse; here they are derived from the test tables first. That
+    # derivation is timed as its own entry and counted in the total.
+    from cartwheel.sources import fixtures as fx
+    t0 = time.perf_counter()
+    for name in fx.DERIVED:
+        fx.load(spark, sf_dir, name)
+    times["fixtures"] = round(time.perf_counter() - t0, 3)
     for name in names:
         t0 = time.perf_counter()
         reg[name].fn(spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -13,11 +13,11 @@ OPT = ("fx_orders", "fx_prior", "fx_trains")
 
 
 def _op(spark, sf):
-    return FXS.fx_orders(spark, sf), FXS.fx_prior(spark, sf)
+    return FXS.load(spark, sf, "fx_orders"), FXS.load(spark, sf, "fx_prior")
 
 
 def _opt(spark, sf):
-    return FXS.fx_orders(spark, sf), FXS.fx_prior(spark, sf), FXS.fx_trains(spark, sf)
+    return FXS.load(spark, sf, "fx_orders"), FXS.load(spark, sf, "fx_prior"), FXS.load(spark, sf, "fx_trains")
 
 
 # SQL building blocks (DuckDB dialect)
@@ -47,7 +47,7 @@ CROSS = """(SELECT o.user_id, p.product_id, count(*) AS orders_cnt, avg(CAST(p.a
 @query("feat_product", ops=("B1",), fx=("fx_prior",), sql=f"""
 SELECT product_id, prod_sum_rod, round(prod_rod_rate, 6) AS prod_rod_rate, prod_cnt FROM {PROD_FEAT} t""")
 def q_feat_product(spark, sf):
-    return round_doubles(FE.product_features(FXS.fx_prior(spark, sf)))
+    return round_doubles(FE.product_features(FXS.load(spark, sf, "fx_prior")))
 
 
 @query("feat_product_with_count", ops=("B2",), fx=("fx_prior",), sql="""
@@ -55,13 +55,13 @@ SELECT product_id, count(*) AS "count", CAST(sum(CAST(reordered AS INTEGER)) AS
        round(avg(CAST(reordered AS INTEGER)), 6) AS prod_rod_rate, count(product_id) AS prod_cnt
 FROM fx_prior GROUP BY product_id""")
 def q_feat_product_with_count(spark, sf):
-    return round_doubles(FE.product_features_with_count(FXS.fx_prior(spark, sf)))
+    return round_doubles(FE.product_features_with_count(FXS.load(spark, sf, "fx_prior")))
 
 
 @query("feat_user_gap", ops=("B3",), fx=("fx_orders",), sql=f"""
 SELECT user_id, round(avg({GAP0_INT}), 6) AS u_avg_day_gap FROM fx_orders GROUP BY user_id""")
 def q_feat_user_gap(spark, sf):
-    return round_doubles(FE.user_gap(FXS.fx_orders(spark, sf)))
+    return round_doubles(FE.user_gap(FXS.load(spark, sf, "fx_orders")))
 
 
 @query("feat_user", ops=("B4", "B5", "B6"), fx=OP, sql=f"""
@@ -122,7 +122,7 @@ def q_feat_user_product_orders(spark, sf):
 @query("feat_product_position", ops=("B11",), fx=("fx_prior",), sql="""
 SELECT product_id, round(avg(CAST(add_to_cart_order AS INTEGER)), 6) AS p_position FROM fx_prior GROUP BY product_id""")
 def q_feat_product_position(spark, sf):
-    return round_doubles(FE.product_position(FXS.fx_prior(spark, sf)))
+    return round_doubles(FE.product_position(FXS.load(spark, sf, "fx_prior")))
 
 
 @query("feat_user_product_rate", ops=("B13", "W5"), fx=OP, sql="""

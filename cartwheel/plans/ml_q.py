@@ -14,7 +14,7 @@ from .registry import query
 
 
 def _matrix(spark, sf):
-    return FE.train_matrix(FXS.fx_orders(spark, sf), FXS.fx_prior(spark, sf), FXS.fx_trains(spark, sf))
+    return FE.train_matrix(FXS.load(spark, sf, "fx_orders"), FXS.load(spark, sf, "fx_prior"), FXS.load(spark, sf, "fx_trains"))
 
 
 @query("lr_reorder_predict", ops=("C4", "C6"))
@@ -26,20 +26,20 @@ def q_lr_reorder_predict(spark, sf):
 @query("lr_full_predict", ops=("C4", "C6"))
 def q_lr_full_predict(spark, sf):
     """The 13-term formula on the full matrix (order context + cross features)."""
-    m = FE.train_matrix_full(FXS.fx_orders(spark, sf), FXS.fx_prior(spark, sf), FXS.fx_trains(spark, sf))
+    m = FE.train_matrix_full(FXS.load(spark, sf, "fx_orders"), FXS.load(spark, sf, "fx_prior"), FXS.load(spark, sf, "fx_trains"))
     _, pred = MD.logistic_regression(m, MD.FORMULA_13, train_pct=70)
     return round_doubles(pred)
 
 
 @query("kmeans_assign", ops=("E5",))
 def q_kmeans_assign(spark, sf):
-    assign, _ = MD.kmeans_assign(FXS.fx_docs(spark, sf))
+    assign, _ = MD.kmeans_assign(FXS.load(spark, sf, "fx_docs"))
     return assign
 
 
 @query("model_roundtrip", ops=("K12",))
 def q_model_roundtrip(spark, sf):
-    return MD.model_roundtrip(spark, FXS.fx_docs(spark, sf), scratch_path(spark, "nb_model"))
+    return MD.model_roundtrip(spark, FXS.load(spark, sf, "fx_docs"), scratch_path(spark, "nb_model"))
 
 
 def _libsvm_sql() -> str:

@@ -37,7 +37,7 @@ def _events_by_day(spark, sf):
 @query("delimited_load", ops=("S2",), fx=("fx_orders",), sql="SELECT * FROM fx_orders")
 def q_delimited_load(spark, sf):
     path = scratch_path(spark, "orders_csv")
-    SK.save_delimited(FXS.fx_orders(spark, sf), path, ",")
+    SK.save_delimited(FXS.load(spark, sf, "fx_orders"), path, ",")
     return delimited_load(spark, path, ORDER_COLS, ",")
 
 
@@ -53,7 +53,7 @@ def q_text_lines(spark, sf):
 SELECT user_id, item_id, rating FROM fx_ratings WHERE rating = 5""")
 def q_external_table(spark, sf):
     path = scratch_path(spark, "ext")
-    SK.overwrite(FXS.fx_ratings(spark, sf).filter(F.col("rating") == 5), path)
+    SK.overwrite(FXS.load(spark, sf, "fx_ratings").filter(F.col("rating") == 5), path)
     name = _name("ext")
     external_table(spark, name, path).count()
     spark.sql(f"DROP TABLE {name}")            # drops metadata only
@@ -95,7 +95,7 @@ def q_snapshot_retention(spark, sf):
 
 @query("overwrite_readback", ops=("K1",), fx=("fx_orders",), sql="SELECT * FROM fx_orders WHERE eval_set = 'train'")
 def q_overwrite_readback(spark, sf):
-    o = FXS.fx_orders(spark, sf)
+    o = FXS.load(spark, sf, "fx_orders")
     name, path = _name("orders_tbl"), scratch_path(spark, "orders_tbl")
     SK.save_as_table(o.filter(F.col("eval_set") == "test"), name, path)
     t = SK.save_as_table(o.filter(F.col("eval_set") == "train"), name, path)   # overwrite
@@ -106,7 +106,7 @@ def q_overwrite_readback(spark, sf):
 SELECT user_id, item_id, rating FROM fx_ratings WHERE ((user_id % 4) + 4) % 4 = 0""")
 def q_ctas_readback(spark, sf):
     view = _name("udata")
-    FXS.fx_ratings(spark, sf).createOrReplaceTempView(view)
+    FXS.load(spark, sf, "fx_ratings").createOrReplaceTempView(view)
     return SK.ctas(spark, _name("tmp1"), scratch_path(spark, "tmp1"),
                    f"SELECT user_id, item_id, rating FROM {view} WHERE pmod(user_id, 4) = 0")
 
@@ -125,7 +125,7 @@ def q_static_partition_overwrite(spark, sf):
 
 def _order_part(spark, sf):
     path = scratch_path(spark, "order_part")
-    SK.insert_partitioned(FXS.fx_orders(spark, sf), path, ["order_dow"], mode="overwrite")
+    SK.insert_partitioned(FXS.load(spark, sf, "fx_orders"), path, ["order_dow"], mode="overwrite")
     return SK.read_partitioned(spark, path, ["order_dow"])
 
 
@@ -142,7 +142,7 @@ def q_list_partitions(spark, sf):
 
 @query("bucketed_write", ops=("K8",), fx=("fx_ratings",), sql="SELECT user_id, item_id, rating FROM fx_ratings")
 def q_bucketed_write(spark, sf):
-    return SK.bucketed_save(FXS.fx_ratings(spark, sf), _name("bucket_users"),
+    return SK.bucketed_save(FXS.load(spark, sf, "fx_ratings"), _name("bucket_users"),
                             scratch_path(spark, "bucket_users"), 4, "user_id")
 
 
@@ -152,7 +152,7 @@ SELECT user_id AS row_key, 'id' AS family, 'order' AS qualifier,
 UNION ALL
 SELECT user_id, 'num', 'dow', arg_max(order_dow, CAST(order_number AS INTEGER)) FROM fx_orders GROUP BY user_id""")
 def q_wide_column_cells(spark, sf):
-    o = FXS.fx_orders(spark, sf).withColumn("version", to_int("order_number"))
+    o = FXS.load(spark, sf, "fx_orders").withColumn("version", to_int("order_number"))
     cells = SK.to_cells(o, "user_id", [("id", "order", "order_id"), ("num", "dow", "order_dow")], "version")
     path = scratch_path(spark, "hcells")
     SK.overwrite(cells, path)
@@ -162,7 +162,7 @@ def q_wide_column_cells(spark, sf):
 @query("text_save", ops=("K10",), fx=("fx_orders",), sql="""
 SELECT '(' || user_id || ',(' || order_number || ',' || order_hour_of_day || '))' AS value FROM fx_orders""")
 def q_text_save(spark, sf):
-    o = FXS.fx_orders(spark, sf)
+    o = FXS.load(spark, sf, "fx_orders")
     line = F.concat(F.lit("("), F.col("user_id"), F.lit(",("), F.col("order_number"), F.lit(","),
                     F.col("order_hour_of_day"), F.lit("))"))
     path = scratch_path(spark, "pairs_txt")

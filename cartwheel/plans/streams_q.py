@@ -105,7 +105,7 @@ def q_json_extract(spark, sf):
 SELECT topic, "partition", min("offset") AS from_offset, max("offset") + 1 AS until_offset
 FROM fx_offsets GROUP BY topic, "partition\"""")
 def q_offset_ranges(spark, sf):
-    return SI.offset_ranges(FXS.fx_offsets(spark, sf))
+    return SI.offset_ranges(FXS.load(spark, sf, "fx_offsets"))
 
 
 _COMMITTED_SQL = " UNION ALL ".join(f"SELECT '{t}' AS topic, {p} AS \"partition\", CAST({o} AS BIGINT) AS committed"
@@ -122,4 +122,4 @@ SELECT l.topic, l."partition", l."offset", l.value FROM fx_offsets l
 JOIN s ON l.topic = s.topic AND l."partition" = s."partition" WHERE l."offset" >= s.start""")
 def q_resume_from_offsets(spark, sf):
     committed = spark.createDataFrame(COMMITTED, "topic string, partition int, committed long")
-    return SI.resume_from(FXS.fx_offsets(spark, sf), committed).select("topic", "partition", "offset", "value")
+    return SI.resume_from(FXS.load(spark, sf, "fx_offsets"), committed).select("topic", "partition", "offset", "value")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import features as FE
 from ..operators import metrics as M
 from ..operators import text as TX
+from ..session import cut_lineage
 from ..sources import fixtures as FXS
 from ..sources.tables import load_table
 from .common import round_doubles
@@ -20,11 +21,13 @@ TOKENS = r"regexp_extract_all(lower({c}), '\p{{L}}+')"
 
 def _nb(spark, sf, train_pct: int = 80):
     """Shared NB set-up: features, indexed labels, train/test split by md5 bucket."""
-    docs = FXS.fx_docs(spark, sf)
-    feats = TX.tf_idf(docs, "sentence").select("doc_id", "term", F.col("tfidf").alias("x"))
+    docs = FXS.load(spark, sf, "fx_docs")
+    # Features and labelled documents feed training, scoring and several
+    # totals: written once to the shared folder instead of recomputed per pass.
+    feats = cut_lineage(TX.tf_idf(docs, "sentence").select("doc_id", "term", F.col("tfidf").alias("x")))
     idx = TX.label_index(docs.select("label"))
     dl = docs.select("doc_id", "label").join(idx.select("label", "label_index"), "label")
-    dl = dl.withColumn("bucket", FE.hash_bucket("doc_id"))
+    dl = cut_lineage(dl.withColumn("bucket", FE.hash_bucket("doc_id")))
     train = dl.filter(F.col("bucket") < train_pct).select("doc_id", "label_index")
     test = dl.filter(F.col("bucket") >= train_pct).select("doc_id", "label_index")
     classes, theta = TX.nb_train(feats, train)
@@ -34,7 +37,7 @@ def _nb(spark, sf, train_pct: int = 80):
 
 
 def _roc_input(spark, sf):
-    tm = FE.train_matrix(FXS.fx_orders(spark, sf), FXS.fx_prior(spark, sf), FXS.fx_trains(spark, sf))
+    tm = FE.train_matrix(FXS.load(spark, sf, "fx_orders"), FXS.load(spark, sf, "fx_prior"), FXS.load(spark, sf, "fx_trains"))
     return tm.select("label", F.round("prod_rod_rate", 6).alias("score"))
 
 
@@ -103,12 +106,12 @@ def q_segment_documents(spark, sf):
 
 @query("term_frequency", ops=("E1",), fx=DOCS, sql=f"WITH {TF_SQL} SELECT doc_id, term, tf FROM tf", bench=True)
 def q_term_frequency(spark, sf):
-    return TX.term_frequency(FXS.fx_docs(spark, sf), "sentence")
+    return TX.term_frequency(FXS.load(spark, sf, "fx_docs"), "sentence")
 
 
 @query("document_frequency", ops=("E7",), fx=DOCS, sql=f"WITH {TF_SQL} SELECT term, count(*) AS df FROM tf GROUP BY term")
 def q_document_frequency(spark, sf):
-    return TX.document_frequency(TX.term_frequency(FXS.fx_docs(spark, sf), "sentence"))
+    return TX.document_frequency(TX.term_frequency(FXS.load(spark, sf, "fx_docs"), "sentence"))
 
 
 @query("tf_idf", ops=("E2",), fx=DOCS, sql=f"""WITH {TF_SQL},
@@ -120,14 +123,14 @@ SELECT tf.doc_id, tf.term, tf.tf,
 FROM tf JOIN df ON tf.term = df.term""")
 def q_tf_idf(spark, sf):
     """minDocFreq 2, as in the clustering job."""
-    return round_doubles(TX.tf_idf(FXS.fx_docs(spark, sf), "sentence", min_doc_freq=2))
+    return round_doubles(TX.tf_idf(FXS.load(spark, sf, "fx_docs"), "sentence", min_doc_freq=2))
 
 
 @query("label_index", ops=("E3",), fx=DOCS, sql="""
 SELECT label, count(*) AS cnt, CAST(row_number() OVER (ORDER BY count(*) DESC, label) - 1 AS DOUBLE) AS label_index
 FROM fx_docs GROUP BY label""")
 def q_label_index(spark, sf):
-    return TX.label_index(FXS.fx_docs(spark, sf).select("label"))
+    return TX.label_index(FXS.load(spark, sf, "fx_docs").select("label"))
 
 
 @query("nb_priors_theta", ops=("E4", "G2"), fx=DOCS, sql=NB_SQL + """

@@ -19,7 +19,7 @@ OP = ("fx_orders", "fx_prior")
 
 
 def _op(spark, sf):
-    return FXS.fx_orders(spark, sf), FXS.fx_prior(spark, sf)
+    return FXS.load(spark, sf, "fx_orders"), FXS.load(spark, sf, "fx_prior")
 
 
 def _article(spark, sf):
@@ -32,7 +32,7 @@ def _article(spark, sf):
 @query("scan_project", ops=("S1", "P1"), fx=("fx_orders",), sql="""
 SELECT order_id, user_id AS customer, order_number, order_dow FROM fx_orders""")
 def q_scan_project(spark, sf):
-    o = FXS.fx_orders(spark, sf)
+    o = FXS.load(spark, sf, "fx_orders")
     return (o.drop("eval_set", "order_hour_of_day", "days_since_prior_order")
             .withColumnRenamed("user_id", "customer")
             .select("order_id", "customer", "order_number", "order_dow"))
@@ -41,7 +41,7 @@ def q_scan_project(spark, sf):
 @query("filter_eval_set", ops=("P2",), fx=("fx_orders",), sql="""
 SELECT DISTINCT user_id FROM fx_orders WHERE eval_set = 'train'""")
 def q_filter_eval_set(spark, sf):
-    return A.users_in(FXS.fx_orders(spark, sf), "train")
+    return A.users_in(FXS.load(spark, sf, "fx_orders"), "train")
 
 
 @query("blank_to_zero", ops=("P4", "X7", "X8"), fx=("fx_orders",), sql="""
@@ -49,7 +49,7 @@ SELECT order_id, user_id,
        COALESCE(TRY_CAST(NULLIF(days_since_prior_order, '') AS DOUBLE), 0.0) AS days_since_prior_order
 FROM fx_orders""")
 def q_blank_to_zero(spark, sf):
-    return A.blank_gap_to_zero(FXS.fx_orders(spark, sf))
+    return A.blank_gap_to_zero(FXS.load(spark, sf, "fx_orders"))
 
 
 @query("null_fill", ops=("P6",), fx=("fx_orders",), sql="""
@@ -57,7 +57,7 @@ SELECT order_id, COALESCE(TRY_CAST(order_hour_of_day AS INTEGER), 0) AS order_ho
        COALESCE(TRY_CAST(days_since_prior_order AS DOUBLE), 0.0) AS days_since_prior_order
 FROM fx_orders""")
 def q_null_fill(spark, sf):
-    o = FXS.fx_orders(spark, sf)
+    o = FXS.load(spark, sf, "fx_orders")
     return o.select("order_id", to_int("order_hour_of_day").alias("order_hour_of_day"),
                     o["days_since_prior_order"].try_cast("double").alias("days_since_prior_order")
                     ).na.fill(0)
@@ -71,7 +71,7 @@ SELECT '{c}' AS "column", count(v) AS n, round(avg(v), 6) AS mean, round(stddev_
        round(min(v), 6) AS min, round(max(v), 6) AS max
 FROM (SELECT TRY_CAST(NULLIF({c}, '') AS DOUBLE) AS v FROM fx_orders) t""" for c in _DESC_COLS))
 def q_describe_columns(spark, sf):
-    o = FXS.fx_orders(spark, sf).select(*[F.nullif(F.col(c), F.lit("")).try_cast("double").alias(c)
+    o = FXS.load(spark, sf, "fx_orders").select(*[F.nullif(F.col(c), F.lit("")).try_cast("double").alias(c)
                                           for c in _DESC_COLS])
     long = o.unpivot([], _DESC_COLS, "column", "v")
     return round_doubles(long.groupBy("column").agg(
@@ -82,7 +82,7 @@ def q_describe_columns(spark, sf):
 @query("modulo_sample", ops=("S9", "X12"), fx=("fx_ratings",), sql="""
 SELECT user_id, item_id, rating FROM fx_ratings WHERE user_id % 10 > 0""")
 def q_modulo_sample(spark, sf):
-    return FXS.fx_ratings(spark, sf).filter(F.col("user_id") % 10 > 0)
+    return FXS.load(spark, sf, "fx_ratings").filter(F.col("user_id") % 10 > 0)
 
 
 @query("bucket_sample", ops=("S8",), fx=("fx_ratings",), sql="""
@@ -90,7 +90,7 @@ SELECT user_id, item_id, rating FROM fx_ratings WHERE ((user_id % 4) + 4) % 4 =
 def q_bucket_sample(spark, sf):
     """``tablesample(bucket 1 out of 4 on user_id)``: Hive's bucket of an int
     key is the key mod n, so bucket 1 is pmod(user_id, 4) = 0."""
-    return FXS.fx_ratings(spark, sf).filter(F.pmod(F.col("user_id"), F.lit(4)) == 0)
+    return FXS.load(spark, sf, "fx_ratings").filter(F.pmod(F.col("user_id"), F.lit(4)) == 0)
 
 
 # ------------------------------------------------------------ word count
@@ -114,7 +114,7 @@ def q_top_words(spark, sf):
 @query("products_per_order", ops=("A2",), fx=OP, sql="""
 SELECT order_id, count(product_id) AS prod_cnt FROM fx_prior GROUP BY order_id""")
 def q_products_per_order(spark, sf):
-    return A.products_per_order(FXS.fx_prior(spark, sf))
+    return A.products_per_order(FXS.load(spark, sf, "fx_prior"))
 
 
 @query("order_size_by_user", ops=("J1",), fx=OP, sql="""
@@ -135,7 +135,7 @@ def q_user_total_products(spark, sf):
 @query("orders_per_user", ops=("A4",), fx=("fx_orders",), sql="""
 SELECT user_id, count(order_id) AS order_cnt FROM fx_orders GROUP BY user_id""")
 def q_orders_per_user(spark, sf):
-    return A.orders_per_user(FXS.fx_orders(spark, sf))
+    return A.orders_per_user(FXS.load(spark, sf, "fx_orders"))
 
 
 @query("user_avg_order_size", ops=("A5",), fx=OP, sql="""
@@ -168,14 +168,14 @@ def q_per_day_nested(spark, sf):
 @query("user_day_count", ops=("A8",), fx=("fx_orders",), sql="""
 SELECT user_id, count(DISTINCT days_since_prior_order) AS day_cnt FROM fx_orders GROUP BY user_id""")
 def q_user_day_count(spark, sf):
-    return A.user_day_count(FXS.fx_orders(spark, sf))
+    return A.user_day_count(FXS.load(spark, sf, "fx_orders"))
 
 
 @query("dow_pivot", ops=("A9", "X6"), fx=("fx_orders",), sql="SELECT user_id, " + ", ".join(
     f"count(*) FILTER (WHERE order_dow = '{d}') AS dow_{d}" for d in A.DOW_VALUES)
     + " FROM fx_orders GROUP BY user_id")
 def q_dow_pivot(spark, sf):
-    return A.dow_pivot(FXS.fx_orders(spark, sf))
+    return A.dow_pivot(FXS.load(spark, sf, "fx_orders"))
 
 
 # ------------------------------------------------------------ product aggregates
@@ -183,7 +183,7 @@ def q_dow_pivot(spark, sf):
 @query("product_pv", ops=("A10",), fx=("fx_prior",), sql="""
 SELECT product_id, count(*) AS pv FROM fx_prior GROUP BY product_id""")
 def q_product_pv(spark, sf):
-    return A.product_pv(FXS.fx_prior(spark, sf))
+    return A.product_pv(FXS.load(spark, sf, "fx_prior"))
 
 
 @query("product_uv", ops=("A11",), fx=OP, sql="""
@@ -196,14 +196,14 @@ def q_product_uv(spark, sf):
 @query("product_reorders", ops=("A12",), fx=("fx_prior",), sql="""
 SELECT product_id, CAST(sum(CAST(reordered AS INTEGER)) AS BIGINT) AS reordered_cnt FROM fx_prior GROUP BY product_id""")
 def q_product_reorders(spark, sf):
-    return A.product_reorders(FXS.fx_prior(spark, sf))
+    return A.product_reorders(FXS.load(spark, sf, "fx_prior"))
 
 
 @query("product_pv_reorders", ops=("A13",), fx=("fx_prior",), sql="""
 SELECT product_id, count(*) AS pv, CAST(sum(CAST(reordered AS INTEGER)) AS BIGINT) AS reordered_cnt
 FROM fx_prior GROUP BY product_id""")
 def q_product_pv_reorders(spark, sf):
-    return A.product_pv_reorders(FXS.fx_prior(spark, sf))
+    return A.product_pv_reorders(FXS.load(spark, sf, "fx_prior"))
 
 
 @query("product_pv_uv_onepass", ops=("A14",), fx=OP, sql="""
@@ -230,7 +230,7 @@ def q_product_pv_uv_join(spark, sf):
 SELECT user_id, string_agg(order_id, ',' ORDER BY CAST(order_id AS BIGINT)) AS order_ids
 FROM fx_orders GROUP BY user_id""")
 def q_user_order_list(spark, sf):
-    return A.user_order_list(FXS.fx_orders(spark, sf))
+    return A.user_order_list(FXS.load(spark, sf, "fx_orders"))
 
 
 _PAIRS = """(SELECT DISTINCT o.user_id, p.product_id FROM fx_orders o JOIN fx_prior p ON o.order_id = p.order_id)"""
@@ -265,7 +265,7 @@ SELECT user_id, string_agg(order_number || '_' || order_hour_of_day, ','
                            ORDER BY order_hour_of_day, CAST(order_number AS BIGINT)) AS ons
 FROM fx_orders GROUP BY user_id""")
 def q_user_hour_sequence(spark, sf):
-    return A.user_hour_sequence(FXS.fx_orders(spark, sf))
+    return A.user_hour_sequence(FXS.load(spark, sf, "fx_orders"))
 
 
 @query("user_top_decile_size", ops=("A20", "X9"), fx=OP, sql="""
@@ -342,7 +342,7 @@ SELECT 'prior&train', count(*) FROM (SELECT user_id FROM u WHERE eval_set='prior
 UNION ALL
 SELECT 'prior&test', count(*) FROM (SELECT user_id FROM u WHERE eval_set='prior' INTERSECT SELECT user_id FROM u WHERE eval_set='test') c""")
 def q_eval_set_overlap(spark, sf):
-    return A.eval_set_overlap(FXS.fx_orders(spark, sf))
+    return A.eval_set_overlap(FXS.load(spark, sf, "fx_orders"))
 
 
 # ------------------------------------------------------------ scalar functions
@@ -359,7 +359,7 @@ def q_split_composite_key(spark, sf):
 @query("explode_struct_array", ops=("X5",), fx=("fx_prior",), sql="""
 SELECT order_id, product_id AS item, CAST(add_to_cart_order AS INTEGER) AS pos FROM fx_prior""")
 def q_explode_struct_array(spark, sf):
-    p = FXS.fx_prior(spark, sf)
+    p = FXS.load(spark, sf, "fx_prior")
     packed = p.groupBy("order_id").agg(F.collect_list(F.struct(
         F.col("product_id").alias("item"), to_int("add_to_cart_order").alias("pos"))).alias("items"))
     return packed.select("order_id", F.inline("items"))
@@ -368,7 +368,7 @@ def q_explode_struct_array(spark, sf):
 @query("array_build_explode", ops=("X17", "V9"), fx=("fx_orders",), sql="""
 SELECT order_id, order_number AS v FROM fx_orders UNION ALL SELECT order_id, order_dow AS v FROM fx_orders""")
 def q_array_build_explode(spark, sf):
-    o = FXS.fx_orders(spark, sf)
+    o = FXS.load(spark, sf, "fx_orders")
     return o.select("order_id", F.explode(F.array("order_number", "order_dow")).alias("v"))
 
 
@@ -377,7 +377,7 @@ SELECT user_id, count(*) FILTER (WHERE rating >= 3) AS kept,
        round(COALESCE(sum(rating * 0.5) FILTER (WHERE rating >= 3), 0.0), 6) AS scaled_sum
 FROM fx_ratings GROUP BY user_id""")
 def q_array_scale(spark, sf):
-    r = FXS.fx_ratings(spark, sf)
+    r = FXS.load(spark, sf, "fx_ratings")
     per = r.groupBy("user_id").agg(F.collect_list(F.struct("item_id", "rating")).alias("items"))
     kept = F.filter("items", lambda s: s["rating"] >= 3)
     scaled = F.transform(kept, lambda s: s["rating"].cast("double") * F.lit(0.5))
@@ -388,7 +388,7 @@ def q_array_scale(spark, sf):
 @query("plus_columns", ops=("V5",), fx=("fx_orders",), sql="""
 SELECT order_id, TRY_CAST(order_number AS INTEGER) + TRY_CAST(order_dow AS INTEGER) AS plus_udf FROM fx_orders""")
 def q_plus_columns(spark, sf):
-    o = FXS.fx_orders(spark, sf)
+    o = FXS.load(spark, sf, "fx_orders")
     return o.select("order_id", plus_columns("order_number", "order_dow").alias("plus_udf"))
 
 
@@ -398,7 +398,7 @@ FROM (SELECT order_id, CAST(order_hour_of_day AS INTEGER)
              - lag(CAST(order_hour_of_day AS INTEGER)) OVER (PARTITION BY user_id ORDER BY CAST(order_number AS INTEGER)) AS g
       FROM fx_orders) t""")
 def q_hour_gap(spark, sf):
-    o = FXS.fx_orders(spark, sf)
+    o = FXS.load(spark, sf, "fx_orders")
     w = Window.partitionBy("user_id").orderBy(to_int("order_number"))
     h = to_int("order_hour_of_day")
     return o.select("order_id", hour_gap(h, F.lag(h).over(w)).alias("up_hour_vs_last"))

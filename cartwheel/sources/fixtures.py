@@ -138,3 +138,24 @@ def fx_offsets(spark, sf_dir) -> DataFrame:
         (F.row_number().over(w) + OFFSET_BASE).cast("bigint").alias("offset"),
         F.to_json(F.struct(F.col("event_id").cast("string").alias("order_id"),
                            F.col("user_id").cast("string").alias("user_id"))).alias("value"))
+
+
+DERIVED = {
+    "fx_orders": fx_orders, "fx_lines": fx_lines, "fx_prior": fx_prior, "fx_trains": fx_trains,
+    "fx_ratings": fx_ratings, "fx_docs": fx_docs, "fx_offsets": fx_offsets,
+}
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A derived table as a stored parquet table, written once per session
+    below the shared folder and scanned afterwards (with column pruning and
+    filter pushdown), the way the reference reads its warehouse tables."""
+    from ..session import scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    path = _STORED.get(key)
+    if path is None:
+        path = scratch_path(spark, name)
+        DERIVED[name](spark, sf_dir).write.mode("overwrite").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(path)

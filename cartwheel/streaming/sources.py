@@ -66,7 +66,7 @@ def stage_events(spark: SparkSession, sf_dir: str, path: str) -> str:
 
 def stage_messages(spark: SparkSession, sf_dir: str, path: str) -> str:
     """Write the message log's JSON values as text lines, one file per partition."""
-    log = FXS.fx_offsets(spark, sf_dir)
+    log = FXS.load(spark, sf_dir, "fx_offsets")
     log.select("value", "partition").repartition("partition").write.mode("overwrite") \
         .partitionBy("partition").text(path)
     return path
