@@ -74,7 +74,7 @@ def roc_points(scored: DataFrame, score: str = "score", label: str = "label", bu
     is read by several passes, so it is checkpointed once."""
     per = cut_lineage(scored.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("pos"),
-        F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("neg")))
+        F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("neg")), "roc_points")
     p = per.agg(F.sum("pos")).scalar()
     n = per.agg(F.sum("neg")).scalar()
     return running_totals(per, "threshold", ["pos", "neg"], buckets), p, n

@@ -24,10 +24,10 @@ def _nb(spark, sf, train_pct: int = 80):
     docs = FXS.load(spark, sf, "fx_docs")
     # Features and labelled documents feed training, scoring and several
     # totals: written once to the shared folder instead of recomputed per pass.
-    feats = cut_lineage(TX.tf_idf(docs, "sentence").select("doc_id", "term", F.col("tfidf").alias("x")))
+    feats = cut_lineage(TX.tf_idf(docs, "sentence").select("doc_id", "term", F.col("tfidf").alias("x")), "nb_feats")
     idx = TX.label_index(docs.select("label"))
     dl = docs.select("doc_id", "label").join(idx.select("label", "label_index"), "label")
-    dl = cut_lineage(dl.withColumn("bucket", FE.hash_bucket("doc_id")))
+    dl = cut_lineage(dl.withColumn("bucket", FE.hash_bucket("doc_id")), "nb_docs")
     train = dl.filter(F.col("bucket") < train_pct).select("doc_id", "label_index")
     test = dl.filter(F.col("bucket") >= train_pct).select("doc_id", "label_index")
     classes, theta = TX.nb_train(feats, train)

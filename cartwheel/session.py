@@ -65,9 +65,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df):
-    """Materialise ``df`` in the shared checkpoint folder (reliable, survives
-    executor loss) and continue from the written copy. Used where a result is
-    read by several later passes."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df, name: str = "cut"):
+    """Materialise ``df`` as a parquet table in the shared folder and continue
+    from the written copy. Used where a result is read by several later
+    passes. A written table survives executor loss and is computed exactly
+    once (``checkpoint()`` would run the plan a second time to save it unless
+    cached), and later scans of it get column pruning and filter pushdown."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -144,6 +144,7 @@ DERIVED = {
     "fx_orders": fx_orders, "fx_lines": fx_lines, "fx_prior": fx_prior, "fx_trains": fx_trains,
     "fx_ratings": fx_ratings, "fx_docs": fx_docs, "fx_offsets": fx_offsets,
 }
+SPREAD = {"fx_docs"}
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
@@ -156,6 +157,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = _STORED.get(key)
     if path is None:
         path = scratch_path(spark, name)
-        DERIVED[name](spark, sf_dir).write.mode("overwrite").parquet(path)
+        df = DERIVED[name](spark, sf_dir)
+        if name in SPREAD:
+            # Text rows are costly per byte downstream (tokenising); adaptive
+            # execution would coalesce a small corpus into one file, i.e. one
+            # scan task, so it is written in as many files as there are cores.
+            df = df.repartition(spark.sparkContext.defaultParallelism)
+        df.write.mode("overwrite").parquet(path)
         _STORED[key] = path
     return spark.read.parquet(path)
