@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.typed import blank_to_zero, hour_gap, safe_ratio, to_int, to_long
+from ..session import cut_lineage
 from . import analytics as A
 
 
@@ -23,10 +24,6 @@ def _one() -> Column:
     return F.lit(1)
 
 
-def _op(orders: DataFrame, prior: DataFrame, *cols: str) -> DataFrame:
-    return orders.select("order_id", "user_id", *cols).join(prior, "order_id")
-
-
 # ------------------------------------------------------------- product features
 
 def product_features(prior: DataFrame) -> DataFrame:
@@ -60,15 +57,29 @@ def user_gap(orders: DataFrame, blank_as_zero: bool = True) -> DataFrame:
     return orders.groupBy("user_id").agg(F.avg(g).alias("u_avg_day_gap"))
 
 
-def user_features(orders: DataFrame, prior: DataFrame) -> DataFrame:
+def order_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """orders JOIN lines on order_id with every column the features use. A
+    job that derives several aggregates from it writes it once
+    (``cut_lineage``) instead of joining the fact table again per aggregate."""
+    return (orders.select("order_id", "user_id", "order_number", "order_hour_of_day")
+            .join(lines.select("order_id", "product_id", "add_to_cart_order", "reordered"), "order_id"))
+
+
+def user_features(orders: DataFrame, prior: DataFrame, op: DataFrame | None = None) -> DataFrame:
     """user_id, u_avg_day_gap, user_ord_cnt, u_prod_dist_cnt,
     u_prod_records, u_avg_ord_prods. Inner joins: users without prior lines
-    drop out, as in the reference."""
+    drop out, as in the reference. ``op`` = order_lines(orders, prior) if
+    the caller already has it."""
+    op = order_lines(orders, prior) if op is None else op
     per_user = orders.groupBy("user_id").agg(
         F.avg(blank_to_zero("days_since_prior_order", "int")).alias("u_avg_day_gap"),
         F.count(_one()).alias("user_ord_cnt"))
-    records = A.user_product_record(orders, prior)
-    sizes = A.user_avg_order_size(orders, prior).withColumnRenamed("avg_prod_cnt", "u_avg_ord_prods")
+    pairs = op.select("user_id", "product_id").distinct()
+    records = pairs.groupBy("user_id").agg(
+        F.count(_one()).alias("u_prod_dist_cnt"),
+        A._sorted_csv(F.collect_list("product_id")).alias("u_prod_records"))
+    sizes = (op.groupBy("user_id", "order_id").agg(F.count("product_id").alias("n"))
+             .groupBy("user_id").agg(F.avg("n").alias("u_avg_ord_prods")))
     return (per_user.join(records, "user_id").join(sizes, "user_id")
             .select("user_id", "u_avg_day_gap", "user_ord_cnt", "u_prod_dist_cnt",
                     "u_prod_records", "u_avg_ord_prods"))
@@ -93,10 +104,10 @@ def last_basket(orders: DataFrame, prior: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------- user x product
 
-def cross_features(orders: DataFrame, prior: DataFrame) -> DataFrame:
+def cross_features(orders: DataFrame, prior: DataFrame, op: DataFrame | None = None) -> DataFrame:
     """B7-B9 in one aggregate: orders_cnt, avg_pos_in_cart and the last order
     (max order_number) with its id and hour via ``max_by``."""
-    op = _op(orders, prior, "order_number", "order_hour_of_day")
+    op = order_lines(orders, prior) if op is None else op
     last = F.max_by(F.struct(F.col("order_id").alias("id"), F.col("order_hour_of_day").alias("hour")),
                     to_int("order_number"))
     return (op.groupBy("user_id", "product_id")
@@ -140,10 +151,12 @@ def days_ratio(orders: DataFrame, prior: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------- labels and matrices
 
-def train_labels(orders: DataFrame, prior: DataFrame, trains: DataFrame) -> DataFrame:
+def train_labels(orders: DataFrame, prior: DataFrame, trains: DataFrame,
+                 op: DataFrame | None = None) -> DataFrame:
     """Distinct prior (user, product) FULL OUTER JOIN distinct train pairs
     tagged 1; missing labels become 0."""
-    recall = A.distinct_pairs(orders, prior)
+    recall = (A.distinct_pairs(orders, prior) if op is None
+              else op.select("user_id", "product_id").distinct())
     real = A.distinct_pairs(orders, trains).withColumn("label", F.lit(1))
     return recall.join(real, ["user_id", "product_id"], "outer").na.fill(0, ["label"])
 
@@ -155,8 +168,9 @@ MODEL_PRODUCT = ["prod_sum_rod", "prod_rod_rate", "prod_cnt"]
 def train_matrix(orders: DataFrame, prior: DataFrame, trains: DataFrame) -> DataFrame:
     """Labels joined with user and product features (inner). The per-user
     product list is not carried: it would be copied onto every pair."""
-    uf = user_features(orders, prior).drop("u_prod_records")
-    return (train_labels(orders, prior, trains).join(uf, "user_id")
+    op = cut_lineage(order_lines(orders, prior), "order_lines")
+    uf = user_features(orders, prior, op).drop("u_prod_records")
+    return (train_labels(orders, prior, trains, op).join(uf, "user_id")
             .join(product_features(prior), "product_id")
             .select("user_id", "product_id", "label", *MODEL_USER, *MODEL_PRODUCT))
 
@@ -170,10 +184,11 @@ def train_matrix_full(orders: DataFrame, prior: DataFrame, trains: DataFrame,
     """C3 with B15-B17: one row per prior line with its order context, the
     (user, product) label of C1, user/product/cross features; numeric NULLs
     become -1 after the cross-feature left join."""
-    lines = orders.select("order_id", "user_id").join(prior.select("order_id", "product_id"), "order_id")
-    labels = train_labels(orders, prior, trains)
-    uf = user_features(orders, prior).drop("u_prod_records")
-    x = cross_features(orders, prior).drop("last_order_id")
+    op = cut_lineage(order_lines(orders, prior), "order_lines")
+    lines = op.select("order_id", "user_id", "product_id")
+    labels = train_labels(orders, prior, trains, op)
+    uf = user_features(orders, prior, op).drop("u_prod_records")
+    x = cross_features(orders, prior, op).drop("last_order_id")
     m = (lines.join(labels, ["user_id", "product_id"], "left").na.fill(0, ["label"])
          .join(uf, "user_id").join(product_features(prior), "product_id")
          .join(order_context(orders), "order_id")

@@ -65,3 +65,21 @@ def q_svm_margin(spark, sf):
     path = scratch_path(spark, "svm_txt")
     MD.libsvm_write(_matrix(spark, sf), path, MD.MODEL_FEATURES)
     return round_doubles(MD.svm_margin(MD.libsvm_read(spark, path, len(MD.MODEL_FEATURES))))
+
+
+@query("lr_elastic_predict", ops=("C4", "C6"))
+def q_lr_elastic_predict(spark, sf):
+    """The other LR job: elasticNet 0.7 (with regParam 0 it stays plain
+    maximum likelihood), threshold 0.5, 7-term formula."""
+    _, pred = MD.logistic_regression(_matrix(spark, sf), MD.FORMULA_7, train_pct=70, elastic_net=0.7)
+    return round_doubles(pred)
+
+
+@query("lr_training_summary", ops=("C6", "C7"))
+def q_lr_training_summary(spark, sf):
+    """Loss per iteration of the training run (objectiveHistory), with the
+    training ROC's area, as a small table."""
+    model, _ = MD.logistic_regression(_matrix(spark, sf), MD.FORMULA_7, train_pct=70)
+    s = model.summary
+    rows = [(i, float(v), float(s.areaUnderROC)) for i, v in enumerate(s.objectiveHistory)]
+    return round_doubles(spark.createDataFrame(rows, "iteration int, loss double, train_auc double"))

@@ -123,3 +123,40 @@ JOIN s ON l.topic = s.topic AND l."partition" = s."partition" WHERE l."offset" >
 def q_resume_from_offsets(spark, sf):
     committed = spark.createDataFrame(COMMITTED, "topic string, partition int, committed long")
     return SI.resume_from(FXS.load(spark, sf, "fx_offsets"), committed).select("topic", "partition", "offset", "value")
+
+
+@query("stream_dir_wordcount", ops=("S13",), sql=f"""
+SELECT word, count(*) AS cnt FROM {WORDS_SQL} w GROUP BY word""")
+def q_stream_dir_wordcount(spark, sf):
+    """New files of a directory as a text stream, several files per
+    micro-batch; the per-batch counts summed over all batch outputs."""
+    src = SS.stage_lines(spark, sf, scratch_path(spark, "lines"))
+    out = scratch_path(spark, "dir_wc")
+    SC.per_batch_word_counts(SS.text_stream(spark, src, max_files_per_trigger=7), out, scratch_path(spark, "chk"))
+    return spark.read.parquet(out).groupBy("word").agg(F.sum("cnt").alias("cnt"))
+
+
+@query("stream_batch_files", ops=("K11",), sql=f"""
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(DISTINCT word) AS groups FROM {WORDS_SQL} w GROUP BY 1""")
+def q_stream_batch_files(spark, sf):
+    """One output folder per micro-batch. With one day file per trigger,
+    each batch folder holds exactly one day; per folder, its day and the
+    number of word groups written."""
+    out = scratch_path(spark, "batch_files")
+    SC.per_batch_word_counts(_lines(spark, sf), out, scratch_path(spark, "chk"))
+    t = spark.read.parquet(out)
+    return t.groupBy("batch_id").agg(F.min("day").alias("day"), F.count(F.lit(1)).alias("groups")).drop("batch_id")
+
+
+@query("stream_sliding_count_2s", ops=("F5",), sql="""
+SELECT strftime(make_timestamp(s), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(make_timestamp(s + 20000000), '%Y-%m-%d %H:%M:%S') AS window_end, word, count(*) AS cnt
+FROM (SELECT event_type AS word, (epoch_us(ts) - epoch_us(ts) % 2000000) - 2000000 * i AS s
+      FROM events CROSS JOIN range(10) r(i)) w
+GROUP BY s, word""")
+def q_stream_sliding_count_2s(spark, sf):
+    """F5 second variant: 20 s windows sliding every 2 s."""
+    src = SS.stage_events(spark, sf, scratch_path(spark, "events_stream"))
+    out = scratch_path(spark, "sliding2")
+    SC.sliding_window_counts(SS.event_stream(spark, src), out, scratch_path(spark, "chk"), slide="2 seconds")
+    return spark.read.parquet(out)
