@@ -1,8 +1,8 @@
 """Shopping-cart, rating and corpus tables derived from the TPC-H-style test tables.
 
-The reference's jobs read Instacart-style ``orders`` / ``order_products_prior``
-/ ``trains`` text tables, MovieLens-style ``udata`` ratings and a labelled news
-corpus. The test layout has none of these, so each is derived by a fixed,
+The reference's jobs read shopping-basket ``orders`` / ``order_products_prior``
+/ ``trains`` text tables, a ``udata`` table of user-item ratings and a
+labelled news corpus. The test layout has none of these, so each is derived by a fixed,
 deterministic rule (documented in FIXTURES.md) that the SQL oracle reproduces
 independently. Shopping tables keep the reference's all-string contract.
 
