@@ -25,13 +25,47 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "cartwheel", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the library defaults."""
-    b = (SparkSession.builder.master(master).appName(app_name)
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "16g"))
-    for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
+# Settings for a large cluster (hundreds of executors, tens of TB per job).
+# Shuffle partition count is only the starting point: adaptive execution
+# coalesces to ~advisoryPartitionSize per task and splits skewed partitions.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "16384",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # broadcast only what runtime statistics show to be small
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.compression.codec": "zstd",
+    # executor loss: move shuffle and cached blocks off a leaving executor,
+    # and keep shuffle files servable after an executor dies
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.shuffle.service.enabled": "true",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+    # large streaming state lives in RocksDB, not on the JVM heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
+                  app_name: str = "cartwheel", extra: dict | None = None,
+                  cluster: bool = False) -> SparkSession:
+    """Create (or reuse) a session with the library defaults. ``cluster=True``
+    applies CLUSTER_CONF and leaves the master to the launcher."""
+    b = SparkSession.builder.appName(app_name)
+    if cluster:
+        conf = {**DEFAULT_CONF, **CLUSTER_CONF, **(extra or {})}
+    else:
+        b = (b.master(master).config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+             .config("spark.driver.memory", "16g"))
+        conf = {**DEFAULT_CONF, **(extra or {})}
+    for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -23,12 +23,10 @@ def parse_json(df: DataFrame, schema: T.StructType, column: str = "value") -> Da
         F.col(f"_m.{first}").isNull().alias("_bad"))
 
 
-def ingest_json(messages: DataFrame, dt: str, out: str, quarantine: str, checkpoint: str,
-                trigger: dict | None = None):
-    """Parse each message, stamp the load date ``dt`` and append the
-    batch to partition dt=...; rows that do not parse go to ``quarantine``.
-    Each batch lands in its own folder, overwritten on replay, so a retried
-    batch never duplicates rows."""
+def json_batch_writer(dt: str, out: str, quarantine: str):
+    """The per-batch sink of ``ingest_json``: good rows to
+    ``out/dt=<dt>/batch_id=<id>``, unparsable ones to ``quarantine``. Both
+    folders are overwritten when the same batch id is written again."""
     cols = [f.name for f in ORDER_MESSAGE.fields]
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -38,7 +36,16 @@ def ingest_json(messages: DataFrame, dt: str, out: str, quarantine: str, checkpo
         parsed.filter(F.col("_bad")).select("value").write.mode("overwrite") \
             .parquet(f"{quarantine}/batch_id={batch_id}")
 
-    return run(messages.writeStream.foreachBatch(write), checkpoint, trigger)
+    return write
+
+
+def ingest_json(messages: DataFrame, dt: str, out: str, quarantine: str, checkpoint: str,
+                trigger: dict | None = None):
+    """Parse each message, stamp the load date ``dt`` and append the
+    batch to partition dt=...; rows that do not parse go to ``quarantine``.
+    Each batch lands in its own folder, overwritten on replay, so a retried
+    batch never duplicates rows."""
+    return run(messages.writeStream.foreachBatch(json_batch_writer(dt, out, quarantine)), checkpoint, trigger)
 
 
 def offset_ranges(log: DataFrame) -> DataFrame:

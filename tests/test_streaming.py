@@ -57,3 +57,18 @@ def test_custom_state_equals_running(spark):
     SC.custom_state_counts(SS.text_stream(spark, staged, max_files_per_trigger=5), out, chk)
     got = {r.word: r.c for r in spark.read.parquet(out).groupBy("word").agg(F.max("cnt").alias("c")).collect()}
     assert got == _batch_counts(spark)
+
+
+def test_replayed_batch_is_not_duplicated(spark):
+    from cartwheel.streaming.ingest import json_batch_writer
+    msgs = spark.createDataFrame([('{"order_id":"1","user_id":"7"}',), ('{"order_id":"2","user_id":"8"}',),
+                                  ("not json",)], "value string")
+    out, bad = scratch_path(spark, "ingest"), scratch_path(spark, "bad")
+    write = json_batch_writer("20181212", out, bad)
+    write(msgs, 3)
+    write(msgs, 3)            # the same batch again, as after a failure before commit
+    write(msgs.limit(1), 4)
+    got = spark.read.option("basePath", out).parquet(out)
+    assert got.count() == 3
+    assert sorted(r.order_id for r in got.collect()) == ["1", "1", "2"]
+    assert spark.read.parquet(bad).count() == 1
