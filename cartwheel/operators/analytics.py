@@ -12,7 +12,10 @@ Plan notes (checked with ``explain``):
   AQE turns them into broadcast joins when one side is small at run time and
   splits skewed partitions otherwise;
 * top-N per group uses ``row_number`` + filter, which Catalyst rewrites into a
-  WindowGroupLimit, so only N rows per group and task cross the shuffle.
+  WindowGroupLimit, so only N rows per group and task cross the shuffle;
+* every per-user window runs after the (user, product) aggregate, so one
+  window partition holds at most one row per product for that user - bounded
+  by the product catalogue however many rows a hot user has.
 """
 
 from __future__ import annotations

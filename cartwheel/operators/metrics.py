@@ -26,9 +26,11 @@ def multiclass_metrics(pred: DataFrame, label: str = "label_index", prediction:
     """Accuracy, weightedPrecision, weightedRecall, f1 (weighted F-measure)
     with the MulticlassClassificationEvaluator definitions: per true label
     l, weight = share of rows with label l; precision is 0 when l is never
-    predicted."""
-    cm = confusion_matrix(pred, label, prediction)
-    n = pred.agg(F.count(F.lit(1))).scalar()
+    predicted. The predictions are reduced once to the confusion matrix (at
+    most classes^2 rows, written to the shared folder); every metric is
+    derived from that small table, so the prediction job runs once."""
+    cm = cut_lineage(confusion_matrix(pred, label, prediction), "confusion")
+    n = cm.agg(F.sum("cnt")).scalar()
     tp = cm.filter(F.col("label") == F.col("prediction")).select("label", F.col("cnt").alias("tp"))
     actual = cm.groupBy("label").agg(F.sum("cnt").alias("actual"))
     predicted = cm.groupBy(F.col("prediction").alias("label")).agg(F.sum("cnt").alias("predicted"))
@@ -53,12 +55,17 @@ def misclassified(pred: DataFrame, label: str = "label_index", prediction: str =
 def running_totals(df: DataFrame, order: str, cols: list[str], buckets: int = 64) -> DataFrame:
     """Exact inclusive running sums of ``cols`` in descending ``order``,
     one input row per distinct ``order`` value. Distributed: see module doc."""
-    cuts = df.agg(F.percentile_approx(order, [i / buckets for i in range(1, buckets)], 1000)
-                  .alias("cuts")).scalar()
-    # band 0 holds the highest scores; the cut array is projected before the
-    # lambda that reads it (a subquery may not sit inside a lambda).
-    b = F.size(F.filter("cuts", lambda c: c < F.col(order)))
-    banded = df.withColumn("cuts", cuts).withColumn("band", (F.lit(buckets - 1) - b).cast("int")).drop("cuts")
+    if buckets <= 1:
+        banded = df.withColumn("band", F.lit(0))
+    else:
+        cuts = df.agg(F.percentile_approx(order, [i / buckets for i in range(1, buckets)], 1000)
+                      .alias("cuts")).scalar()
+        # band 0 holds the highest scores; the cut array is projected before the
+        # lambda that reads it (a subquery may not sit inside a lambda). A NULL
+        # cut array (no rows) puts everything in one band.
+        below = F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col(order))), F.lit(0))
+        banded = (df.withColumn("cuts", cuts).withColumn("band", (F.lit(buckets - 1) - below).cast("int"))
+                  .drop("cuts"))
     totals = banded.groupBy("band").agg(*[F.sum(c).alias(f"{c}_band") for c in cols])
     prev = Window.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("band", *[F.coalesce(F.sum(f"{c}_band").over(prev), F.lit(0)).alias(f"{c}_off")
