@@ -36,15 +36,10 @@ def _norm(v):
     return v
 
 
-def _kind(dtype: str) -> str:
-    d = dtype.lower()
-    if any(k in d for k in ("int", "long", "short", "byte")):
-        return "int"
-    if any(k in d for k in ("double", "float", "decimal")):
-        return "float"
-    if any(k in d for k in ("string", "varchar", "object")):
-        return "str"
-    return d
+# Spark type -> the DuckDB type of the same width and kind.
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT", "boolean": "BOOLEAN",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
 
 
 def rows_of(columns, records):
@@ -57,7 +52,8 @@ def compare(spark, con, name: str, fn, sql: str | None, sf_dir: str) -> dict:
     t0 = time.time()
     sdf = fn(spark, sf_dir)
     s_cols = sdf.columns
-    s_types = {f.name: _kind(f.dataType.simpleString()) for f in sdf.schema.fields}
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in sdf.schema.fields}
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
     res = {"query": name, "spark_rows": len(s_rows), "spark_sec": round(t1 - t0, 2)}
@@ -66,7 +62,7 @@ def compare(spark, con, name: str, fn, sql: str | None, sf_dir: str) -> dict:
         return res
     rel = con.sql(sql)
     d_cols = rel.columns
-    d_types = {c: _kind(str(t)) for c, t in zip(rel.columns, rel.types)}
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     d_rows = rel.fetchall()
     res["oracle_rows"] = len(d_rows)
     problems = []
@@ -75,7 +71,7 @@ def compare(spark, con, name: str, fn, sql: str | None, sf_dir: str) -> dict:
     else:
         kinds = {c: (s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]}
         if kinds:
-            problems.append(f"kinds {kinds}")
+            problems.append(f"types {kinds}")
         if len(s_rows) != len(d_rows):
             problems.append("row count")
         else:

@@ -376,7 +376,7 @@ def q_array_build_explode(spark, sf):
 
 @query("array_scale", ops=("X18",), fx=("fx_ratings",), sql="""
 SELECT user_id, count(*) FILTER (WHERE rating >= 3) AS kept,
-       round(COALESCE(sum(rating * 0.5) FILTER (WHERE rating >= 3), 0.0), 6) AS scaled_sum
+       round(COALESCE(sum(rating * CAST(0.5 AS DOUBLE)) FILTER (WHERE rating >= 3), CAST(0.0 AS DOUBLE)), 6) AS scaled_sum
 FROM fx_ratings GROUP BY user_id""")
 def q_array_scale(spark, sf):
     r = FXS.load(spark, sf, "fx_ratings")
