@@ -84,3 +84,14 @@ def test_resume_clamps_and_defaults(spark):
     assert kept == {0: 10, 2: 5, 3: 10}          # partition 1 starts past the end
     latest = {p: n for p, n in resume_from(log, committed, default="latest").groupBy("partition").count().collect()}
     assert 3 not in latest
+
+
+def test_shared_folder_follows_session_setting(spark):
+    from cartwheel.session import cut_lineage, scratch_path, shared_dir
+    base = shared_dir(spark)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert configured and base == configured.rstrip("/")
+    assert scratch_path(spark, "x").startswith(base + "/x-")
+    df = cut_lineage(spark.range(10), "probe")
+    assert df.count() == 10
+    assert any(base in f for f in df.inputFiles())
