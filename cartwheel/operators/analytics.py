@@ -35,11 +35,6 @@ def _one():
 DOW_VALUES = ["0", "1", "2", "3", "4", "5", "6"]
 
 
-def order_products(orders: DataFrame, prior: DataFrame) -> DataFrame:
-    """orders JOIN prior on order_id -> (user_id, order_id, product_id, ...)."""
-    return orders.join(prior, "order_id")
-
-
 # ---------------------------------------------------------------- text
 
 def words(lines: DataFrame, column: str = "sentence") -> DataFrame:

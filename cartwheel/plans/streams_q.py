@@ -57,7 +57,7 @@ SELECT word, count(*) AS cnt FROM {WORDS_SQL} w GROUP BY word""")
 def q_stream_running_count(spark, sf):
     out = scratch_path(spark, "wc_running")
     SC.running_word_counts(_lines(spark, sf), out, scratch_path(spark, "chk"))
-    return spark.read.parquet(out).select("word", "cnt")
+    return SC.latest_counts(spark, out, ["word"])
 
 
 @query("stream_custom_state", ops=("F4", "V10"), sql=f"""
@@ -65,7 +65,7 @@ SELECT word, count(*) AS cnt FROM {WORDS_SQL} w GROUP BY word""")
 def q_stream_custom_state(spark, sf):
     out = scratch_path(spark, "wc_state")
     SC.custom_state_counts(_lines(spark, sf), out, scratch_path(spark, "chk"))
-    return _read_batches(spark, out).groupBy("word").agg(F.max("cnt").alias("cnt"))
+    return SC.latest_counts(spark, out, ["word"])
 
 
 @query("stream_sliding_count", ops=("F5",), sql="""
@@ -78,7 +78,7 @@ def q_stream_sliding_count(spark, sf):
     src = SS.stage_events(spark, sf, scratch_path(spark, "events_stream"))
     out = scratch_path(spark, "sliding")
     SC.sliding_window_counts(SS.event_stream(spark, src), out, scratch_path(spark, "chk"))
-    return spark.read.parquet(out)
+    return SC.latest_counts(spark, out, ["window_start", "window_end", "word"])
 
 
 @query("stream_json_append", ops=("F7", "K5"), fx=("fx_offsets",), sql=f"""
@@ -159,4 +159,4 @@ def q_stream_sliding_count_2s(spark, sf):
     src = SS.stage_events(spark, sf, scratch_path(spark, "events_stream"))
     out = scratch_path(spark, "sliding2")
     SC.sliding_window_counts(SS.event_stream(spark, src), out, scratch_path(spark, "chk"), slide="2 seconds")
-    return spark.read.parquet(out)
+    return SC.latest_counts(spark, out, ["window_start", "window_end", "word"])

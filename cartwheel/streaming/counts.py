@@ -1,10 +1,12 @@
 """Streaming counts (F1-F6, F10, K11) on Structured Streaming.
 
-Every sink is ``foreachBatch`` writing a distributed table: per-batch outputs
-go to their own ``batch_id=`` folder and are overwritten if the batch is
-replayed after a failure (idempotent), stateful results are rewritten whole
-from the state store each batch. Offsets and state live in the checkpoint, so
-a stopped or crashed query resumes where it left off.
+Every sink is ``foreachBatch`` writing a distributed table: each micro-batch
+writes its own ``batch_id=`` folder, overwritten if the batch is replayed
+after a failure (idempotent). Stateful queries run in update mode, so a batch
+writes only the keys it changed (an append-only change log read back with
+``latest_counts``) and event-time windows leave the state store once the
+watermark passes them. Offsets and state live in the checkpoint, so a stopped
+or crashed query resumes where it left off.
 """
 
 from __future__ import annotations
@@ -63,11 +65,26 @@ def _overwrite_writer(out: str):
     return write
 
 
-def running_word_counts(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None):
-    """counts over everything seen so far (state never expires); complete
-    output is rewritten each batch."""
+def latest_counts(spark, out: str, keys: list[str], value: str = "cnt") -> DataFrame:
+    """Read an update-mode output folder: every batch folder holds the keys it
+    changed with their new totals; totals only grow, so the current value of
+    a key is its maximum over the batch folders."""
+    return spark.read.parquet(out).groupBy(*keys).agg(F.max(value).alias(value))
+
+
+def running_word_counts(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
+                        output_mode: str = "update"):
+    """counts over everything seen so far (state never expires). In
+    update mode (default) each batch writes only the words whose count
+    changed - the cost of a batch follows the batch, not the vocabulary; read
+    with ``latest_counts``. ``output_mode='complete'`` rewrites the whole
+    table each batch instead (small vocabularies)."""
     counts = words_of(lines, ()).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
-    return run(counts.writeStream.outputMode("complete").foreachBatch(_overwrite_writer(out)), checkpoint, trigger)
+    if output_mode == "complete":
+        return run(counts.writeStream.outputMode("complete").foreachBatch(_overwrite_writer(out)),
+                   checkpoint, trigger)
+    return run(counts.writeStream.outputMode("update").foreachBatch(_batch_dir_writer(out, lambda b: b)),
+               checkpoint, trigger)
 
 
 def _add_counts(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -92,11 +109,15 @@ def custom_state_counts(lines: DataFrame, out: str, checkpoint: str, trigger: di
 
 def sliding_window_counts(events: DataFrame, out: str, checkpoint: str, length: str = "20 seconds",
                           slide: str = "4 seconds", watermark: str = "1 hour", trigger: dict | None = None):
-    """counts per (sliding window, word) in event time. Complete mode, so
-    the result equals the batch aggregate (append mode would hold back the
-    windows the watermark has not closed yet)."""
+    """counts per (sliding window, word) in event time, update mode: each
+    batch writes the windows it changed, and windows older than the
+    watermark leave the state store, so state stays bounded by the open
+    windows (complete mode would keep every window forever; append mode would
+    hold back the windows the watermark has not closed when the input ends).
+    Read with ``latest_counts(.., ["window_start", "window_end", "word"])``."""
     agg = (events.withWatermark("ts", watermark)
            .groupBy(F.window("ts", length, slide), "word").agg(F.count(F.lit(1)).alias("cnt"))
            .select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                    F.date_format("window.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "word", "cnt"))
-    return run(agg.writeStream.outputMode("complete").foreachBatch(_overwrite_writer(out)), checkpoint, trigger)
+    return run(agg.writeStream.outputMode("update").foreachBatch(_batch_dir_writer(out, lambda b: b)),
+               checkpoint, trigger)
