@@ -3,7 +3,7 @@
 The estimators are Spark's own distributed implementations; what this module
 adds is the reference's configuration and the deterministic splits (md5
 buckets instead of ``randomSplit``, so a retried or re-partitioned run trains
-on the same rows). Training sets are cached only right before the iterative
+on the same rows). Training sets are cached only around the iterative
 ``fit``.
 """
 
@@ -28,6 +28,20 @@ FORMULA_13 = (FORMULA_7 + " + days_since_ratio + up_hour_vs_last + order_hour_of
               " + days_since_prior_order + avg_pos_in_cart + orders_cnt")
 
 
+
+MODEL_FEATURES = MODEL_USER + MODEL_PRODUCT
+
+
+def fit(estimator, train: DataFrame):
+    """Fit with the training rows cached for the estimator's passes, and
+    released afterwards (a lost cached block is recomputed from lineage)."""
+    train = train.cache()
+    try:
+        return estimator.fit(train)
+    finally:
+        train.unpersist()
+
+
 def split(df: DataFrame, key, train_pct: int) -> tuple[DataFrame, DataFrame]:
     """Reproducible train/test split by md5 bucket of ``key``."""
     b = hash_bucket(key)
@@ -42,7 +56,7 @@ def logistic_regression(matrix: DataFrame, formula: str = FORMULA_7, train_pct:
     train, test = split(feats, F.concat_ws("_", "user_id", "product_id"), train_pct)
     lr = LogisticRegression(maxIter=10, regParam=0.0, elasticNetParam=elastic_net, threshold=threshold,
                             labelCol="label_d")
-    model = lr.fit(train.cache())
+    model = fit(lr, train)
     pred = model.transform(test).select(
         "user_id", "product_id", "label", vector_to_array("probability")[1].alias("p1"),
         F.col("prediction").cast("int").alias("prediction"))
@@ -63,7 +77,7 @@ def kmeans_assign(docs: DataFrame, k: int = 10, seed: int = 2019) -> tuple[DataF
     feats = text_features(docs, "sentence", min_doc_freq=2, min_len=2).select("doc_id", "label", "features")
     km = KMeans(featuresCol="features", k=k, initMode="k-means||", initSteps=5, maxIter=20,
                 seed=seed, predictionCol="pred")
-    model = km.fit(feats.cache())
+    model = fit(km, feats)
     return model.transform(feats).select("doc_id", "label", "pred"), model.summary.trainingCost
 
 
@@ -83,7 +97,7 @@ def model_roundtrip(spark: SparkSession, docs: DataFrame, path: str, train_pct:
     """Fit the NB pipeline, save it, load it back and score the test rows."""
     d = docs.withColumn("seg", tokens("sentence"))
     train, test = split(d, "doc_id", train_pct)
-    nb_pipeline().fit(train.cache()).write().overwrite().save(path)
+    fit(nb_pipeline(), train).write().overwrite().save(path)
     return (PipelineModel.load(path).transform(test)
             .select("doc_id", "label", "indexs", "preIndexs"))
 
@@ -106,8 +120,6 @@ def svm_margin(data: DataFrame, train_pct: int = 60, iterations: int = 100) -> D
     keyed = data.withColumn("_k", F.sha2(F.to_json(F.struct(
         "label", vector_to_array("features").alias("f"))), 256))
     train, test = split(keyed, "_k", train_pct)
-    model = LinearSVC(maxIter=iterations, regParam=0.0).fit(train.cache())
+    model = fit(LinearSVC(maxIter=iterations, regParam=0.0), train)
     return model.transform(test).select("label", vector_to_array("rawPrediction")[1].alias("margin"))
 
-
-MODEL_FEATURES = MODEL_USER + MODEL_PRODUCT
