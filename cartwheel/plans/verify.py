@@ -4,6 +4,7 @@ order-insensitively (row count, column names and kinds, values)."""
 from __future__ import annotations
 
 import math
+import os
 import time
 
 from ..sources.tables import TABLES, table_path
@@ -17,13 +18,17 @@ def duck_connect(sf_dir: str):
     return con
 
 
+# Exact float comparison when set (the engines must agree to the last bit).
+STRICT = os.environ.get("ORACLE_STRICT", "0") == "1"
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 5)
+        return v if STRICT else round(v, 5)
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:
             return _norm(v.item())
