@@ -35,6 +35,9 @@ def main() -> int:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     extra = json.loads(os.environ.get("BENCH_EXTRA_CONF", "{}"))
+    log_dir = os.environ.get("BENCH_EVENTLOG_DIR")        # e.g. a fresh mktemp -d folder
+    if log_dir:
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir})
     # Start with several shuffle partitions per core and let adaptive execution
     # coalesce the small shuffles (measured: 8 x cores beat 2 x and 16 x here).
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=8 * cpus,
@@ -51,6 +54,7 @@ def main() -> int:
         fx.load(spark, sf_dir, name)
     times["fixtures"] = round(time.perf_counter() - t0, 3)
     def run_once(name: str) -> float:
+        spark.sparkContext.setJobDescription(name)     # stage_report.py groups by it
         t0 = time.perf_counter()
         reg[name].fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
         return round(time.perf_counter() - t0, 3)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import segment, tokens
+from ..session import cut_lineage
 
 # Fixed values of the reference pipeline.
 NUM_FEATURES = 1 << 18        # hashing dimension (HashingTF default, 262144)
@@ -76,8 +77,10 @@ def nb_train(feats: DataFrame, doc_labels: DataFrame, smoothing: float = SMOOTHI
     n_docs = doc_labels.groupBy("label_index").agg(F.count(F.lit(1)).alias("n"))
     total = doc_labels.agg(F.count(F.lit(1))).scalar()
     k = n_docs.agg(F.count(F.lit(1))).scalar()
-    st = (feats.join(doc_labels, "doc_id").groupBy("label_index", "term")
-          .agg(F.sum("x").alias("s")))
+    # The per-(class, term) sums are the model's sufficient statistics; every
+    # parameter below reads them, so they are written once to the shared folder.
+    st = cut_lineage(feats.join(doc_labels, "doc_id").groupBy("label_index", "term")
+                     .agg(F.sum("x").alias("s")), "nb_stats")
     sc = st.groupBy("label_index").agg(F.sum("s").alias("s_total"))
     denom = F.log(F.col("s_total") + F.lit(float(num_features)) * lam)
     classes = (n_docs.join(sc, "label_index", "left").na.fill(0.0, ["s_total"])
