@@ -71,13 +71,17 @@ def text_features(docs: DataFrame, text: str = "sentence", min_doc_freq: int = 1
     return IDF(inputCol="rawFeatures", outputCol="features", minDocFreq=min_doc_freq).fit(tf).transform(tf)
 
 
+def kmeans_estimator(k: int = 10, seed: int = 2019) -> KMeans:
+    """k-means|| initialisation with 5 steps, 20 iterations, fixed seed."""
+    return KMeans(featuresCol="features", k=k, initMode="k-means||", initSteps=5, maxIter=20,
+                  seed=seed, predictionCol="pred")
+
+
 def kmeans_assign(docs: DataFrame, k: int = 10, seed: int = 2019) -> tuple[DataFrame, float]:
     """E5: k-means|| (5 init steps), 20 iterations over TF-IDF vectors of
     tokens longer than one letter (minDocFreq 2). Returns (assignments, cost)."""
     feats = text_features(docs, "sentence", min_doc_freq=2, min_len=2).select("doc_id", "label", "features")
-    km = KMeans(featuresCol="features", k=k, initMode="k-means||", initSteps=5, maxIter=20,
-                seed=seed, predictionCol="pred")
-    model = fit(km, feats)
+    model = fit(kmeans_estimator(k, seed), feats)
     return model.transform(feats).select("doc_id", "label", "pred"), model.summary.trainingCost
 
 

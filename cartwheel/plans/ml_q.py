@@ -83,3 +83,33 @@ def q_lr_training_summary(spark, sf):
     s = model.summary
     rows = [(i, float(v), float(s.areaUnderROC)) for i, v in enumerate(s.objectiveHistory)]
     return round_doubles(spark.createDataFrame(rows, "iteration int, loss double, train_auc double"))
+
+
+@query("lr_coefficients", ops=("C6", "G2"))
+def q_lr_coefficients(spark, sf):
+    """Fitted weights per formula term, and the intercept (the parameter dump)."""
+    model, _ = MD.logistic_regression(_matrix(spark, sf), MD.FORMULA_7, train_pct=70)
+    terms = [t.strip() for t in MD.FORMULA_7.split("~")[1].split("+")]
+    rows = [(t, float(w)) for t, w in zip(terms, model.coefficients.toArray())] + [("(intercept)", float(model.intercept))]
+    return round_doubles(spark.createDataFrame(rows, "term string, coefficient double"))
+
+
+@query("lr_roc", ops=("C7",))
+def q_lr_roc(spark, sf):
+    """The trained model's own ROC curve (FPR, TPR) from its summary; Spark
+    computes it distributed over the training predictions."""
+    model, _ = MD.logistic_regression(_matrix(spark, sf), MD.FORMULA_7, train_pct=70)
+    return round_doubles(model.summary.roc)
+
+
+@query("kmeans_summary", ops=("E5",))
+def q_kmeans_summary(spark, sf):
+    """Cluster sizes, centre norms and the training cost (within-cluster sum of
+    squares, which replaced computeCost). Centres are reported by size and
+    norm, not as 2^18-wide vectors."""
+    feats = MD.text_features(FXS.load(spark, sf, "fx_docs"), "sentence", min_doc_freq=2, min_len=2)
+    model = MD.fit(MD.kmeans_estimator(), feats.select("doc_id", "label", "features"))
+    s = model.summary
+    rows = [(i, int(n), float(sum(x * x for x in c) ** 0.5), float(s.trainingCost))
+            for i, (n, c) in enumerate(zip(s.clusterSizes, model.clusterCenters()))]
+    return round_doubles(spark.createDataFrame(rows, "cluster int, size long, center_norm double, cost double"))
