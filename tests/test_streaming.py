@@ -72,3 +72,17 @@ def test_replayed_batch_is_not_duplicated(spark):
     assert got.count() == 3
     assert sorted(r.order_id for r in got.collect()) == ["1", "1", "2"]
     assert spark.read.parquet(bad).count() == 1
+
+
+def test_processing_time_trigger(spark):
+    """the production trigger (a fixed batch interval) instead of availableNow."""
+    staged = SS.stage_lines(spark, SF, scratch_path(spark, "lines"))
+    out, chk = scratch_path(spark, "out"), scratch_path(spark, "chk")
+    q = SC.running_word_counts(SS.text_stream(spark, staged, max_files_per_trigger=10), out, chk,
+                               trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r.word: r.cnt for r in SC.latest_counts(spark, out, ["word"]).collect()}
+    assert got == _batch_counts(spark)
