@@ -90,7 +90,15 @@ def q_partition_range_scan(spark, sf):
 SELECT event_id, event_type, strftime(ts, '%Y%m%d') AS dt FROM events
 WHERE strftime(ts, '%Y%m%d') IN (SELECT DISTINCT strftime(ts, '%Y%m%d') AS d FROM events ORDER BY d DESC LIMIT 7)""")
 def q_snapshot_retention(spark, sf):
-    return SK.retain_latest(_events_by_day(spark, sf), "dt", 7)
+    """Daily snapshot partitions, keep the newest 7: older partition folders
+    are dropped, then the table is read back (the read-time form
+    ``retain_latest`` gives the same rows without deleting)."""
+    path = scratch_path(spark, "events_dt")
+    e = load_table(spark, sf, "events").select(
+        "event_id", "event_type", F.date_format("ts", "yyyyMMdd").alias("dt"))
+    SK.insert_partitioned(e, path, ["dt"], mode="overwrite")
+    SK.drop_old_partitions(spark, path, "dt", keep=7)
+    return SK.read_partitioned(spark, path, ["dt"])
 
 
 @query("overwrite_readback", ops=("K1",), fx=("fx_orders",), sql="SELECT * FROM fx_orders WHERE eval_set = 'train'")

@@ -72,6 +72,26 @@ def retain_latest(df: DataFrame, column: str, keep: int = 7) -> DataFrame:
     return df.join(F.broadcast(latest), column, "left_semi")
 
 
+def drop_old_partitions(spark: SparkSession, path: str, column: str, keep: int = 7) -> list[str]:
+    """K7 physically: delete the partition folders of ``column`` beyond the
+    ``keep`` newest (by partition value, e.g. yyyyMMdd), as a partition drop
+    does. Only partition folder names are listed on the driver - bounded by
+    the partition count, not the data - through Hadoop's FileSystem, so it
+    works on any storage the cluster mounts. Returns the dropped values."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prefix = f"{column}="
+    parts = [st.getPath() for st in fs.listStatus(root)
+             if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+    parts.sort(key=lambda q: q.getName(), reverse=True)
+    dropped = []
+    for q in parts[keep:]:
+        fs.delete(q, True)
+        dropped.append(q.getName()[len(prefix):])
+    return dropped
+
+
 def bucketed_save(df: DataFrame, name: str, path: str, buckets: int, column: str) -> DataFrame:
     """K8: ``clustered by (column) into n buckets``, sorted within buckets.
     Later joins / aggregations on ``column`` between tables with the same

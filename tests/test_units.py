@@ -95,3 +95,17 @@ def test_shared_folder_follows_session_setting(spark):
     df = cut_lineage(spark.range(10), "probe")
     assert df.count() == 10
     assert any(base in f for f in df.inputFiles())
+
+
+def test_drop_old_partitions(spark):
+    import os
+
+    from cartwheel.session import scratch_path
+    from cartwheel.sinks.tables import drop_old_partitions, insert_partitioned, read_partitioned
+    path = scratch_path(spark, "snap")
+    df = spark.createDataFrame([(i, f"2018082{i % 9}") for i in range(90)], "id int, dt string")
+    insert_partitioned(df, path, ["dt"], mode="overwrite")
+    dropped = drop_old_partitions(spark, path, "dt", keep=7)
+    assert sorted(dropped) == ["20180820", "20180821"]
+    assert sorted(d for d in os.listdir(path) if d.startswith("dt=")) == [f"dt=2018082{i}" for i in range(2, 9)]
+    assert read_partitioned(spark, path, ["dt"]).count() == 70
