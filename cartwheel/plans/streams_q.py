@@ -160,3 +160,15 @@ def q_stream_sliding_count_2s(spark, sf):
     out = scratch_path(spark, "sliding2")
     SC.sliding_window_counts(SS.event_stream(spark, src), out, scratch_path(spark, "chk"), slide="2 seconds")
     return SC.latest_counts(spark, out, ["window_start", "window_end", "word"])
+
+
+@query("stream_offset_audit", ops=("F8",), fx=("fx_offsets",), sql="""
+SELECT topic, "partition", min("offset") AS from_offset, max("offset") + 1 AS until_offset
+FROM fx_offsets GROUP BY topic, "partition\"""")
+def q_stream_offset_audit(spark, sf):
+    """F8 per micro-batch: one log partition file per trigger, so each batch
+    audits exactly one partition's range."""
+    src = SS.stage_log(spark, sf, scratch_path(spark, "log"))
+    out = scratch_path(spark, "offset_audit")
+    SI.audit_offsets(SS.log_stream(spark, src), out, scratch_path(spark, "chk"))
+    return spark.read.parquet(out).select("topic", "partition", "from_offset", "until_offset")

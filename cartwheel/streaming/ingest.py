@@ -54,6 +54,15 @@ def offset_ranges(log: DataFrame) -> DataFrame:
         F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset"))
 
 
+def audit_offsets(log: DataFrame, out: str, checkpoint: str, trigger: dict | None = None):
+    """F8 on a stream: every micro-batch writes the offset ranges it consumed
+    per (topic, partition) to its own folder (idempotent on replay)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (offset_ranges(batch).withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}"))
+    return run(log.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
 def resume_from(log: DataFrame, committed: DataFrame, default: str = "earliest") -> DataFrame:
     """keep the records at or after each partition's start offset.
 

@@ -20,15 +20,19 @@ EVENT_SCHEMA = T.StructType([T.StructField("word", T.StringType()), T.StructFiel
 
 
 def kafka_stream(spark: SparkSession, bootstrap: str, topics: str | list[str],
-                 starting_offsets: str | None = None, subscribe_pattern: bool = False) -> DataFrame:
+                 starting_offsets: str | None = None, subscribe_pattern: bool = False,
+                 group_id: str | None = None) -> DataFrame:
     """Messages of one or more topics as (topic, partition, offset,
     value string). Offsets are tracked by the query's checkpoint, which
-    replaces the external offset store of the receiver / direct styles."""
+    replaces the external offset store of the receiver / direct styles;
+    ``group_id`` sets the consumer group (receiver style)."""
     topics = ",".join(topics) if isinstance(topics, list) else topics
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
          .option("subscribePattern" if subscribe_pattern else "subscribe", topics))
     if starting_offsets:
         r = r.option("startingOffsets", starting_offsets)
+    if group_id:
+        r = r.option("kafka.group.id", group_id)
     return r.load().select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
 
 
@@ -64,6 +68,24 @@ def stage_events(spark: SparkSession, sf_dir: str, path: str) -> str:
     return path
 
 
+LOG_SCHEMA = T.StructType([T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()),
+                           T.StructField("offset", T.LongType()), T.StructField("value", T.StringType())])
+
+
+def stage_log(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Write the message log with its coordinates (topic, partition, offset,
+    value) as parquet, one file per log partition."""
+    log = FXS.load(spark, sf_dir, "fx_offsets")
+    log.repartition("partition").write.mode("overwrite").parquet(path)
+    return path
+
+
+def log_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """The staged log as a stream with the same columns a Kafka source has."""
+    return (spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
+            .parquet(path))
+
+
 def stage_messages(spark: SparkSession, sf_dir: str, path: str) -> str:
     """Write the message log's JSON values as text lines, one file per partition."""
     log = FXS.load(spark, sf_dir, "fx_offsets")
