@@ -85,7 +85,7 @@ def kmeans_assign(docs: DataFrame, k: int = 10, seed: int = 2019) -> tuple[DataF
     return model.transform(feats).select("doc_id", "label", "pred"), model.summary.trainingCost
 
 
-def nb_pipeline() -> Pipeline:
+def nb_estimator() -> Pipeline:
     """E1-E4 as one pipeline: hashed TF -> IDF (minDocFreq 1) -> label index
     (unseen label = error) -> multinomial NB with smoothing 1."""
     return Pipeline(stages=[
@@ -101,7 +101,7 @@ def model_roundtrip(spark: SparkSession, docs: DataFrame, path: str, train_pct:
     """Fit the NB pipeline, save it, load it back and score the test rows."""
     d = docs.withColumn("seg", tokens("sentence"))
     train, test = split(d, "doc_id", train_pct)
-    fit(nb_pipeline(), train).write().overwrite().save(path)
+    fit(nb_estimator(), train).write().overwrite().save(path)
     return (PipelineModel.load(path).transform(test)
             .select("doc_id", "label", "indexs", "preIndexs"))
 
