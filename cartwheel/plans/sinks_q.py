@@ -41,6 +41,17 @@ def q_delimited_load(spark, sf):
     return delimited_load(spark, path, ORDER_COLS, ",")
 
 
+@query("delimited_load_tab", ops=("S2",), fx=("fx_ratings",), sql="""
+SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(item_id AS VARCHAR) AS item_id,
+       CAST(rating AS VARCHAR) AS rating FROM fx_ratings""")
+def q_delimited_load_tab(spark, sf):
+    """The ratings table as tab-separated text, every column read back as a
+    string (the warehouse DDL of the ratings table)."""
+    path = scratch_path(spark, "udata_tsv")
+    SK.save_delimited(FXS.load(spark, sf, "fx_ratings"), path, "\t")
+    return delimited_load(spark, path, "user_id item_id rating", "\t")
+
+
 @query("text_lines", ops=("S3",), sql="""
 SELECT unnest(string_split(text, chr(10))) AS sentence FROM documents""")
 def q_text_lines(spark, sf):
