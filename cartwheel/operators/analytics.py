@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import split_words
 from ..functions.typed import blank_to_zero, to_int, to_long
+from ..session import cut_lineage
 
 
 def _one():
@@ -276,9 +277,13 @@ def users_in(orders: DataFrame, eval_set: str) -> DataFrame:
 
 
 def eval_set_overlap(orders: DataFrame) -> DataFrame:
-    """Sizes of user-set intersections train/test, prior/train, prior/test."""
+    """Sizes of user-set intersections train/test, prior/train, prior/test.
+    The orders table is scanned once: its distinct (eval_set, user) pairs -
+    at most three rows per user - are written to the shared folder and the
+    six user sets and three intersections are taken from that."""
+    sets = cut_lineage(orders.select("eval_set", "user_id").distinct(), "eval_set_users")
     pairs = [("train", "test"), ("prior", "train"), ("prior", "test")]
-    parts = [users_in(orders, a).intersect(users_in(orders, b)).select(F.lit(f"{a}&{b}").alias("sets"), "user_id")
+    parts = [users_in(sets, a).intersect(users_in(sets, b)).select(F.lit(f"{a}&{b}").alias("sets"), "user_id")
              for a, b in pairs]
     u = parts[0]
     for p in parts[1:]:
