@@ -20,10 +20,12 @@ def to_long(x) -> Column:
 
 
 def to_int(x) -> Column:
+    """String -> int; anything that is not an integer becomes NULL."""
     return _c(x).try_cast("int")
 
 
 def to_double(x) -> Column:
+    """String -> double; unparsable text becomes NULL."""
     return _c(x).try_cast("double")
 
 
@@ -38,6 +40,7 @@ def safe_ratio(num, den) -> Column:
 
 
 def round6(x) -> Column:
+    """Round to 6 decimals (how doubles are compared across engines)."""
     return F.round(_c(x), 6)
 
 

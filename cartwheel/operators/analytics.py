@@ -44,6 +44,7 @@ def words(lines: DataFrame, column: str = "sentence") -> DataFrame:
 
 
 def word_count(lines: DataFrame, column: str = "sentence") -> DataFrame:
+    """A1: (word, cnt) over space-separated text."""
     return words(lines, column).groupBy("word").agg(F.count(_one()).alias("cnt"))
 
 
@@ -56,6 +57,7 @@ def top_words(lines: DataFrame, n: int = 100, column: str = "sentence") -> DataF
 # ---------------------------------------------------------------- orders
 
 def products_per_order(prior: DataFrame) -> DataFrame:
+    """A2: (order_id, prod_cnt)."""
     return prior.groupBy("order_id").agg(F.count("product_id").alias("prod_cnt"))
 
 
@@ -73,10 +75,12 @@ def user_total_products(orders: DataFrame, prior: DataFrame) -> DataFrame:
 
 
 def orders_per_user(orders: DataFrame) -> DataFrame:
+    """A4: (user_id, order_cnt)."""
     return orders.groupBy("user_id").agg(F.count("order_id").alias("order_cnt"))
 
 
 def user_avg_order_size(orders: DataFrame, prior: DataFrame) -> DataFrame:
+    """A5: (user_id, avg_prod_cnt) - mean products per order."""
     return (order_size_by_user(orders, prior).groupBy("user_id")
             .agg(F.avg("prod_cnt").alias("avg_prod_cnt")))
 
@@ -99,6 +103,7 @@ def per_day_nested(orders: DataFrame, prior: DataFrame) -> DataFrame:
 
 
 def user_day_count(orders: DataFrame) -> DataFrame:
+    """(user_id, day_cnt) - distinct day-gap values."""
     return orders.groupBy("user_id").agg(F.countDistinct("days_since_prior_order").alias("day_cnt"))
 
 
@@ -118,15 +123,18 @@ def blank_gap_to_zero(orders: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- products
 
 def product_pv(prior: DataFrame) -> DataFrame:
+    """A10: (product_id, pv) - purchase lines per product."""
     return prior.groupBy("product_id").agg(F.count(_one()).alias("pv"))
 
 
 def product_uv(orders: DataFrame, prior: DataFrame) -> DataFrame:
+    """(product_id, uv) - distinct buyers per product."""
     j = orders.select("order_id", "user_id").join(prior.select("order_id", "product_id"), "order_id")
     return j.groupBy("product_id").agg(F.countDistinct("user_id").alias("uv"))
 
 
 def product_reorders(prior: DataFrame) -> DataFrame:
+    """(product_id, reordered_cnt)."""
     return prior.groupBy("product_id").agg(F.sum(to_int("reordered")).alias("reordered_cnt"))
 
 
@@ -220,6 +228,7 @@ def distinct_pairs(orders: DataFrame, prior: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- windows
 
 def user_product_counts(orders: DataFrame, prior: DataFrame) -> DataFrame:
+    """(user_id, product_id, prod_buy_cnt) - purchases per user and product."""
     j = orders.select("order_id", "user_id").join(prior.select("order_id", "product_id"), "order_id")
     return j.groupBy("user_id", "product_id").agg(F.count(_one()).alias("prod_buy_cnt"))
 
@@ -273,6 +282,7 @@ def three_way_join(orders: DataFrame, prior: DataFrame) -> DataFrame:
 
 
 def users_in(orders: DataFrame, eval_set: str) -> DataFrame:
+    """Distinct users with an order in ``eval_set``."""
     return orders.filter(F.col("eval_set") == eval_set).select("user_id").distinct()
 
 

@@ -29,4 +29,5 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[p
 
 
 def map_tokenize(docs: DataFrame) -> DataFrame:
+    """V8: (doc_id, seg) computed by the batch hook."""
     return map_batches(docs.select("doc_id", "text"), _segment_batches, "doc_id long, seg string")

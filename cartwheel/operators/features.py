@@ -211,6 +211,7 @@ def hash_bucket(key, buckets: int = 100) -> Column:
 
 
 def hash_split(df: DataFrame, key: str, train_pct: int = 80) -> DataFrame:
+    """Adds ``bucket`` and ``split`` ('train' below ``train_pct``, else 'test')."""
     b = hash_bucket(key)
     return df.withColumn("bucket", b).withColumn(
         "split", F.when(F.col("bucket") < train_pct, F.lit("train")).otherwise(F.lit("test")))

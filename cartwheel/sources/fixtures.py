@@ -92,6 +92,7 @@ def _lines(spark, sf_dir, eval_set: str | None) -> DataFrame:
 
 
 def fx_lines(spark, sf_dir) -> DataFrame:
+    """All basket lines (prior, train and test orders), string columns."""
     return _lines(spark, sf_dir, None)
 
 

@@ -11,6 +11,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table_path(sf_dir: str, name: str) -> str:
+    """Location of one test table below a scale-factor folder."""
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 

@@ -23,6 +23,7 @@ AVAILABLE_NOW = {"availableNow": True}
 
 
 def words_of(lines: DataFrame, keep: tuple[str, ...] = ("day",)) -> DataFrame:
+    """One row per space-separated word of ``value``, keeping ``keep`` columns."""
     return lines.select(*keep, F.explode(F.split("value", " ")).alias("word"))
 
 
