@@ -62,6 +62,10 @@ def compare(spark, con, name: str, fn, sql: str | None, sf_dir: str) -> dict:
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
     res = {"query": name, "spark_rows": len(s_rows), "spark_sec": round(t1 - t0, 2)}
+    try:   # the executed (final adaptive) plan, for plan-shape assertions
+        res["plan"] = sdf._jdf.queryExecution().executedPlan().toString()
+    except Exception:  # noqa: BLE001 - a plan string is optional
+        res["plan"] = ""
     if not sql:
         res["status"] = "rows-only"
         return res

@@ -30,6 +30,7 @@ def main(argv):
             r = compare(spark, con, name, q.fn, q.sql, sf)
         except Exception as e:  # report and continue with the rest
             r = {"query": name, "status": f"ERROR {type(e).__name__}: {str(e)[:400]}"}
+        r.pop("plan", None)
         if not r["status"].startswith(("ok", "rows-only")):
             bad += 1
         print(json.dumps(r), flush=True)

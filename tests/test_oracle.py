@@ -14,6 +14,10 @@ NAMES = sorted(load_all())
 def test_query_matches_oracle(spark, duck, registry, name):
     q = registry[name]
     res = compare(spark, duck, name, q.fn, q.sql, SF_SMALL)
+    plan = res.get("plan", "")
+    # no row-at-a-time or scalar Arrow UDF in any plan, no cartesian products
+    for node in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan, (name, node)
     if q.sql:
         assert res["status"] == "ok", res
     else:
