@@ -5,9 +5,12 @@ driver. The default body is the segmenter used across the library."""
 
 from __future__ import annotations
 
+import sys
+
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 # Fixed value: a token is a maximal run of Unicode letters (as TOKEN_PATTERN).
@@ -22,6 +25,11 @@ def _segment_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc_id": pdf["doc_id"], "seg": seg})
 
 
+# Functions of this module run inside Python workers. They are pickled by
+# value, so executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
                 schema: str) -> DataFrame:
     """Run ``fn`` over the frame's Arrow batches (one Python worker per task)."""

@@ -11,13 +11,21 @@ or crashed query resumes where it left off.
 
 from __future__ import annotations
 
+import sys
+
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+# Functions of this module run inside Python workers. They are pickled by
+# value, so executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 # Trigger used when none is given: process what is there, then stop.
 AVAILABLE_NOW = {"availableNow": True}
 
