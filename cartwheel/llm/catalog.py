@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from . import decontaminate as D2
 from . import exact_dedup as D7
+from . import token_count as D6
 from .common import documents
 
 
@@ -13,9 +16,23 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D2.decontaminate(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a vocabulary file lies: in CARTWHEEL_TOKENIZERS, else the installed public set."""
+    folder = os.environ.get("CARTWHEEL_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D6.count_tokens(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D7.exact_dedup(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op7_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op6_token_counts, op7_exact_dedup)}
 SQL = {"op2_decontaminate": D2.SQL, "op7_exact_dedup": D7.SQL}
