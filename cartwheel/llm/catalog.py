@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import decontaminate as D2
 from . import exact_dedup as D7
+from . import packing as D4
 from . import token_count as D6
+from . import token_files as D9
 from .common import documents
 
 
@@ -26,6 +28,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D4.pack_documents(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D6.count_tokens(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
 
@@ -34,5 +40,9 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D7.exact_dedup(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op6_token_counts, op7_exact_dedup)}
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D9.encode_to_files(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op4_packing, op6_token_counts, op7_exact_dedup, op9_token_files)}
 SQL = {"op2_decontaminate": D2.SQL, "op7_exact_dedup": D7.SQL}
