@@ -46,7 +46,8 @@ def _split(rows: DataFrame, key: list[str], width: int) -> DataFrame:
     groups = groups.withColumn("next_gid", F.monotonically_increasing_id())
     groups = cut_lineage(groups, "radix_groups")
     same = [rows[c].eqNullSafe(groups[c]) for c in [*key, "digit"]]
-    out = rows.join(groups, same, "left").select(
+    # a merge join at every size: text never moves more at one size than at another
+    out = rows.join(groups.hint("merge"), same, "left").select(
         *[rows[c] for c in rows.columns if c not in ("digit", "rest", "gid", "members", "row_id")],
         F.col("next_gid").alias("gid"), F.coalesce(groups["members"], F.lit(1)).alias("members"),
         F.when(F.col("next_gid").isNotNull(),
@@ -90,7 +91,7 @@ def exact_dedup(docs: DataFrame, **digits) -> DataFrame:
     best = F.min(F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("z"), F.col("doc_id"),
                           F.col("row_id")))
     keep = copies.groupBy("class_id").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
-    in_class = copies.join(keep, "class_id").select(
+    in_class = copies.join(keep.hint("merge"), "class_id").select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
         (F.col("row_id") == F.col("best.row_id")).alias("kept"), "text_sha256")
     alone = rows.filter("class_id is null").select(
