@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import chat_format as D8
 from . import decontaminate as D2
 from . import exact_dedup as D7
 from . import packing as D4
 from . import token_count as D6
 from . import token_files as D9
+from . import url_rules as D10
 from .common import documents
 
 
@@ -40,9 +44,29 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D7.exact_dedup(documents(spark, sf_dir))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table's rows as one layout, and conversation -7 as another."""
+    rows = documents(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"}).alias("record"))
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(1).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("turn"),
+        F.lit(json.dumps({"messages": [{"role": r, "content": said} for r in ("user", "assistant")]})).alias("record"))
+    return D8.conversation_digests(D8.format_records(rows.unionByName(extra)))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D9.encode_to_files(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op4_packing, op6_token_counts, op7_exact_dedup, op9_token_files)}
-SQL = {"op2_decontaminate": D2.SQL, "op7_exact_dedup": D7.SQL}
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled urls: those a list rule settles, and pages whose id has a quality or toxicity label."""
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = documents(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), F.when(F.coalesce(bad, F.lit(False)), "block").otherwise("allow").alias("label"))
+    return D10.judge(documents(spark, sf_dir, "pages").select("page_id", "url"), labels)
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_decontaminate, op4_packing, op6_token_counts, op7_exact_dedup, op8_chat_format, op9_token_files, op10_url_rules)}
+SQL = {"op2_decontaminate": D2.SQL, "op7_exact_dedup": D7.SQL, "op8_chat_format": D8.SQL}
