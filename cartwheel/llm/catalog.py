@@ -14,6 +14,7 @@ from . import exact_dedup as D7
 from . import packing as D4
 from . import token_count as D6
 from . import token_files as D9
+from . import toxicity as D5
 from . import url_rules as D10
 from .common import documents
 
@@ -36,6 +37,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D4.pack_documents(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D5.detect(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D6.count_tokens(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
 
@@ -68,5 +73,5 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_decontaminate, op4_packing, op6_token_counts, op7_exact_dedup, op8_chat_format, op9_token_files, op10_url_rules)}
+    op2_decontaminate, op4_packing, op5_toxicity, op6_token_counts, op7_exact_dedup, op8_chat_format, op9_token_files, op10_url_rules)}
 SQL = {"op2_decontaminate": D2.SQL, "op7_exact_dedup": D7.SQL, "op8_chat_format": D8.SQL}
