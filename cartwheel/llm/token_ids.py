@@ -1,9 +1,11 @@
 """Token ids of whole texts by the tokenizers library, a unit at a time.
 
-A text is cut where the tokenizer's own pre-tokenizer always cuts, at blanks, so
-the ids of the units in a row are the ids of the text; each unit met is given to
-the library once and kept in a bounded table. A text that holds one of the
-tokenizer's added tokens goes to the library whole.
+A text is cut where the tokenizer's own pre-tokenizer always cuts, at blanks and
+between Latin letters and ASCII punctuation, so the ids of the units in a row are the
+ids of the text. Units met are given to the library once and kept in a bounded table
+of two generations: when the young one is full it becomes the old one, and units that
+are met again move up. A text that holds one of the tokenizer's added tokens goes to
+the library whole.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -20,28 +23,41 @@ ship(__name__)
 
 # Fixed value: Unicode White_Space, as the pre-tokenizers' \s has it.
 _WS = "\t-\r \x85\xa0  -     　"
+_LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+# Latin letters (but U+0130, whose lower case has a mark) with no other letter or digit after them.
+_WORD = f"[{_LETTERS}]+(?=[{_WS}!-/:-@\\[-`{{-~]|\\Z)"
 END_ID = 1
 
 
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet, for bytes read as Latin-1: printable bytes stand for
+    themselves, the others for the letters from U+0100 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
 def describe(path: str) -> dict:
     """What tasks need of a tokenizer file (a vocabulary, so its size is bounded):
     its text, added tokens, and the kind of units its pre-tokenizer allows."""
     with open(path, encoding="utf-8") as f:
         text = f.read()
     conf = json.loads(text)
+    lower = False
     if conf["normalizer"] is None and conf["pre_tokenizer"]["type"] == "ByteLevel" and not conf["pre_tokenizer"]["add_prefix_space"]:
-        units = f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
-    elif conf["pre_tokenizer"]["type"] == "Sequence" and conf["model"]["end_of_word_suffix"]:
-        units = f"[^{_WS}]+"
+        units = f" ?{_WORD}| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
+    elif conf["pre_tokenizer"]["type"] == "Sequence" and conf["model"]["end_of_word_suffix"] \
+            and [n["type"] for n in conf["normalizer"]["normalizers"]] == ["NFC", "Replace", "Lowercase"]:
+        units, lower = f"{_WORD}|[^{_WS}]+", True
     else:
         raise ValueError(f"no unit rule for the pre-tokenizer of {path}")
     size = len(conf["model"]["vocab"]) + len(conf["added_tokens"])
-    return {"text": text, "added": [t["content"] for t in conf["added_tokens"]], "units": units,
+    return {"text": text, "added": [t["content"] for t in conf["added_tokens"]], "units": units, "lower": lower,
             "dtype": "<u2" if size <= 1 << 16 else "<u4"}
 
 
 class UnitEncoder:
-    MOST_UNITS = 300_000
+    GENERATION = 450_000
     LONG = 200              # longer units are not kept
 
     def __init__(self, description: dict):
@@ -49,26 +65,41 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(description["text"])
+        self.model = self.tokenizer.model
         self.units = re.compile(description["units"]).findall
+        self.one_word = re.compile(f" ?[{_LETTERS}]+").fullmatch
+        self.lower = description["lower"]
+        self.letters = byte_letters()
+        self.code = {2: "H", 4: "I"}[np.dtype(description["dtype"]).itemsize]
         self.added = description["added"]
         self.dtype = np.dtype(description["dtype"])
         self.end = np.array([END_ID], self.dtype).tobytes()
-        self.kept: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes()
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word(self, unit: str) -> bytes:
+        """A unit that is one word needs only the library's merge model."""
+        written = (unit.lower() if self.lower else unit).encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.model.tokenize(written)]).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text and the end id, as little-endian numbers of ``dtype``."""
-        if len(self.kept) > self.MOST_UNITS:
-            self.kept.clear()
+        if len(self.young) > self.GENERATION:
+            self.young, self.old = {}, self.young
         cut = [None if any(a in (t or "") for a in self.added) else self.units(t or "") for t in texts]
-        new = set().union(*(u for u in cut if u)).difference(self.kept)
+        new = set().union(*(u for u in cut if u)).difference(self.young)
+        again = new.intersection(self.old)
+        self.young.update((u, self.old[u]) for u in again)
+        new -= again
         long = {u for u in new if len(u) > self.LONG}
-        short = list(new - long)
-        self.kept.update(zip(short, self._library(short)))
-        table = self.kept if not long else {**self.kept, **dict(zip(long, self._library(list(long))))}
+        words = {u for u in new - long if self.one_word(u)}
+        self.young.update((u, self._word(u)) for u in words)
+        other = list(new - words - long)
+        self.young.update(zip(other, self._library(other)))
+        table = self.young | dict(zip(long, self._library(list(long)))) if long else self.young
         get = table.__getitem__
         return [(b"".join(map(get, u)) if u is not None else self._library([t])[0]) + self.end
                 for t, u in zip(texts, cut)]
