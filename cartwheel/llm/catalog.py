@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import chat_format as D8
 from . import decontaminate as D2
 from . import exact_dedup as D7
+from . import near_dedup as D1
 from . import packing as D4
 from . import token_count as D6
 from . import token_files as D9
@@ -19,6 +20,10 @@ from . import url_rules as D10
 from .common import documents
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D1.near_dedup(documents(spark, sf_dir))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D2.decontaminate(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
@@ -73,5 +78,5 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_decontaminate, op4_packing, op5_toxicity, op6_token_counts, op7_exact_dedup, op8_chat_format, op9_token_files, op10_url_rules)}
+    op1_near_dedup, op2_decontaminate, op4_packing, op5_toxicity, op6_token_counts, op7_exact_dedup, op8_chat_format, op9_token_files, op10_url_rules)}
 SQL = {"op2_decontaminate": D2.SQL, "op7_exact_dedup": D7.SQL, "op8_chat_format": D8.SQL}
