@@ -13,6 +13,7 @@ from . import decontaminate as D2
 from . import exact_dedup as D7
 from . import near_dedup as D1
 from . import packing as D4
+from . import quality as D3
 from . import token_count as D6
 from . import token_files as D9
 from . import toxicity as D5
@@ -38,6 +39,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D3.classify(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D4.pack_documents(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
@@ -78,5 +83,5 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_near_dedup, op2_decontaminate, op4_packing, op5_toxicity, op6_token_counts, op7_exact_dedup, op8_chat_format, op9_token_files, op10_url_rules)}
+    op1_near_dedup, op2_decontaminate, op3_quality, op4_packing, op5_toxicity, op6_token_counts, op7_exact_dedup, op8_chat_format, op9_token_files, op10_url_rules)}
 SQL = {"op2_decontaminate": D2.SQL, "op7_exact_dedup": D7.SQL, "op8_chat_format": D8.SQL}

@@ -1,36 +1,60 @@
 """The corpus pipeline: ``documents`` through five of the training-data operators.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
-as Parquet in the shared folder and read again as the next stage's ``docs``.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
+Parquet in the shared folder and read again as the next stage's ``docs``. All stages but
+the last return the columns of ``docs``; rows that share a doc_id share its fate, so
+repeated rows stay or go together. Null texts count as empty in every stage.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartwheel.llm import decontaminate as D2
 from cartwheel.llm import exact_dedup as D7
+from cartwheel.llm import near_dedup as D1
+from cartwheel.llm import packing as D4
+from cartwheel.llm import toxicity as D5
+from cartwheel.llm.catalog import tokenizer_file
 from cartwheel.llm.common import cut_lineage, documents
 
 
-def only_kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is among the verdicts' (a set of ids)."""
-    ids = verdicts.select("doc_id").distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+def keep_rows(docs: DataFrame, verdicts: DataFrame, kept: str) -> DataFrame:
+    """The rows of ``docs`` whose doc_id has a verdict that says ``kept``."""
+    ids = verdicts.filter(kept).select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the noisy-or of their sentences predicts toxic go."""
+    return keep_rows(docs, D5.detect(docs, documents(spark, sf_dir, "labels")), "predicted = 0")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return only_kept(docs, D7.exact_dedup(docs).filter("kept"))
+    """Of equal texts the longest original stays."""
+    return keep_rows(docs, D7.exact_dedup(docs), "kept")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component stays, that of the smallest doc_id."""
+    return keep_rows(docs, D1.near_dedup(docs), "kept")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    verdicts = D2.decontaminate(docs, documents(spark, sf_dir, "benchmark"))
-    return only_kept(docs, verdicts.filter("not contaminated"))
+    """Documents with a benchmark window go."""
+    return keep_rows(docs, D2.decontaminate(docs, documents(spark, sf_dir, "benchmark")), "not contaminated")
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the training sequences."""
+    return D4.pack_documents(docs, tokenizer_file("byte_bpe_50k.json"))
 
 
-STAGES = [("exact dedup", exact_dedup), ("decontaminate", decontaminate)]
+STAGES = [("toxicity", toxicity), ("exact dedup", exact_dedup), ("near dedup", near_dedup),
+          ("decontamination", decontaminate), ("packing", packing)]
 
-# No SQL: the toxicity, near-dedup and packing stages are not SQL-expressible.
+# SQL can't state the trained, tokenising and packing stages; a brute-force version in the tests does.
 ORACLE_SQL = None
 
 
