@@ -247,7 +247,7 @@ def pack(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
             return out
         return work
 
-    tails = tokens.filter("tail > 0").join(ranks.select("tail", "block", "before"), ["tail", "block"]).select(
+    tails = tokens.filter("tail > 0").join(ranks.select("tail", "block", "before").hint("merge"), ["tail", "block"]).select(
         "doc_id", "tail", (F.col("tail_rank") + F.col("before")).alias("rank"),
         F.element_at("crcs", -1).alias("crc"), "n_tokens", "block", "row")
     placed = cut_lineage(map_arrow(

@@ -56,9 +56,26 @@ def describe(path: str) -> dict:
             "dtype": "<u2" if size <= 1 << 16 else "<u4"}
 
 
+class UnitTable(dict):
+    """unit -> ids; a unit that is missing comes from the older generation or is made."""
+
+    LONG = 200              # longer units are not kept
+
+    def __init__(self, make, old: dict):
+        super().__init__()
+        self.make, self.old = make, old
+
+    def __missing__(self, unit: str) -> bytes:
+        raw = self.old.get(unit)
+        if raw is None:
+            raw = self.make(unit)
+        if len(unit) <= self.LONG:
+            self[unit] = raw
+        return raw
+
+
 class UnitEncoder:
     GENERATION = 450_000
-    LONG = 200              # longer units are not kept
 
     def __init__(self, description: dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -70,39 +87,37 @@ class UnitEncoder:
         self.one_word = re.compile(f" ?[{_LETTERS}]+").fullmatch
         self.lower = description["lower"]
         self.letters = byte_letters()
-        self.code = {2: "H", 4: "I"}[np.dtype(description["dtype"]).itemsize]
+        self.blank = self.letters[32]
         self.added = description["added"]
         self.dtype = np.dtype(description["dtype"])
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]       # native order is little-endian on Spark's hosts
         self.end = np.array([END_ID], self.dtype).tobytes()
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _word(self, unit: str) -> bytes:
-        """A unit that is one word needs only the library's merge model."""
-        written = (unit.lower() if self.lower else unit).encode().decode("latin-1").translate(self.letters)
+        self.table = UnitTable(self._make, {})
+
+    def _make(self, unit: str) -> bytes:
+        if not self.one_word(unit):
+            return array(self.code, self.tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
+        # one word: only the library's merge model is left to apply
+        written = unit.lower() if self.lower else unit
+        if written.isascii():
+            written = written.replace(" ", self.blank)
+        else:
+            written = written.encode().decode("latin-1").translate(self.letters)
         return array(self.code, [t.id for t in self.model.tokenize(written)]).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text and the end id, as little-endian numbers of ``dtype``."""
-        if len(self.young) > self.GENERATION:
-            self.young, self.old = {}, self.young
-        cut = [None if any(a in (t or "") for a in self.added) else self.units(t or "") for t in texts]
-        new = set().union(*(u for u in cut if u)).difference(self.young)
-        again = new.intersection(self.old)
-        self.young.update((u, self.old[u]) for u in again)
-        new -= again
-        long = {u for u in new if len(u) > self.LONG}
-        words = {u for u in new - long if self.one_word(u)}
-        self.young.update((u, self._word(u)) for u in words)
-        other = list(new - words - long)
-        self.young.update(zip(other, self._library(other)))
-        table = self.young | dict(zip(long, self._library(list(long)))) if long else self.young
-        get = table.__getitem__
-        return [(b"".join(map(get, u)) if u is not None else self._library([t])[0]) + self.end
-                for t, u in zip(texts, cut)]
+        if len(self.table) > self.GENERATION:
+            self.table = UnitTable(self._make, dict(self.table))
+        get, units, out = self.table.__getitem__, self.units, []
+        for text in texts:
+            text = text or ""
+            if any(a in text for a in self.added):
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+                out.append(array(self.code, ids).tobytes() + self.end)
+            else:
+                out.append(b"".join(map(get, units(text))) + self.end)
+        return out
 
 
 def encoder(shared) -> UnitEncoder:
