@@ -96,7 +96,7 @@ def sketch(sets: list[np.ndarray]) -> np.ndarray:
     while len(items):
         for _ in range(int(np.clip(50_000 // len(items), 1, 32))):
             j += 1
-            u = mixed(items + np.uint64(j) * _GOLD)
+            u = mixed(items + np.uint64(j * int(_GOLD) % (1 << 64)))
             time = time - np.log(((u >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53) / m
             np.minimum.at(first, owner * m + (u & np.uint64(m - 1)).astype(np.int64), time)
         latest = first.reshape(-1, m).max(axis=1)
