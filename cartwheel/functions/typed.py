@@ -29,9 +29,17 @@ def to_double(x) -> Column:
     return _c(x).try_cast("double")
 
 
+def to_whole(x) -> Column:
+    """String -> int by its value: '7' and '7.0' are 7, '7.9' is cut to 7;
+    blank or unparsable text becomes NULL."""
+    return F.coalesce(to_int(x), to_double(x).try_cast("int"))
+
+
 def blank_to_zero(x, as_type: str = "double") -> Column:
-    """``if(x='', 0, x)`` as a number: blank, NULL or unparsable -> 0."""
-    return F.coalesce(F.nullif(_c(x), F.lit("")).try_cast(as_type), F.lit(0).cast(as_type))
+    """``if(x='', 0, x)`` as a number: blank, NULL or unparsable -> 0. Whole
+    types take the value cut to a whole number, so '15.0' is 15."""
+    value = to_double(x) if as_type == "double" else to_whole(x).cast(as_type)
+    return F.coalesce(value, F.lit(0).cast(as_type))
 
 
 def safe_ratio(num, den) -> Column:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.typed import blank_to_zero, hour_gap, safe_ratio, to_int, to_long
+from ..functions.typed import blank_to_zero, hour_gap, safe_ratio, to_int, to_long, to_whole
 from ..session import cut_lineage
 from . import analytics as A
 
@@ -53,7 +53,7 @@ def product_position(prior: DataFrame) -> DataFrame:
 def user_gap(orders: DataFrame, blank_as_zero: bool = True) -> DataFrame:
     """Mean day gap; the first order's blank gap counts as 0 unless
     ``blank_as_zero=False`` (then it is left out of the mean)."""
-    g = blank_to_zero("days_since_prior_order", "int") if blank_as_zero else to_int("days_since_prior_order")
+    g = blank_to_zero("days_since_prior_order", "int") if blank_as_zero else to_whole("days_since_prior_order")
     return orders.groupBy("user_id").agg(F.avg(g).alias("u_avg_day_gap"))
 
 

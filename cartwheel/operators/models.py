@@ -63,12 +63,17 @@ def logistic_regression(matrix: DataFrame, formula: str = FORMULA_7, train_pct:
     return model, pred
 
 
+def tfidf_stages(min_doc_freq: int) -> list:
+    """E1 + E2: hashed term counts (2^18 buckets), then IDF."""
+    return [HashingTF(inputCol="seg", outputCol="term_counts", numFeatures=NUM_FEATURES),
+            IDF(inputCol="term_counts", outputCol="features", minDocFreq=min_doc_freq)]
+
+
 def text_features(docs: DataFrame, text: str = "sentence", min_doc_freq: int = 1,
                   min_len: int = 1) -> DataFrame:
-    """E1 + E2 vectorised: hashed term counts (2^18 buckets) -> IDF."""
+    """TF-IDF vectors of a text column's tokens of at least ``min_len`` letters."""
     d = docs.withColumn("seg", tokens(text, min_len))
-    tf = HashingTF(inputCol="seg", outputCol="rawFeatures", numFeatures=NUM_FEATURES, binary=False).transform(d)
-    return IDF(inputCol="rawFeatures", outputCol="features", minDocFreq=min_doc_freq).fit(tf).transform(tf)
+    return Pipeline(stages=tfidf_stages(min_doc_freq)).fit(d).transform(d)
 
 
 def kmeans_estimator(k: int = 10, seed: int = 2019) -> KMeans:
@@ -85,25 +90,20 @@ def kmeans_assign(docs: DataFrame, k: int = 10, seed: int = 2019) -> tuple[DataF
     return model.transform(feats).select("doc_id", "label", "pred"), model.summary.trainingCost
 
 
-def nb_estimator() -> Pipeline:
-    """E1-E4 as one pipeline: hashed TF -> IDF (minDocFreq 1) -> label index
-    (unseen label = error) -> multinomial NB with smoothing 1."""
-    return Pipeline(stages=[
-        HashingTF(inputCol="seg", outputCol="rawFeatures", numFeatures=NUM_FEATURES, binary=False),
-        IDF(inputCol="rawFeatures", outputCol="features", minDocFreq=1),
-        StringIndexer(inputCol="label", outputCol="indexs", handleInvalid="error"),
-        NaiveBayes(modelType="multinomial", smoothing=1.0, featuresCol="features", labelCol="indexs",
-                   predictionCol="preIndexs", probabilityCol="probIndexs", rawPredictionCol="rawPred"),
-    ])
+def nb_stages(min_doc_freq: int = 1) -> list:
+    """The label index (unseen label = error), the TF-IDF stages of
+    ``text_features`` and a multinomial NB with smoothing 1."""
+    index = StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="error")
+    bayes = NaiveBayes(labelCol=index.getOutputCol(), featuresCol="features", smoothing=1.0)
+    return [index, *tfidf_stages(min_doc_freq), bayes]
 
 
 def model_roundtrip(spark: SparkSession, docs: DataFrame, path: str, train_pct: int = 80) -> DataFrame:
-    """Fit the NB pipeline, save it, load it back and score the test rows."""
-    d = docs.withColumn("seg", tokens("sentence"))
-    train, test = split(d, "doc_id", train_pct)
-    fit(nb_estimator(), train).write().overwrite().save(path)
-    return (PipelineModel.load(path).transform(test)
-            .select("doc_id", "label", "indexs", "preIndexs"))
+    """Fit the index, TF-IDF and NB stages on the train split, save them as
+    one model, load it back and score the test rows with the loaded copy."""
+    train, test = split(docs.select("doc_id", "label", tokens("sentence").alias("seg")), "doc_id", train_pct)
+    fit(Pipeline(stages=nb_stages()), train).write().overwrite().save(path)
+    return PipelineModel.load(path).transform(test).select("doc_id", "label", "label_index", "prediction")
 
 
 def libsvm_write(matrix: DataFrame, path: str, features: list[str]) -> None:
@@ -118,12 +118,17 @@ def libsvm_read(spark: SparkSession, path: str, num_features: int) -> DataFrame:
     return spark.read.format("libsvm").option("numFeatures", num_features).load(path)
 
 
+def svm_estimator(iterations: int = 100) -> LinearSVC:
+    """Regularisation 0.01, no intercept, no feature scaling."""
+    return LinearSVC(maxIter=iterations, regParam=0.01, fitIntercept=False, standardization=False)
+
+
 def svm_margin(data: DataFrame, train_pct: int = 60, iterations: int = 100) -> DataFrame:
     """G1: linear SVM, 100 iterations; the raw margin (threshold cleared) on
     the held-out rows. Split on a content hash of the row for repeatability."""
     keyed = data.withColumn("_k", F.sha2(F.to_json(F.struct(
         "label", vector_to_array("features").alias("f"))), 256))
     train, test = split(keyed, "_k", train_pct)
-    model = fit(LinearSVC(maxIter=iterations, regParam=0.0), train)
+    model = fit(svm_estimator(iterations), train)
     return model.transform(test).select("label", vector_to_array("rawPrediction")[1].alias("margin"))
 

@@ -3,7 +3,6 @@ set operations, scalar functions) on the derived shopping-cart tables."""
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -217,11 +216,9 @@ def q_product_pv_uv_onepass(spark, sf):
 
 
 @query("product_pv_uv_join", ops=("J8",), fx=OP, sql="""
-SELECT t1.product_id, t1.pv, t1.reordered_cnt, t2.uv FROM
- (SELECT product_id, count(*) AS pv, CAST(sum(CAST(reordered AS INTEGER)) AS BIGINT) AS reordered_cnt
-  FROM fx_prior GROUP BY product_id) t1
-JOIN (SELECT p.product_id, count(DISTINCT o.user_id) AS uv FROM fx_orders o JOIN fx_prior p ON o.order_id = p.order_id
-      GROUP BY p.product_id) t2 ON t1.product_id = t2.product_id""")
+SELECT l.product_id, count(*) AS pv, count(*) FILTER (l.reordered = '1') AS reordered_cnt,
+       count(DISTINCT b.user_id) AS uv
+FROM fx_prior l, fx_orders b WHERE b.order_id = l.order_id GROUP BY l.product_id""")
 def q_product_pv_uv_join(spark, sf):
     return A.product_pv_uv_join(*_op(spark, sf))
 
@@ -421,38 +418,3 @@ def q_head_rows(spark, sf):
     plans as a distributed top-k (TakeOrderedAndProject)."""
     o = FXS.load(spark, sf, "fx_orders")
     return o.orderBy(to_long("order_id")).limit(300).select("order_id", "user_id", "order_dow")
-
-
-@query("user_top_decile_sql", ops=("W2", "W3", "W4"), fx=OP, sql=f"""
-SELECT user_id, string_agg(product_id || '_' || CAST(row_num AS VARCHAR) || '_' || CAST(total AS VARCHAR), ','
-                           ORDER BY row_num) AS top_10_perc_prod
-FROM (SELECT user_id, product_id,
-             row_number() OVER (PARTITION BY user_id ORDER BY c DESC, CAST(product_id AS BIGINT)) AS row_num,
-             CAST(ceil(CAST(count(*) OVER (PARTITION BY user_id) AS DOUBLE) * CAST(0.1 AS DOUBLE)) AS BIGINT) AS total
-      FROM {_UPC} t) r
-WHERE row_num <= total GROUP BY user_id""")
-def q_user_top_decile_sql(spark, sf):
-    """W2-W4 through spark.sql, using the warehouse dialect's window clause
-    ``OVER (DISTRIBUTE BY k SORT BY ...)`` (Spark reads it as PARTITION BY /
-    ORDER BY). Same result as ``user_top_decile``; product_id breaks ties."""
-    o, p = _op(spark, sf)
-    tag = uuid.uuid4().hex[:10]
-    ov, pv = f"orders_{tag}", f"prior_{tag}"
-    o.createOrReplaceTempView(ov)
-    p.createOrReplaceTempView(pv)
-    return spark.sql(f"""
-        WITH bought AS (
-          SELECT a.user_id, b.product_id, count(*) AS times
-          FROM {ov} a JOIN {pv} b ON a.order_id = b.order_id
-          GROUP BY a.user_id, b.product_id),
-        ordered AS (
-          SELECT user_id, product_id,
-                 row_number() OVER (DISTRIBUTE BY user_id SORT BY times DESC, bigint(product_id)) AS pos,
-                 bigint(ceil(double(count(*) OVER (DISTRIBUTE BY user_id)) * 0.1D)) AS keep
-          FROM bought)
-        SELECT user_id,
-               array_join(transform(array_sort(collect_list(named_struct(
-                   'pos', pos, 'tag', concat_ws('_', product_id, string(pos), string(keep))))),
-                   e -> e.tag), ',') AS top_10_perc_prod
-        FROM ordered WHERE pos <= keep
-        GROUP BY user_id""")
