@@ -20,7 +20,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cartwheel.plans.registry import load_all  # noqa: E402
-from cartwheel.session import build_session  # noqa: E402
+from cartwheel.session import build_session, stop_session  # noqa: E402
 
 HEADLINE = [
     "word_count", "top_words", "user_top3_products", "user_top_decile", "product_pv_uv_onepass",
@@ -71,7 +71,7 @@ def main() -> int:
     if cold is not None:
         out["cold_total"] = round(cold + times["fixtures"], 3)
     print(json.dumps(out))
-    spark.stop()
+    stop_session(spark)
     return 0
 
 

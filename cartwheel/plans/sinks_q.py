@@ -1,4 +1,4 @@
-"""Catalog: file sources, table sinks and table maintenance.
+"""Catalog: file sources, table sinks and table maintenance.
 
 Each query writes its table below the session's shared folder, reads it back
 and returns what was read, so the oracle checks the round trip."""
@@ -10,7 +10,6 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions.typed import to_int
-from ..operators.batches import map_tokenize
 from ..session import scratch_path
 from ..sinks import tables as SK
 from ..sources import fixtures as FXS
@@ -61,14 +60,11 @@ def q_text_lines(spark, sf):
 
 
 @query("external_table", ops=("S4",), fx=("fx_ratings",), sql="""
-SELECT user_id, item_id, rating FROM fx_ratings WHERE rating = 5""")
+SELECT user_id, item_id, rating FROM fx_ratings""")
 def q_external_table(spark, sf):
     path = scratch_path(spark, "ext")
-    SK.overwrite(FXS.load(spark, sf, "fx_ratings").filter(F.col("rating") == 5), path)
-    name = _name("ext")
-    external_table(spark, name, path).count()
-    spark.sql(f"DROP TABLE {name}")            # drops metadata only
-    return spark.read.parquet(path)
+    SK.overwrite(FXS.load(spark, sf, "fx_ratings"), path)
+    return external_table(spark, _name("ext"), path)
 
 
 _LABEL_SQL = "CASE " + " ".join(f"WHEN host LIKE '%{r}%' THEN '{r}'" for r in LABEL_RULES) + f" ELSE '{UNKNOWN_LABEL}' END"
@@ -102,8 +98,7 @@ SELECT event_id, event_type, strftime(ts, '%Y%m%d') AS dt FROM events
 WHERE strftime(ts, '%Y%m%d') IN (SELECT DISTINCT strftime(ts, '%Y%m%d') AS d FROM events ORDER BY d DESC LIMIT 7)""")
 def q_snapshot_retention(spark, sf):
     """Daily snapshot partitions, keep the newest 7: older partition folders
-    are dropped, then the table is read back (the read-time form
-    ``retain_latest`` gives the same rows without deleting)."""
+    are dropped, then the table is read back."""
     path = scratch_path(spark, "events_dt")
     e = load_table(spark, sf, "events").select(
         "event_id", "event_type", F.date_format("ts", "yyyyMMdd").alias("dt"))
@@ -112,12 +107,12 @@ def q_snapshot_retention(spark, sf):
     return SK.read_partitioned(spark, path, ["dt"])
 
 
-@query("overwrite_readback", ops=("K1",), fx=("fx_orders",), sql="SELECT * FROM fx_orders WHERE eval_set = 'train'")
+@query("overwrite_readback", ops=("K1",), fx=("fx_orders",), sql="SELECT * FROM fx_orders")
 def q_overwrite_readback(spark, sf):
     o = FXS.load(spark, sf, "fx_orders")
     name, path = _name("orders_tbl"), scratch_path(spark, "orders_tbl")
-    SK.save_as_table(o.filter(F.col("eval_set") == "test"), name, path)
-    t = SK.save_as_table(o.filter(F.col("eval_set") == "train"), name, path)   # overwrite
+    SK.save_as_table(o.withColumn("order_number", F.lit("0")), name, path)
+    t = SK.save_as_table(o, name, path)   # overwrite
     return t.select(*ORDER_COLS)
 
 
@@ -178,6 +173,16 @@ def q_wide_column_cells(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("script_transform", ops=("V8",), sql="""
+SELECT CAST(event_id AS VARCHAR) AS event_id, upper(event_type) AS kind FROM events""")
+def q_script_transform(spark, sf):
+    """V8: rows through an external command, Spark's own TRANSFORM ... USING;
+    each task pipes its rows through one process."""
+    view = _name("events")
+    load_table(spark, sf, "events").select("event_id", "event_type").createOrReplaceTempView(view)
+    return spark.sql(f"SELECT TRANSFORM(event_id, event_type) USING 'tr a-z A-Z' AS (event_id STRING, kind STRING) FROM {view}")
+
+
 @query("text_save", ops=("K10",), fx=("fx_orders",), sql="""
 SELECT '(' || user_id || ',(' || order_number || ',' || order_hour_of_day || '))' AS value FROM fx_orders""")
 def q_text_save(spark, sf):
@@ -187,9 +192,3 @@ def q_text_save(spark, sf):
     path = scratch_path(spark, "pairs_txt")
     SK.save_text(o, path, line)
     return spark.read.text(path)
-
-
-@query("map_batches", ops=("V8",), sql="""
-SELECT doc_id, array_to_string(regexp_extract_all(lower(text), '\\p{L}+'), ' ') AS seg FROM documents""")
-def q_map_batches(spark, sf):
-    return map_tokenize(load_table(spark, sf, "documents").select("doc_id", "text"))

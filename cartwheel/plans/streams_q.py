@@ -28,19 +28,20 @@ INGEST_DT = "20181212"
 
 def _lines(spark, sf):
     src = SS.stage_lines(spark, sf, scratch_path(spark, "lines"))
-    return SS.text_stream(spark, src, max_files_per_trigger=1)
+    return SS.text_stream(spark, src)
 
 
 def _read_batches(spark, out):
     return spark.read.parquet(out).drop("batch_id")
 
 
-@query("stream_batch_wordcount", ops=("F1", "S12", "S13", "K11", "F10"), sql=f"""
+@query("stream_batch_wordcount", ops=("F1", "S13", "K11", "F10"), sql=f"""
 SELECT strftime(ts, '%Y-%m-%d') AS day, word, count(*) AS cnt FROM {WORDS_SQL} w GROUP BY 1, 2""")
 def q_stream_batch_wordcount(spark, sf):
     out = scratch_path(spark, "wc_batches")
     SC.per_batch_word_counts(_lines(spark, sf), out, scratch_path(spark, "chk"))
-    return _read_batches(spark, out).select("day", "word", "cnt")
+    # a day may be read in several batches, each with its own counts
+    return _read_batches(spark, out).groupBy("day", "word").agg(F.sum("cnt").alias("cnt"))
 
 
 @query("stream_line_count", ops=("F2",), sql="""
@@ -49,7 +50,7 @@ FROM events GROUP BY 1, 2""")
 def q_stream_line_count(spark, sf):
     out = scratch_path(spark, "lc_batches")
     SC.per_batch_line_counts(_lines(spark, sf), out, scratch_path(spark, "chk"))
-    return _read_batches(spark, out).select("day", "line", "cnt")
+    return _read_batches(spark, out).groupBy("day", "line").agg(F.sum("cnt").alias("cnt"))
 
 
 @query("stream_running_count", ops=("F3", "F6"), sql=f"""
@@ -86,7 +87,7 @@ SELECT json_extract_string(value, '$.order_id') AS order_id, json_extract_string
        '{INGEST_DT}' AS dt FROM fx_offsets""")
 def q_stream_json_append(spark, sf):
     src = SS.stage_messages(spark, sf, scratch_path(spark, "messages"))
-    msgs = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+    msgs = spark.readStream.schema("value string").text(src)
     out, bad = scratch_path(spark, "order_partition"), scratch_path(spark, "quarantine")
     SI.ingest_json(msgs, INGEST_DT, out, bad, scratch_path(spark, "chk"))
     t = spark.read.option("basePath", out).parquet(out)
@@ -112,17 +113,41 @@ _COMMITTED_SQL = " UNION ALL ".join(f"SELECT '{t}' AS topic, {p} AS \"partition\
                                     for t, p, o in COMMITTED)
 
 
-@query("resume_from_offsets", ops=("F9",), fx=("fx_offsets",), sql=f"""
+def _resume_sql(missing: str, default: str) -> str:
+    return f"""
 WITH c AS ({_COMMITTED_SQL}),
 b AS (SELECT topic, "partition", min("offset") AS low, max("offset") + 1 AS high FROM fx_offsets GROUP BY 1, 2),
 s AS (SELECT b.topic, b."partition",
-             CASE WHEN c.committed IS NULL THEN b.low ELSE GREATEST(b.low, LEAST(c.committed, b.high)) END AS start
+             CASE WHEN {missing} THEN b.{default} ELSE GREATEST(b.low, LEAST(c.committed, b.high)) END AS start
       FROM b LEFT JOIN c ON b.topic = c.topic AND b."partition" = c."partition")
 SELECT l.topic, l."partition", l."offset", l.value FROM fx_offsets l
-JOIN s ON l.topic = s.topic AND l."partition" = s."partition" WHERE l."offset" >= s.start""")
+JOIN s ON l.topic = s.topic AND l."partition" = s."partition" WHERE l."offset" >= s.start"""
+
+
+def _resume(spark, sf, **rule):
+    committed = spark.createDataFrame(COMMITTED, "topic string, partition int, committed long")
+    return SI.resume_from(FXS.load(spark, sf, "fx_offsets"), committed, **rule).select("topic", "partition", "offset", "value")
+
+
+@query("resume_from_offsets", ops=("F9",), fx=("fx_offsets",), sql=_resume_sql("c.committed IS NULL", "low"))
 def q_resume_from_offsets(spark, sf):
+    """A partition without a commit starts at its earliest offset by itself."""
+    return _resume(spark, sf, default="earliest", whole_topic=False)
+
+
+@query("resume_whole_topic", ops=("F9",), fx=("fx_offsets",),
+       sql=_resume_sql("bool_or(c.committed IS NULL) OVER (PARTITION BY b.topic)", "low"))
+def q_resume_whole_topic(spark, sf):
+    """A partition without a commit sends its whole topic to the default start, here the earliest offset."""
+    return _resume(spark, sf, default="earliest")
+
+
+@query("resume_at_end", ops=("F9",), fx=("fx_offsets",), sql="""
+SELECT topic, "partition", max("offset") + 1 AS start FROM fx_offsets GROUP BY topic, "partition\"""")
+def q_resume_at_end(spark, sf):
+    """The default rule: without all commits, every partition starts at the end of the log."""
     committed = spark.createDataFrame(COMMITTED, "topic string, partition int, committed long")
-    return SI.resume_from(FXS.load(spark, sf, "fx_offsets"), committed).select("topic", "partition", "offset", "value")
+    return SI.start_positions(FXS.load(spark, sf, "fx_offsets"), committed)
 
 
 @query("stream_dir_wordcount", ops=("S13",), sql=f"""
@@ -139,13 +164,12 @@ def q_stream_dir_wordcount(spark, sf):
 @query("stream_batch_files", ops=("K11",), sql=f"""
 SELECT strftime(ts, '%Y-%m-%d') AS day, count(DISTINCT word) AS groups FROM {WORDS_SQL} w GROUP BY 1""")
 def q_stream_batch_files(spark, sf):
-    """One output folder per micro-batch. With one day file per trigger,
-    each batch folder holds exactly one day; per folder, its day and the
-    number of word groups written."""
+    """One output folder per micro-batch, one input file a batch; per day,
+    the number of word groups that its folders hold."""
     out = scratch_path(spark, "batch_files")
-    SC.per_batch_word_counts(_lines(spark, sf), out, scratch_path(spark, "chk"))
-    t = spark.read.parquet(out)
-    return t.groupBy("batch_id").agg(F.min("day").alias("day"), F.count(F.lit(1)).alias("groups")).drop("batch_id")
+    src = SS.stage_lines(spark, sf, scratch_path(spark, "lines"))
+    SC.per_batch_word_counts(SS.text_stream(spark, src, max_files_per_trigger=1), out, scratch_path(spark, "chk"))
+    return spark.read.parquet(out).groupBy("day").agg(F.countDistinct("word").alias("groups"))
 
 
 @query("stream_sliding_count_2s", ops=("F5",), sql="""
@@ -166,9 +190,10 @@ def q_stream_sliding_count_2s(spark, sf):
 SELECT topic, "partition", min("offset") AS from_offset, max("offset") + 1 AS until_offset
 FROM fx_offsets GROUP BY topic, "partition\"""")
 def q_stream_offset_audit(spark, sf):
-    """F8 per micro-batch: one log partition file per trigger, so each batch
-    audits exactly one partition's range."""
+    """F8 per micro-batch: one file of the log a batch; each batch writes the
+    ranges it consumed, and the ranges of all batches cover the log."""
     src = SS.stage_log(spark, sf, scratch_path(spark, "log"))
     out = scratch_path(spark, "offset_audit")
-    SI.audit_offsets(SS.log_stream(spark, src), out, scratch_path(spark, "chk"))
-    return spark.read.parquet(out).select("topic", "partition", "from_offset", "until_offset")
+    SI.audit_offsets(SS.log_stream(spark, src, max_files_per_trigger=1), out, scratch_path(spark, "chk"))
+    return spark.read.parquet(out).groupBy("topic", "partition").agg(
+        F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset"))

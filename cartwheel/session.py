@@ -8,7 +8,9 @@ setting is absent (tests, local runs).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -75,9 +77,10 @@ def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set - a test or a laptop - is a fresh folder created and
-    registered, so later calls in the same session reuse it.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). A local
+    session without either gets a fresh folder, removed when the process
+    ends; on a cluster a folder only the driver sees would lose data, so
+    there the missing setting is an error.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
@@ -88,15 +91,37 @@ def shared_dir(spark: SparkSession) -> str:
     d = sc.getCheckpointDir()
     if d:
         return d.rstrip("/")
+    master = sc.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"master {master}: set spark.checkpoint.dir to a folder that the driver and all executors share")
     d = tempfile.mkdtemp(prefix="cartwheel-", dir=os.environ.get("TMPDIR", "/tmp"))
+    atexit.register(shutil.rmtree, d, ignore_errors=True)
     sc.setCheckpointDir(d)
     # The context nests the checkpoint dir in a random child folder.
     return (sc.getCheckpointDir() or d).rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/cartwheel-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path below the session's own folder in the shared one."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what this session wrote under ``scratch_path``; call it when its
+    results are no longer read (``stop_session`` does)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+
+
+def stop_session(spark: SparkSession) -> None:
+    """Release the scratch tables, then stop the session."""
+    release_scratch(spark)
+    spark.stop()
 
 
 def cut_lineage(df, name: str = "cut"):

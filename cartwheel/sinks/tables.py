@@ -7,11 +7,13 @@ written table doubles as a lineage cut that survives executor loss.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: the warehouse text format's NULL marker.
 HIVE_NULL = "\\N"
+# Fixed value: the folder name of the null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
@@ -44,8 +46,9 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> N
 
 def insert_partitioned(df: DataFrame, path: str, partition_by: list[str], mode: str = "append") -> None:
     """K4 / K5: partitioned insert, partition columns last. Rows are first
-    clustered by the partition values so each task writes few files."""
-    df.repartition(*partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    rebalanced by the partition values: each task writes few files, and
+    adaptive execution splits a large partition value over several tasks."""
+    df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def read_partitioned(spark: SparkSession, path: str, string_partitions: list[str] | None = None) -> DataFrame:
@@ -62,41 +65,38 @@ def list_partitions(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def retain_latest(df: DataFrame, column: str, keep: int = 7) -> DataFrame:
-    """K7: only the ``keep`` newest snapshot partitions. The kept values are
-    at most ``keep`` rows, so the semi join broadcasts a bounded side and the
-    scan prunes the other partitions."""
-    latest = (df.select(column).distinct()
-              .withColumn("r", F.dense_rank().over(Window.orderBy(F.desc(column))))
-              .filter(F.col("r") <= keep).select(column))
-    return df.join(F.broadcast(latest), column, "left_semi")
+def _newest_first(values: list[str]) -> list[str]:
+    """Partition values from the newest: as numbers where all are whole
+    numbers ('9' before '10'), else as text (ISO dates)."""
+    whole = all(v.lstrip("-").isdigit() for v in values)
+    return sorted(values, key=int if whole else str, reverse=True)
 
 
 def drop_old_partitions(spark: SparkSession, path: str, column: str, keep: int = 7) -> list[str]:
-    """K7 physically: delete the partition folders of ``column`` beyond the
-    ``keep`` newest (by partition value, e.g. yyyyMMdd), as a partition drop
-    does. Only partition folder names are listed on the driver - bounded by
+    """K7: delete the partition folders of ``column`` beyond the ``keep``
+    newest. The null partition is no snapshot: it is neither counted nor
+    deleted. Only partition folder names are listed on the driver - bounded by
     the partition count, not the data - through Hadoop's FileSystem, so it
     works on any storage the cluster mounts. Returns the dropped values."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     prefix = f"{column}="
-    parts = [st.getPath() for st in fs.listStatus(root)
-             if st.isDirectory() and st.getPath().getName().startswith(prefix)]
-    parts.sort(key=lambda q: q.getName(), reverse=True)
-    dropped = []
-    for q in parts[keep:]:
-        fs.delete(q, True)
-        dropped.append(q.getName()[len(prefix):])
+    names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+    values = [n[len(prefix):] for n in names if n.startswith(prefix) and n != prefix + NULL_PARTITION]
+    dropped = _newest_first(values)[keep:]
+    for v in dropped:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(root, prefix + v), True)
     return dropped
 
 
 def bucketed_save(df: DataFrame, name: str, path: str, buckets: int, column: str) -> DataFrame:
     """K8: ``clustered by (column) into n buckets``, sorted within buckets.
+    Rows are first dealt by the bucket's own hash, so each bucket is one
+    sorted file, written by one task: choose ``buckets`` by the table's size.
     Later joins / aggregations on ``column`` between tables with the same
     bucketing read without a shuffle."""
-    (df.write.mode("overwrite").format("parquet").option("path", path)
+    (df.repartition(buckets, column).write.mode("overwrite").format("parquet").option("path", path)
      .bucketBy(buckets, column).sortBy(column).saveAsTable(name))
     return df.sparkSession.table(name)
 

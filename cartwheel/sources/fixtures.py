@@ -22,6 +22,7 @@ PRODUCT_FOLD = 200          # product_id = l_partkey % 200
 GAP_CAP_DAYS = 30           # days_since_prior_order is capped at 30
 TEST_USER_MOD = 3           # last order is 'test' when o_custkey % 3 = 0, else 'train'
 OFFSET_PARTITIONS = 4       # fx_offsets: partition = event_id % 4
+OFFSET_RUN = 1 << 18        # event ids numbered by one task at a time
 OFFSET_BASE = 99            # offset = row number + 99 (first offset 100)
 OFFSET_TOPIC = "orders"
 
@@ -135,10 +136,16 @@ def fx_offsets(spark, sf_dir) -> DataFrame:
     offset, value). Offsets are dense per partition starting at 100."""
     e = load_table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
     part = (F.col("event_id") % OFFSET_PARTITIONS).cast("int")
-    w = Window.partitionBy(part).orderBy("event_id")
-    return e.select(
-        F.lit(OFFSET_TOPIC).alias("topic"), part.alias("partition"),
-        (F.row_number().over(w) + OFFSET_BASE).cast("bigint").alias("offset"),
+    # Row numbers in two parts, so that no task numbers a whole log partition:
+    # the number within a run of event ids, and the rows of earlier runs.
+    e = e.select("*", part.alias("partition"), F.floor(F.col("event_id") / OFFSET_RUN).alias("run"))
+    earlier = Window.partitionBy("partition").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    before = e.groupBy("partition", "run").agg(F.count(F.lit(1)).alias("n")).select(
+        "partition", "run", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    w = Window.partitionBy("partition", "run").orderBy("event_id")
+    return e.join(before, ["partition", "run"]).select(
+        F.lit(OFFSET_TOPIC).alias("topic"), "partition",
+        (F.row_number().over(w) + F.col("before") + OFFSET_BASE).cast("bigint").alias("offset"),
         F.to_json(F.struct(F.col("event_id").cast("string").alias("order_id"),
                            F.col("user_id").cast("string").alias("user_id"))).alias("value"))
 

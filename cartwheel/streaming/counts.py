@@ -4,8 +4,8 @@ Every sink is ``foreachBatch`` writing a distributed table: each micro-batch
 writes its own ``batch_id=`` folder, overwritten if the batch is replayed
 after a failure (idempotent). Stateful queries run in update mode, so a batch
 writes only the keys it changed (an append-only change log read back with
-``latest_counts``) and event-time windows leave the state store once the
-watermark passes them. Offsets and state live in the checkpoint, so a stopped
+``latest_counts``); with a watermark, event-time windows leave the state store
+once it passes them. Offsets and state live in the checkpoint, so a stopped
 or crashed query resumes where it left off.
 """
 
@@ -16,6 +16,7 @@ import sys
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,12 +36,13 @@ def words_of(lines: DataFrame, keep: tuple[str, ...] = ("day",)) -> DataFrame:
     return lines.select(*keep, F.explode(F.split("value", " ")).alias("word"))
 
 
-def run(query_writer, checkpoint: str, trigger: dict | None = None, timeout_s: int = 600):
+def run(query_writer, checkpoint: str, trigger: dict | None = None, timeout_s: int | None = None):
     """Start a stream writer with a checkpoint and a trigger (F10: e.g.
-    {'processingTime': '2 seconds'}); with the default trigger wait for it."""
+    {'processingTime': '2 seconds'}); with the default trigger wait for it,
+    for as long as its input takes unless ``timeout_s`` is given."""
     q = query_writer.option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE_NOW)).start()
     if (trigger or AVAILABLE_NOW) == AVAILABLE_NOW:
-        q.awaitTermination(timeout_s)
+        q.awaitTermination(*([] if timeout_s is None else [timeout_s]))
         if q.isActive:
             q.stop()
             raise TimeoutError("stream did not finish")
@@ -96,6 +98,13 @@ def running_word_counts(lines: DataFrame, out: str, checkpoint: str, trigger: di
                checkpoint, trigger)
 
 
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial counts of one task, emitted batch by batch."""
+    for batch in batches:
+        counts = batch.column(0).value_counts()
+        yield pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts")], names=["word", "n"])
+
+
 def _add_counts(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """F4 state function: new total = sum of this batch's values + old total."""
     new = sum(int(p["n"].sum()) for p in pdfs)
@@ -109,23 +118,35 @@ def custom_state_counts(lines: DataFrame, out: str, checkpoint: str, trigger: di
     (``applyInPandasWithState``); the state per word is one long. Updated
     words are appended per batch and the latest total per word is read back
     with ``max`` (totals only grow)."""
-    w = words_of(lines, ()).withColumn("n", F.lit(1))
+    # A word's occurrences are counted in the task that reads them: its Python
+    # group gets one row an Arrow batch, also for a hot word.
+    w = words_of(lines, ()).mapInArrow(_count_words, "word string, n long")
     upd = w.groupBy("word").applyInPandasWithState(
         _add_counts, "word string, cnt long", "cnt long", "update", GroupStateTimeout.NoTimeout)
     return run(upd.writeStream.outputMode("update").foreachBatch(_batch_dir_writer(out, lambda b: b)),
                checkpoint, trigger)
 
 
+def late_rows(query) -> int:
+    """Rows a finished or running query has dropped as later than its
+    watermark, summed over the progress reports Spark still holds."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
 def sliding_window_counts(events: DataFrame, out: str, checkpoint: str, length: str = "20 seconds",
-                          slide: str = "4 seconds", watermark: str = "1 hour", trigger: dict | None = None):
+                          slide: str = "4 seconds", watermark: str | None = None, trigger: dict | None = None):
     """counts per (sliding window, word) in event time, update mode: each
-    batch writes the windows it changed, and windows older than the
-    watermark leave the state store, so state stays bounded by the open
-    windows (complete mode would keep every window forever; append mode would
-    hold back the windows the watermark has not closed when the input ends).
-    Read with ``latest_counts(.., ["window_start", "window_end", "word"])``."""
-    agg = (events.withWatermark("ts", watermark)
-           .groupBy(F.window("ts", length, slide), "word").agg(F.count(F.lit(1)).alias("cnt"))
+    batch writes the windows it changed; read with
+    ``latest_counts(.., ["window_start", "window_end", "word"])``.
+
+    Without a ``watermark`` every window stays open, so the counts are complete
+    in whatever order the input arrives; this is the mode for replaying stored
+    input, whose windows are as many as the result has. A stream without end
+    needs a ``watermark``: windows older than it leave the state store, rows
+    that come later than it are dropped, and ``late_rows`` tells how many."""
+    if watermark:
+        events = events.withWatermark("ts", watermark)
+    agg = (events.groupBy(F.window("ts", length, slide), "word").agg(F.count(F.lit(1)).alias("cnt"))
            .select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                    F.date_format("window.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "word", "cnt"))
     return run(agg.writeStream.outputMode("update").foreachBatch(_batch_dir_writer(out, lambda b: b)),

@@ -3,7 +3,9 @@ bookkeeping of a partitioned message log (F8, F9)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,27 +16,36 @@ ORDER_MESSAGE = T.StructType([T.StructField("order_id", T.StringType()),
 
 
 def parse_json(df: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
-    """JSON text -> typed columns plus ``_bad`` (unparsable or missing
-    the first field) for quarantine."""
-    p = F.from_json(F.col(column), schema)
-    first = schema.fields[0].name
+    """JSON text -> typed columns plus ``_bad`` (no JSON object, or a
+    field of the wrong type) for quarantine. A valid message may lack fields."""
+    corrupt = "_corrupt"
+    p = F.from_json(F.col(column), T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())]),
+                    {"columnNameOfCorruptRecord": corrupt})
     return df.select("*", p.alias("_m")).select(
-        *[c for c in df.columns], *[F.col(f"_m.{f.name}").alias(f.name) for f in schema.fields],
-        F.col(f"_m.{first}").isNull().alias("_bad"))
+        *df.columns, *[F.col(f"_m.{f.name}").alias(f.name) for f in schema.fields],
+        (F.col("_m").isNull() | F.col(f"_m.{corrupt}").isNotNull()).alias("_bad"))
 
 
 def json_batch_writer(dt: str, out: str, quarantine: str):
-    """The per-batch sink of ``ingest_json``: good rows to
-    ``out/dt=<dt>/batch_id=<id>``, unparsable ones to ``quarantine``. Both
-    folders are overwritten when the same batch id is written again."""
+    """The per-batch sink of ``ingest_json``: the batch is read and parsed once
+    and written once, to ``<staged>/bad=...``; good rows are then taken as
+    ``out/dt=<dt>/batch_id=<id>`` and unparsable ones as
+    ``quarantine/batch_id=<id>`` by moving the folders. A replayed batch
+    replaces what it wrote."""
     cols = [f.name for f in ORDER_MESSAGE.fields]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_json(batch, ORDER_MESSAGE)
-        good = parsed.filter(~F.col("_bad")).select(*cols)
-        good.write.mode("overwrite").parquet(f"{out}/dt={dt}/batch_id={batch_id}")
-        parsed.filter(F.col("_bad")).select("value").write.mode("overwrite") \
-            .parquet(f"{quarantine}/batch_id={batch_id}")
+        jvm, jsc = batch.sparkSession.sparkContext._jvm, batch.sparkSession.sparkContext._jsc
+        path = jvm.org.apache.hadoop.fs.Path
+        staged = f"{quarantine}-staged/batch_id={batch_id}"
+        parsed = parse_json(batch, ORDER_MESSAGE).withColumn("value", F.when(F.col("_bad"), F.col("value")))
+        parsed.select(*cols, "value", F.col("_bad").alias("bad")).write.mode("overwrite").partitionBy("bad").parquet(staged)
+        fs = path(staged).getFileSystem(jsc.hadoopConfiguration())
+        for flag, target in (("false", f"{out}/dt={dt}/batch_id={batch_id}"), ("true", f"{quarantine}/batch_id={batch_id}")):
+            fs.delete(path(target), True)
+            if fs.exists(path(f"{staged}/bad={flag}")):
+                fs.mkdirs(path(target).getParent())
+                fs.rename(path(f"{staged}/bad={flag}"), path(target))
 
     return write
 
@@ -63,19 +74,35 @@ def audit_offsets(log: DataFrame, out: str, checkpoint: str, trigger: dict | Non
     return run(log.writeStream.foreachBatch(write), checkpoint, trigger)
 
 
-def resume_from(log: DataFrame, committed: DataFrame, default: str = "earliest") -> DataFrame:
-    """keep the records at or after each partition's start offset.
-
-    start = committed offset clamped to [earliest, latest] of the partition;
-    a partition without a commit starts at ``default`` ('earliest' or
-    'latest'). least/greatest skip NULLs, so the missing commit has its own
-    branch. ``committed`` has one row per topic-partition - bounded by the
-    topic's partition count, which is what makes the broadcast safe."""
+def start_positions(log: DataFrame, committed: DataFrame, default: str = "latest", whole_topic: bool = True) -> DataFrame:
+    """(topic, partition, start). start = committed offset clamped to the
+    partition's [earliest, end]. ``whole_topic`` (default): if any partition of a
+    topic has no commit, the lookup failed and the whole topic starts at
+    ``default`` ('latest': the end of the log, or 'earliest'); otherwise only
+    that partition does. One row per topic-partition."""
     bounds = offset_ranges(log).withColumnRenamed("from_offset", "low").withColumnRenamed("until_offset", "high")
-    c = bounds.join(F.broadcast(committed.select("topic", "partition", "committed")),
-                    ["topic", "partition"], "left")
-    start = (F.when(F.col("committed").isNull(), F.col("low" if default == "earliest" else "high"))
-             .otherwise(F.greatest(F.col("low"), F.least(F.col("committed"), F.col("high")))))
-    starts = c.select("topic", "partition", start.alias("start"))
+    c = bounds.join(committed.select("topic", "partition", "committed"), ["topic", "partition"], "left")
+    missing = F.col("committed").isNull()
+    if whole_topic:
+        missing = F.max(missing).over(Window.partitionBy("topic"))
+    # least/greatest skip NULLs: a missing commit has its own branch
+    return c.select("topic", "partition", F.when(missing, F.col("low" if default == "earliest" else "high")).otherwise(
+        F.greatest(F.col("low"), F.least(F.col("committed"), F.col("high")))).alias("start"))
+
+
+def starting_offsets(starts: DataFrame) -> str:
+    """The start table as the JSON a Kafka source takes, so the broker skips what
+    is before it. One entry per topic-partition."""
+    out: dict[str, dict[str, int]] = {}
+    for r in starts.collect():
+        out.setdefault(r["topic"], {})[str(r["partition"])] = r["start"]
+    return json.dumps(out, sort_keys=True)
+
+
+def resume_from(log: DataFrame, committed: DataFrame, default: str = "latest", whole_topic: bool = True) -> DataFrame:
+    """F9 on a stored log: the records at or after each partition's start. The
+    start table has one row per topic-partition - bounded by the topic's
+    partition count, which is what makes the broadcast safe."""
+    starts = start_positions(log, committed, default, whole_topic)
     return (log.join(F.broadcast(starts), ["topic", "partition"])
             .filter(F.col("offset") >= F.col("start")).drop("start"))
