@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.typed import blank_to_zero, hour_gap, safe_ratio, to_int, to_long, to_whole
+from ..functions.typed import blank_to_zero, hour_gap, safe_ratio, to_double, to_int, to_long, to_whole
 from ..session import cut_lineage
 from . import analytics as A
 
@@ -175,30 +175,49 @@ def train_matrix(orders: DataFrame, prior: DataFrame, trains: DataFrame) -> Data
             .select("user_id", "product_id", "label", *MODEL_USER, *MODEL_PRODUCT))
 
 
-FULL_EXTRA = ["order_hour_of_day", "days_since_prior_order", "days_since_ratio", "orders_cnt",
-              "avg_pos_in_cart", "max_ord_num", "up_orders_since_last", "up_hour_vs_last"]
-
-
 def train_matrix_full(orders: DataFrame, prior: DataFrame, trains: DataFrame,
                       circular: bool = False) -> DataFrame:
     """C3 with B15-B17: one row per prior line with its order context, the
     (user, product) label of C1, user/product/cross features; numeric NULLs
-    become -1 after the cross-feature left join."""
-    op = cut_lineage(order_lines(orders, prior), "order_lines")
-    lines = op.select("order_id", "user_id", "product_id")
-    labels = train_labels(orders, prior, trains, op)
-    uf = user_features(orders, prior, op).drop("u_prod_records")
-    x = cross_features(orders, prior, op).drop("last_order_id")
-    m = (lines.join(labels, ["user_id", "product_id"], "left").na.fill(0, ["label"])
-         .join(uf, "user_id").join(product_features(prior), "product_id")
-         .join(order_context(orders), "order_id")
-         .withColumn("days_since_ratio", safe_ratio("days_since_prior_order", "u_avg_day_gap"))
-         .join(x, ["user_id", "product_id"], "left").na.fill(-1))
+    become -1 after the cross-feature left join.
+
+    Plan: orders meet the prior and train lines in one join, which is written.
+    One aggregate on (user, product) then gives label and cross features, one on
+    the user gives all user features; they and the product features are joined to
+    the pairs, which are fewer than the lines, and the lines are moved once."""
+    both = prior.withColumn("train", F.lit(0)).unionByName(trains.withColumn("train", F.lit(1)))
+    context = orders.select("order_id", "user_id", "order_number", "order_hour_of_day", "days_since_prior_order")
+    op = cut_lineage(context.join(both.select("order_id", "product_id", "add_to_cart_order", "reordered", "train"), "order_id"),
+                     "all_lines")
+    bought = F.col("train") == 0
+    last = F.max_by(F.when(bought, to_int("order_hour_of_day")), F.when(bought, to_int("order_number")))
+    pairs = op.groupBy("user_id", "product_id").agg(
+        F.max("train").alias("label"), F.count_if(bought).alias("orders_cnt"),
+        F.avg(F.when(bought, to_int("add_to_cart_order"))).alias("avg_pos_in_cart"),
+        F.max(F.when(bought, to_int("order_number"))).alias("max_ord_num"), last.alias("last_hour")).filter("orders_cnt > 0")
+
+    # per user: one aggregate over order rows, basket sizes and distinct pairs
+    none = F.lit(None)
+    gaps = orders.select("user_id", blank_to_zero("days_since_prior_order", "int").cast("double").alias("gap"),
+                         none.cast("double").alias("size"), F.lit(0).alias("pair"))
+    sizes = op.filter(bought).groupBy("user_id", "order_id").agg(F.count("product_id").cast("double").alias("size")).select(
+        "user_id", none.cast("double").alias("gap"), "size", F.lit(0).alias("pair"))
+    kinds = pairs.select("user_id", none.cast("double").alias("gap"), none.cast("double").alias("size"), F.lit(1).alias("pair"))
+    users = gaps.unionByName(sizes).unionByName(kinds).groupBy("user_id").agg(
+        F.avg("gap").alias("u_avg_day_gap"), F.count("gap").alias("user_ord_cnt"),
+        F.sum("pair").alias("u_prod_dist_cnt"), F.avg("size").alias("u_avg_ord_prods"))
+
+    per_pair = (pairs.join(users, "user_id").join(product_features(op.filter(bought)), "product_id"))
+    hour, gap = to_int("order_hour_of_day"), to_double("days_since_prior_order")
+    lines = op.filter(bought).select("user_id", "product_id", "order_id", F.coalesce(hour, F.lit(0)).alias("order_hour_of_day"),
+                                     F.coalesce(gap, F.lit(0.0)).alias("days_since_prior_order"))
+    m = (lines.join(per_pair, ["user_id", "product_id"])
+         .withColumn("days_since_ratio", safe_ratio("days_since_prior_order", "u_avg_day_gap")).na.fill(-1))
     return m.select("user_id", "product_id", "order_id", "label", *MODEL_USER, *MODEL_PRODUCT,
                     "order_hour_of_day", "days_since_prior_order", "days_since_ratio",
                     "orders_cnt", "avg_pos_in_cart", "max_ord_num",
                     (F.col("user_ord_cnt") - F.col("max_ord_num")).alias("up_orders_since_last"),
-                    hour_gap("order_hour_of_day", to_int("last_order_hour"), circular).alias("up_hour_vs_last"))
+                    hour_gap("order_hour_of_day", "last_hour", circular).alias("up_hour_vs_last"))
 
 
 # ------------------------------------------------------------- reproducible split

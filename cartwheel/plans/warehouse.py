@@ -295,7 +295,7 @@ _UPC = """(SELECT o.user_id, p.product_id, count(*) AS c FROM fx_orders o JOIN f
   GROUP BY o.user_id, p.product_id)"""
 
 
-@query("user_top3_products", ops=("W1", "X3", "O1"), fx=OP, sql=f"""
+@query("user_top3_products", ops=("W1", "X3"), fx=OP, sql=f"""
 SELECT user_id, string_agg(product_id || '_' || CAST(row_num AS VARCHAR), ',' ORDER BY row_num) AS top_3_prods
 FROM (SELECT user_id, product_id,
              row_number() OVER (PARTITION BY user_id ORDER BY c DESC, CAST(product_id AS BIGINT)) AS row_num

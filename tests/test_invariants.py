@@ -74,8 +74,8 @@ def test_cosine_symmetric_and_bounded(spark):
 def test_salted_dot_equals_plain(spark):
     """Force every item to be 'hot' so the salted path computes all pairs."""
     r = FXS.fx_ratings(spark, "/root/testdata/sf0.001")
-    plain = R.co_rating_dot(r, hot_share=1.0)          # no item reaches 100 %
-    salted = R.co_rating_dot(r, hot_share=1e-9, salt=4)  # every item is hot
+    plain = R.co_rating_dot(r, block=1 << 30)          # one block an item
+    salted = R.co_rating_dot(r, block=3)                # every item in many blocks
     assert hot_keys(r, "item_id", 1e-9).count() == r.select("item_id").distinct().count()
     a = {(x.u, x.v): x.dot for x in plain.collect()}
     b = {(x.u, x.v): x.dot for x in salted.collect()}
@@ -117,7 +117,7 @@ def test_hot_item_detected_and_salted(spark):
     skewed = r.withColumn("item_id", F.when(F.col("user_id") % 3 == 0, F.lit(-1)).otherwise(F.col("item_id")))
     skewed = skewed.groupBy("user_id", "item_id").agg(F.max("rating").alias("rating"))
     assert [h.item_id for h in hot_keys(skewed, "item_id", 0.01).collect()] == [-1]
-    salted = R.co_rating_dot(skewed, hot_share=0.01, salt=8)
+    salted = R.co_rating_dot(skewed, block=16)
     assert "pmod(xxhash64" in salted._jdf.queryExecution().executedPlan().toString()
-    plain = R.co_rating_dot(skewed, hot_share=2.0)
+    plain = R.co_rating_dot(skewed, block=1 << 30)
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0

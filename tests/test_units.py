@@ -1,6 +1,8 @@
 """Hand-sized cases: typed helpers under ANSI mode, the reference's worked
 examples (pivot row, per-day average), and label / cell / resume rules."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from cartwheel.functions.typed import blank_to_zero, hour_gap, plus_columns, safe_ratio, to_int
@@ -8,7 +10,7 @@ from cartwheel.operators import analytics as A
 from cartwheel.operators import recommend as R
 from cartwheel.sinks.tables import to_cells
 from cartwheel.sources.corpus import label_from_path
-from cartwheel.streaming.ingest import resume_from
+from cartwheel.streaming.ingest import resume_from, start_positions, starting_offsets
 
 ORDER_COLS = "order_id string, user_id string, eval_set string, order_number string, order_dow string, " \
              "order_hour_of_day string, days_since_prior_order string"
@@ -80,10 +82,19 @@ def test_resume_clamps_and_defaults(spark):
                                 "topic string, partition int, offset long, value string")
     committed = spark.createDataFrame([("t", 0, 5), ("t", 1, 999), ("t", 2, 105)],
                                       "topic string, partition int, committed long")
-    kept = {p: n for p, n in resume_from(log, committed).groupBy("partition").count().collect()}
-    assert kept == {0: 10, 2: 5, 3: 10}          # partition 1 starts past the end
-    latest = {p: n for p, n in resume_from(log, committed, default="latest").groupBy("partition").count().collect()}
-    assert 3 not in latest
+    def kept(**rule):
+        return {p: n for p, n in resume_from(log, committed, **rule).groupBy("partition").count().collect()}
+
+    # partition 1's commit lies past the end; partition 3 has none
+    assert kept(default="earliest", whole_topic=False) == {0: 10, 2: 5, 3: 10}
+    assert kept(default="latest", whole_topic=False) == {0: 10, 2: 5}
+    # the whole-topic rule: one missing commit sends every partition to the default
+    assert kept() == {}
+    assert kept(default="earliest") == {0: 10, 1: 10, 2: 10, 3: 10}
+    full = committed.union(spark.createDataFrame([("t", 3, 108)], committed.schema))
+    assert {p: n for p, n in resume_from(log, full).groupBy("partition").count().collect()} == {0: 10, 2: 5, 3: 2}
+    starts = start_positions(log, committed, whole_topic=False)
+    assert json.loads(starting_offsets(starts)) == {"t": {"0": 100, "1": 110, "2": 105, "3": 110}}
 
 
 def test_shared_folder_follows_session_setting(spark):
@@ -91,7 +102,7 @@ def test_shared_folder_follows_session_setting(spark):
     base = shared_dir(spark)
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert configured and base == configured.rstrip("/")
-    assert scratch_path(spark, "x").startswith(base + "/x-")
+    assert scratch_path(spark, "x").startswith(f"{base}/cartwheel-{spark.sparkContext.applicationId}/x-")
     df = cut_lineage(spark.range(10), "probe")
     assert df.count() == 10
     assert any(base in f for f in df.inputFiles())
