@@ -26,7 +26,7 @@ HEADLINE = [
     "word_count", "top_words", "user_top3_products", "user_top_decile", "product_pv_uv_onepass",
     "dow_pivot", "per_day_ratio", "feat_user", "feat_cross_full", "train_matrix_full",
     "cf_dot", "cf_top_neighbours", "cf_recommend_topk", "tf_idf", "nb_predict", "auc",
-    "dynamic_partition_insert", "resume_from_offsets",
+    "dynamic_partition_insert", "resume_from_offsets", "stream_sliding_count", "lr_reorder_predict",
 ]
 
 

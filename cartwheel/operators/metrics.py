@@ -58,7 +58,7 @@ def running_totals(df: DataFrame, order: str, cols: list[str], buckets: int = 64
     if buckets <= 1:
         banded = df.withColumn("band", F.lit(0))
     else:
-        cuts = df.agg(F.percentile_approx(order, [i / buckets for i in range(1, buckets)], 1000)
+        cuts = df.agg(F.percentile_approx(order, [i / buckets for i in range(1, buckets)], max(1000, 10 * buckets))
                       .alias("cuts")).scalar()
         # band 0 holds the highest scores; the cut array is projected before the
         # lambda that reads it (a subquery may not sit inside a lambda). A NULL
@@ -75,7 +75,10 @@ def running_totals(df: DataFrame, order: str, cols: list[str], buckets: int = 64
     return out.select(order, *cols, *[(F.col(f"{c}_off") + F.sum(c).over(inner)).alias(f"cum_{c}") for c in cols])
 
 
-def roc_points(scored: DataFrame, score: str = "score", label: str = "label", buckets: int = 64):
+BAND_ROWS = 250_000         # distinct scores that one task sums up, about
+
+
+def roc_points(scored: DataFrame, score: str = "score", label: str = "label", buckets: int | None = None):
     """Per distinct score: pos, neg and their running sums from the highest
     score down, plus the totals (P, N) as scalar columns. The per-score table
     is read by several passes, so it is checkpointed once."""
@@ -84,17 +87,18 @@ def roc_points(scored: DataFrame, score: str = "score", label: str = "label", bu
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("neg")), "roc_points")
     p = per.agg(F.sum("pos")).scalar()
     n = per.agg(F.sum("neg")).scalar()
+    buckets = buckets or max(64, per.count() // BAND_ROWS)      # bands follow the number of scores
     return running_totals(per, "threshold", ["pos", "neg"], buckets), p, n
 
 
-def roc_curve(scored: DataFrame, score: str = "score", label: str = "label", buckets: int = 64) -> DataFrame:
+def roc_curve(scored: DataFrame, score: str = "score", label: str = "label", buckets: int | None = None) -> DataFrame:
     """One ROC point per distinct score, highest first: (threshold, fpr, tpr)."""
     cum, p, n = roc_points(scored, score, label, buckets)
     return cum.select("threshold", F.try_divide(F.col("cum_neg").cast("double"), n.cast("double")).alias("fpr"),
                       F.try_divide(F.col("cum_pos").cast("double"), p.cast("double")).alias("tpr"))
 
 
-def auc(scored: DataFrame, score: str = "score", label: str = "label", buckets: int = 64) -> DataFrame:
+def auc(scored: DataFrame, score: str = "score", label: str = "label", buckets: int | None = None) -> DataFrame:
     """Area under the ROC curve by the trapezoid rule from (0, 0). Between a
     point and its predecessor, fpr grows by neg_i / N and tpr_i + tpr_(i-1)
     = (2 cum_pos_i - pos_i) / P, so the area is

@@ -13,8 +13,7 @@ SELECT o_orderkey AS order_id, o_custkey AS user_id,
        CASE WHEN rn < cnt THEN 'prior' WHEN o_custkey % 3 = 0 THEN 'test' ELSE 'train' END AS eval_set,
        rn AS order_number, CAST(dayofweek(o_orderdate) AS INTEGER) AS order_dow,
        CAST(o_orderkey % 24 AS INTEGER) AS order_hour_of_day,
-       CASE WHEN prev_day IS NULL THEN NULL
-            ELSE LEAST(date_diff('day', prev_day, CAST(o_orderdate AS DATE)), 30) END AS days_since_prior_order
+       date_diff('day', prev_day, CAST(o_orderdate AS DATE)) AS days_since_prior_order
 FROM (SELECT o_orderkey, o_custkey, o_orderdate,
              row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn,
              count(*) OVER (PARTITION BY o_custkey) AS cnt,
@@ -32,8 +31,8 @@ SELECT b.l_orderkey AS order_id, b.product_id,
        CASE WHEN row_number() OVER (PARTITION BY o.user_id, b.product_id ORDER BY o.order_number) > 1
             THEN 1 ELSE 0 END AS reordered,
        o.user_id, o.eval_set
-FROM (SELECT l_orderkey, l_partkey % 200 AS product_id, min(l_linenumber) AS first_line
-      FROM lineitem GROUP BY l_orderkey, l_partkey % 200) b
+FROM (SELECT l_orderkey, l_partkey % products AS product_id, min(l_linenumber) AS first_line
+      FROM lineitem, (SELECT greatest(count(*) // 10, 200) AS products FROM part) n GROUP BY 1, 2) b
 JOIN fx_orders_t o ON b.l_orderkey = o.order_id""", ("fx_orders_t",)),
     "fx_lines": ("""
 SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(product_id AS VARCHAR) AS product_id,

@@ -38,7 +38,7 @@ def _nb(spark, sf, train_pct: int = 80):
 
 def _roc_input(spark, sf):
     tm = FE.train_matrix(FXS.load(spark, sf, "fx_orders"), FXS.load(spark, sf, "fx_prior"), FXS.load(spark, sf, "fx_trains"))
-    return tm.select("label", F.round("prod_rod_rate", 6).alias("score"))
+    return tm.select("label", F.col("prod_rod_rate").alias("score"))
 
 
 # ------------------------------------------------------------------ SQL side
@@ -80,7 +80,7 @@ pred AS (SELECT doc_id, label_index AS prediction FROM (
 res AS (SELECT te.doc_id, te.label_index, pred.prediction FROM te JOIN pred ON te.doc_id = pred.doc_id)
 """
 ROC_SQL = """WITH tm AS (
-  SELECT l.label, round(p.prod_rod_rate, 6) AS score
+  SELECT l.label, p.prod_rod_rate AS score
   FROM (SELECT COALESCE(r.user_id, t.user_id) AS user_id, COALESCE(r.product_id, t.product_id) AS product_id,
                CASE WHEN t.user_id IS NULL THEN 0 ELSE 1 END AS label
         FROM (SELECT DISTINCT o.user_id, p.product_id FROM fx_orders o JOIN fx_prior p ON o.order_id = p.order_id) r
@@ -183,7 +183,7 @@ def q_misclassified(spark, sf):
 
 
 @query("roc_curve", ops=("C7",), fx=("fx_orders", "fx_prior", "fx_trains"), sql=ROC_SQL + """
-SELECT threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM roc""")
+SELECT round(threshold, 6) AS threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM roc""")
 def q_roc_curve(spark, sf):
     return round_doubles(M.roc_curve(_roc_input(spark, sf)))
 

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from .tables import load_table
 
 # Fixed values of the derivation (FIXTURES.md section 3).
-PRODUCT_FOLD = 200          # product_id = l_partkey % 200
-GAP_CAP_DAYS = 30           # days_since_prior_order is capped at 30
+PRODUCT_SHARE = 10          # products: a tenth of the parts, at least PRODUCT_LEAST;
+PRODUCT_LEAST = 200         # product_id = l_partkey % products, so users buy one again
 TEST_USER_MOD = 3           # last order is 'test' when o_custkey % 3 = 0, else 'train'
 OFFSET_PARTITIONS = 4       # fx_offsets: partition = event_id % 4
 OFFSET_RUN = 1 << 18        # event ids numbered by one task at a time
@@ -45,9 +45,7 @@ def orders_typed(orders: DataFrame) -> DataFrame:
         n.alias("order_number"),
         (F.dayofweek(day) - 1).alias("order_dow"),
         (F.col("o_orderkey") % 24).cast("int").alias("order_hour_of_day"),
-        # least() skips NULLs: the first order needs its own branch to stay blank.
-        F.when(gap.isNull(), F.lit(None)).otherwise(F.least(gap, F.lit(GAP_CAP_DAYS)))
-         .alias("days_since_prior_order"),
+        gap.alias("days_since_prior_order"),
     )
 
 
@@ -68,11 +66,13 @@ def fx_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lines_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fx_lines with native types plus the owning order's user / eval_set."""
-    return _lines_from(load_table(spark, sf_dir, "lineitem"), orders_typed(load_table(spark, sf_dir, "orders")))
+    return _lines_from(load_table(spark, sf_dir, "lineitem"), orders_typed(load_table(spark, sf_dir, "orders")),
+                       load_table(spark, sf_dir, "part"))
 
 
-def _lines_from(li: DataFrame, orders_t: DataFrame) -> DataFrame:
-    basket = (li.groupBy("l_orderkey", (F.col("l_partkey") % PRODUCT_FOLD).alias("product_id"))
+def _lines_from(li: DataFrame, orders_t: DataFrame, parts: DataFrame) -> DataFrame:
+    products = parts.agg(F.greatest(F.floor(F.count(F.lit(1)) / PRODUCT_SHARE), F.lit(PRODUCT_LEAST))).scalar()
+    basket = (li.groupBy("l_orderkey", (F.col("l_partkey") % products).alias("product_id"))
                 .agg(F.min("l_linenumber").alias("first_line")))
     o = orders_t.select("order_id", "user_id", "order_number", "eval_set")
     j = basket.join(o, basket.l_orderkey == o.order_id)
@@ -165,13 +165,15 @@ DERIVED = {
     "fx_orders": lambda spark, sf: load(spark, sf, "fx_orders_t").select(*[
         F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c == "days_since_prior_order"
         else F.col(c).cast("string").alias(c) for c in ORDER_COLUMNS]),
-    "fx_lines_t": lambda spark, sf: _lines_from(load_table(spark, sf, "lineitem"), load(spark, sf, "fx_orders_t")),
+    "fx_lines_t": lambda spark, sf: _lines_from(load_table(spark, sf, "lineitem"), load(spark, sf, "fx_orders_t"),
+                                                load_table(spark, sf, "part")),
     "fx_lines": lambda spark, sf: _stored_lines(spark, sf, None),
     "fx_prior": lambda spark, sf: _stored_lines(spark, sf, "prior"),
     "fx_trains": lambda spark, sf: _stored_lines(spark, sf, "train"),
     "fx_ratings": fx_ratings, "fx_docs": fx_docs, "fx_offsets": fx_offsets,
 }
 SPREAD = {"fx_docs"}
+DOCS_A_FILE = 50_000
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
@@ -188,8 +190,9 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         if name in SPREAD:
             # Text rows are costly per byte downstream (tokenising); adaptive
             # execution would coalesce a small corpus into one file, i.e. one
-            # scan task, so it is written in as many files as there are cores.
-            df = df.repartition(spark.sparkContext.defaultParallelism)
+            # scan task. At least a file a core, and more as the corpus grows.
+            files = max(df.count() // DOCS_A_FILE, spark.sparkContext.defaultParallelism)
+            df = df.repartition(int(files))
         df.write.mode("overwrite").parquet(path)
         _STORED[key] = path
     return spark.read.parquet(path)

@@ -12,7 +12,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from cartwheel.plans.registry import load_all  # noqa: E402
-from cartwheel.plans.verify import compare, duck_connect  # noqa: E402
+from scripts.verify import compare, duck_connect  # noqa: E402
 from cartwheel.session import build_session  # noqa: E402
 
 

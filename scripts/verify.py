@@ -7,7 +7,7 @@ import math
 import os
 import time
 
-from ..sources.tables import TABLES, table_path
+from cartwheel.sources.tables import TABLES, table_path
 
 
 def duck_connect(sf_dir: str):

@@ -30,7 +30,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def duck():
-    from cartwheel.plans.verify import duck_connect
+    from scripts.verify import duck_connect
     return duck_connect(SF_SMALL)
 
 

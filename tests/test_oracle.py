@@ -3,7 +3,7 @@
 import pytest
 
 from cartwheel.plans.registry import load_all
-from cartwheel.plans.verify import compare
+from scripts.verify import compare
 
 SF_SMALL = "/root/testdata/sf0.001"
 
