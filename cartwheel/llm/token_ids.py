@@ -21,8 +21,8 @@ from .common import ship
 
 ship(__name__)
 
-# Fixed value: Unicode White_Space, as the pre-tokenizers' \s has it.
-_WS = "\t-\r \x85\xa0  -     　"
+# Fixed value: Unicode White_Space, as the pre-tokenizers' \s has it (regex escapes).
+_WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 # Latin letters (but U+0130, whose lower case has a mark) with no other letter or digit after them.
 _WORD = f"[{_LETTERS}]+(?=[{_WS}!-/:-@\\[-`{{-~]|\\Z)"
