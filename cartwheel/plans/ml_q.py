@@ -60,6 +60,19 @@ def q_libsvm_roundtrip(spark, sf):
     return round_doubles(d.select("label", *[arr[i].alias(c) for i, c in enumerate(MD.MODEL_FEATURES)]))
 
 
+def _scored_sql() -> str:
+    from .registry import REGISTRY
+    bucket = "CAST('0x' || substr(md5(user_id || '_' || product_id), 1, 8) AS BIGINT) % 100"
+    return f"SELECT user_id, product_id, label FROM ({REGISTRY['train_matrix'].sql}) m WHERE {bucket} >= 70"
+
+
+@query("lr_scored_rows", ops=("C4", "C5"), sql=_scored_sql())
+def q_lr_scored_rows(spark, sf):
+    """The keys and labels of the rows the regression scores: all held-out ones, each once."""
+    _, pred = MD.logistic_regression(_matrix(spark, sf), MD.FORMULA_7, train_pct=70)
+    return pred.select("user_id", "product_id", "label")
+
+
 @query("svm_margin", ops=("G1",))
 def q_svm_margin(spark, sf):
     path = scratch_path(spark, "svm_txt")
