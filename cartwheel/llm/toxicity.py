@@ -2,7 +2,9 @@
 
 A document is a bag of sentences. A sentence's chance of being toxic is logistic in
 its words' weights; the document's is the noisy-or of its sentences',
-1 - prod(1 - p_s). Only documents have labels, so the likelihood of the document
+1 - prod(1 - p_s). The chance that the bias alone gives any sentence is a background of
+the fit and says nothing of a sentence; scores leave it out, 1 - p_s = (1 - p_z) / (1 - p_bias),
+at most 1, so plain sentences add nothing however many there are. Only documents have labels, so the likelihood of the document
 labels trains the sentence model, and its sentence scores then say which sentences
 offend. A word's weight is the sum over its hashed features: the word and its first
 four and five letters. Features are chosen by chi-square of their presence in
@@ -17,7 +19,8 @@ and no shuffle.
 Defined cases: null, empty and wordless texts have no sentence and score 0; a null
 doc_id is never labelled nor held out; several labels of one doc_id count as toxic if
 one is; repeated rows each keep their row; extra columns are ignored; without labels of
-both kinds every weight is 0 and the score is that of the share of toxic labels.
+both kinds, or a feature to choose, every document with a sentence scores the share of
+toxic labels whatever its length, and no sentence offends.
 """
 
 from __future__ import annotations
@@ -66,6 +69,7 @@ class Lexicon:
     def __init__(self, model: dict):
         self.weights = dict(zip(model["features"], model["weights"]))
         self.bias = model["bias"]
+        self.share = model.get("share")         # without weights: the score of any document
         self.table = np.zeros((3, 1 << 12))
         self.memo = Memo(self._add)
 
@@ -78,7 +82,7 @@ class Lexicon:
         return i
 
     def sentences(self, words: list[str]):
-        """(first word, logit) of each sentence."""
+        """(first word, -log(1 - p)) of each sentence, p its chance beyond that of the bias."""
         if len(self.memo) + len(words) > self.memo.limit:
             self.memo.clear()
             self.memo.limit = max(self.memo.limit, len(words) + 1)
@@ -88,12 +92,17 @@ class Lexicon:
         if not len(first):
             return first, first.astype(float)
         keep = np.add.reduceat(real, first) > 0
-        return first[keep], self.bias + np.add.reduceat(weight, first)[keep]
+        z = self.bias + np.add.reduceat(weight, first)[keep]
+        return first[keep], np.maximum(np.logaddexp(0, z) - np.logaddexp(0, self.bias), 0.0)
 
+    def score(self, text: str | None) -> float:
+        first, risks = self.sentences(words_of(text))
+        return noisy_or(risks) if self.share is None else self.share if len(first) else 0.0
 
-def noisy_or(logits: np.ndarray) -> float:
-    """1 - prod(1 - sigmoid(z)), by sums of softplus."""
-    return float(-np.expm1(-np.logaddexp(0, logits).sum()))
+
+def noisy_or(risks: np.ndarray) -> float:
+    """1 - prod(1 - p) from each sentence's -log(1 - p)."""
+    return float(-np.expm1(-risks.sum()))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> DataFrame:
@@ -195,12 +204,12 @@ def _gradient(weights: np.ndarray, bias: float):
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN, steps: int = STEPS) -> dict:
-    """The model: features (hash values), weights, bias."""
+    """The model: features (hash values), weights, bias; share of toxic documents if there is no feature."""
     sample = cut_lineage(labelled_sample(docs, labels, limit).repartition(_TASKS), "toxic_sample")
     chosen, share = choose_features(sample)
     bias = math.log((share + 1e-3) / (1 - share + 1e-3))
     if not len(chosen):
-        return {"features": [], "weights": [], "bias": bias}
+        return {"features": [], "weights": [], "bias": bias, "share": share}
     bags = _bags(sample, chosen)
     n = bags.count()
     x = np.zeros(len(chosen) + 1)
@@ -223,7 +232,7 @@ def score(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFra
     def start():
         lexicon = Lexicon(shared.value)
         return lambda ids, held, texts: {
-            "doc_id": ids, "held_out": held, "score": [noisy_or(lexicon.sentences(words_of(t))[1]) for t in texts]}
+            "doc_id": ids, "held_out": held, "score": [*map(lexicon.score, texts)]}
 
     scored = map_arrow(docs.select("doc_id", held_out().alias("held_out"), "text"),
                        "doc_id long, held_out boolean, score double", start)
@@ -241,8 +250,8 @@ def locate(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFr
             out = {c: [] for c in ("doc_id", "sentence", "first_word", "text", "score")}
             for doc, text in zip(ids, texts):
                 words = words_of(text)
-                first, z = lexicon.sentences(words)
-                p = 1 / (1 + np.exp(-z))
+                first, risks = lexicon.sentences(words)
+                p = -np.expm1(-risks)
                 for k in np.flatnonzero(p >= threshold).tolist():
                     stop = int(first[k + 1]) if k + 1 < len(first) else len(words)
                     for c, x in zip(out, (doc, k, int(first[k]), " ".join(words[first[k]:stop]), float(p[k]))):

@@ -111,6 +111,26 @@ def test_toxicity_edge_rows(spark, edge_docs, edge_labels, edge_rows):
     assert D5.detect(edge_docs, edge_labels.limit(0)).count() == len(edge_rows)
 
 
+def test_toxicity_does_not_grow_with_length(spark, toxic_table):
+    docs, labels = toxic_table
+    model = D5.fit(docs, labels, steps=40)
+    calm = "the sun is up. we walk to the sea. "
+    long = spark.createDataFrame([(1, calm * 5_000), (2, calm * 5_000 + "you are a fool person. bye fool."), (3, "zzz qqq. " * 100_000)],
+                                 "doc_id long, text string")
+    got = {r["doc_id"]: r for r in D5.score(long, model).collect()}
+    assert [got[i]["predicted"] for i in (1, 2, 3)] == [0, 1, 0] and got[3]["score"] == 0
+
+
+def test_toxicity_without_features_scores_the_share(spark):
+    docs = spark.createDataFrame([(i, "same words. " * (1 + 5_000 * (i % 2))) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(40)], "doc_id long, toxic int")
+    model = D5.fit(docs, labels)
+    assert not model["features"]
+    scores = {r["score"] for r in D5.score(docs, model).collect()}
+    assert scores == {model["share"]} and 0 < model["share"] < 0.3
+    assert D5.locate(docs, model, 0.0001).isEmpty()
+
+
 def test_quality_separates_junk(spark):
     rows = [(i, ("Quiet words on a page about rivers. " if i % 4 else "BUY!! NOW!! %%% $$$ | ") * (3 + i % 7), "en", f"s{i % 3}", 50) for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
