@@ -163,7 +163,7 @@ def _merge(old: list[dict], new: list[dict]) -> list[dict]:
     return out
 
 
-HIT_SCHEMA = ("doc_id long, text binary, n_words long, items array<string>, "
+HIT_SCHEMA = ("doc_id {}, text binary, n_words long, items array<string>, "
               "spans array<struct<start: long, stop: long>>")
 
 
@@ -200,9 +200,10 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.lit(0).cast("long").alias("n_words"),
                        F.lit(None).cast("array<string>").alias("items"),
                        F.lit(None).cast("array<struct<start:bigint,stop:bigint>>").alias("spans"))
+    schema = HIT_SCHEMA.format(docs.schema["doc_id"].dataType.simpleString())
     # A block of no item still counts the words.
     for block in [*query_blocks(benchmark, block_bytes)] or [[]]:
-        rows = map_arrow(rows, HIT_SCHEMA, _scan_block(sc.broadcast(block), width))
+        rows = map_arrow(rows, schema, _scan_block(sc.broadcast(block), width))
     return rows.drop("text")
 
 

@@ -57,12 +57,13 @@ def _split(rows: DataFrame, key: list[str], width: int) -> DataFrame:
 
 
 def exact_classes(docs: DataFrame, first_digit: int = FIRST_DIGIT, growth: int = GROWTH,
-                  max_digit: int = MAX_DIGIT) -> DataFrame:
+                  max_digit: int = MAX_DIGIT, row: str | None = None) -> DataFrame:
     """Every row of ``docs`` with its class: ``class_id`` (null for a text without
-    copies), ``n_points`` (code points of the original), ``text_sha256``."""
+    copies), ``n_points`` (code points of the original), ``text_sha256`` and the column ``row``."""
     text = text_or_empty()
-    rows = docs.select("doc_id", F.length(text).alias("n_points"), normalised(text).alias("norm")).select(
-        "doc_id", "n_points", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"),
+    own = ["doc_id", row] if row else ["doc_id"]
+    rows = docs.select(*own, F.length(text).alias("n_points"), normalised(text).alias("norm")).select(
+        *own, "n_points", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"),
         F.octet_length("norm").alias("n_bytes"), F.col("norm").cast("binary").alias("rest"))
     done, width, at = [], first_digit, first_digit
     live = _split(rows, ["n_bytes"], width)
@@ -83,20 +84,21 @@ def exact_classes(docs: DataFrame, first_digit: int = FIRST_DIGIT, growth: int =
     return out.withColumn("class_id", F.when(F.col("members") > 1, F.struct("round", "gid"))).drop("gid", "round")
 
 
-def exact_dedup(docs: DataFrame, **digits) -> DataFrame:
-    """Per row: doc_id, keep_id, group_size, kept, text_sha256. Of equal texts the
-    row with the most code points stays, then the smallest doc_id."""
-    rows = exact_classes(docs, **digits)
+def exact_dedup(docs: DataFrame, row: str | None = None, **digits) -> DataFrame:
+    """Per row: doc_id, keep_id, group_size, kept, text_sha256 and, if given, the column
+    ``row``. Of equal texts the row with the most code points stays, then the smallest doc_id."""
+    rows = exact_classes(docs, row=row, **digits)
+    own = [row] if row else []
     copies = rows.filter("class_id is not null")
     best = F.min(F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("z"), F.col("doc_id"),
                           F.col("row_id")))
     keep = copies.groupBy("class_id").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
     in_class = copies.join(keep.hint("merge"), "class_id").select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
-        (F.col("row_id") == F.col("best.row_id")).alias("kept"), "text_sha256")
+        (F.col("row_id") == F.col("best.row_id")).alias("kept"), "text_sha256", *own)
     alone = rows.filter("class_id is null").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
-        F.lit(True).alias("kept"), "text_sha256")
+        F.lit(True).alias("kept"), "text_sha256", *own)
     return in_class.unionByName(alone)
 
 

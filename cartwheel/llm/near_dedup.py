@@ -141,34 +141,35 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, steps
 
 
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()),
-                     ("set_b", pa.int64()), ("registers", pa.binary())])
+                     ("set_b", pa.int64()), ("registers", pa.binary()), ("row", pa.string())])
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, row: str | None = None) -> DataFrame:
     """Written per row: doc_id, text_key, n (set size), set_a, set_b (a 128-bit digest of the whole
-    set), registers (null for the empty set)."""
+    set), registers (null for the empty set), row (the column of that name, if given)."""
     def run(batches):
         import xxhash
 
         memo = Memo(xxhash.xxh64_intdigest)
         for part in slices(batches, 1000):
-            ids, keys, texts = (part.column(i) for i in range(3))
+            ids, keys, texts, own = part.columns
             sets = [shingle_hashes(words_of(t), memo) for t in texts.to_pylist()]
             digest = np.array([np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64) for s in sets]).reshape(-1, 2)
             registers = truncated(sketch([s for s in sets if len(s)]))
             rows = iter(registers)
             yield pa.RecordBatch.from_arrays(
                 [ids, keys, pa.array([len(s) for s in sets], pa.int64()), pa.array(digest[:, 0]), pa.array(digest[:, 1]),
-                 pa.array([next(rows).tobytes() if len(s) else None for s in sets], pa.binary())], schema=_SKETCH)
+                 pa.array([next(rows).tobytes() if len(s) else None for s in sets], pa.binary()), own], schema=_SKETCH)
 
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text"),
+                       (F.col(row) if row else F.lit(None)).cast("string").alias("row"))
     return cut_lineage(rows.mapInArrow(
-        run, "doc_id long, text_key long, n long, set_a long, set_b long, registers binary"), "sketches")
+        run, "doc_id long, text_key long, n long, set_a long, set_b long, registers binary, row string"), "sketches")
 
 
 def nodes_of(table: DataFrame) -> DataFrame:
     """Written, one row for each different set: node, set_a, set_b, n, doc (its smallest row), registers."""
-    doc = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_key"))
+    doc = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_key", "row"))
     rows = table.filter("n > 0").groupBy("set_a", "set_b").agg(
         doc.alias("doc"), F.first("n").alias("n"), F.first("registers").alias("registers"))
     return cut_lineage(rows.withColumn("node", F.monotonically_increasing_id()), "set_nodes")
@@ -328,9 +329,10 @@ def resolve_blocks(members: DataFrame, comps: DataFrame, texts: DataFrame) -> Da
     return map_arrow(blocks, "a long, b long", start, rows=8)
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
-    table = sketches(docs)
+def near_dedup(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable), kept. With ``row``, a column
+    that differs in all rows, that column too, and kept is true of one row of each component."""
+    table = sketches(docs, row)
     nodes = nodes_of(table)
     buckets = cut_lineage(buckets_of(nodes), "buckets")
     pivots = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n")).alias("p")).filter("size > 1")
@@ -351,12 +353,16 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     more = cut_lineage(resolve_blocks(members.select("bucket", "node", "pivot"), components(links), texts), "block_links")
     comps = components(links.unionByName(more))
     # components by node, then by the smallest doc_id in them
-    owner = nodes.select("node", "set_a", "set_b", F.struct("doc.z", "doc.doc_id").alias("doc")).join(
+    owner = nodes.select("node", "set_a", "set_b", F.struct("doc.z", "doc.doc_id", "doc.row").alias("doc")).join(
         comps.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     owner = cut_lineage(owner, "node_components")
-    least = owner.groupBy("comp").agg(F.min("doc")["doc_id"].alias("component_id"))
-    label = owner.join(least.hint("merge"), "comp").select("set_a", "set_b", "component_id")
-    linked = table.filter("n > 0").select("doc_id", "n", "set_a", "set_b").join(label.hint("merge"), ["set_a", "set_b"]).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = table.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    least = owner.groupBy("comp").agg(F.min("doc").alias("least")).select(
+        "comp", F.col("least.doc_id").alias("component_id"), F.col("least.row").alias("first_row"))
+    label = owner.join(least.hint("merge"), "comp").select("set_a", "set_b", "component_id", "first_row")
+    linked = table.filter("n > 0").select("doc_id", "n", "set_a", "set_b", "row").join(label.hint("merge"), ["set_a", "set_b"]).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", "row", "first_row")
+    alone = table.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
+                                         "row", F.col("row").alias("first_row"))
+    same = ("row", "first_row") if row else ("doc_id", "component_id")
+    return linked.unionByName(alone).select("doc_id", "n_shingles", "component_id", F.col(same[0]).eqNullSafe(F.col(same[1])).alias("kept"),
+                                            *([F.col("row").alias(row)] if row else []))

@@ -235,7 +235,7 @@ def score(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFra
             "doc_id": ids, "held_out": held, "score": [*map(lexicon.score, texts)]}
 
     scored = map_arrow(docs.select("doc_id", held_out().alias("held_out"), "text"),
-                       "doc_id long, held_out boolean, score double", start)
+                       f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double", start)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 

@@ -2,8 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 Parquet in the shared folder and read again as the next stage's ``docs``. All stages but
-the last return the columns of ``docs``; rows that share a doc_id share its fate, so
-repeated rows stay or go together. Null texts count as empty in every stage.
+the last return the columns of ``docs``. A verdict holds for the one row it was given to,
+so repeated rows, rows that share a doc_id and rows without one stay or go each for itself.
+Null texts count as empty in every stage.
 """
 
 from __future__ import annotations
@@ -20,30 +21,48 @@ from cartwheel.llm.catalog import tokenizer_file
 from cartwheel.llm.common import cut_lineage, documents
 
 
-def keep_rows(docs: DataFrame, verdicts: DataFrame, kept: str) -> DataFrame:
-    """The rows of ``docs`` whose doc_id has a verdict that says ``kept``."""
-    ids = verdicts.filter(kept).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column that names each row for good, and the column's name: the file and
+    place where the row is written. Other than a written table is written first."""
+    plan = docs._jdf.queryExecution().analyzed()
+    if not (plan.children().isEmpty() and plan.toString().strip().endswith("] parquet")):
+        docs = cut_lineage(docs, "stage_input")
+    name = "written_row"
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    return docs.withColumn(name, F.concat_ws("#", "_metadata.file_path", "_metadata.row_index")), name
+
+
+def keep_rows(rows: DataFrame, row: str, verdicts: DataFrame, kept: str, key: str = "doc_id") -> DataFrame:
+    """The rows whose verdict, found by ``key``, says ``kept``; without the column ``row``."""
+    ids = verdicts.filter(kept).select(F.col(key).alias("kept_row"))
+    return rows.join(ids, rows[row] == ids["kept_row"], "left_semi").drop(row)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the noisy-or of their sentences predicts toxic go."""
-    return keep_rows(docs, D5.detect(docs, documents(spark, sf_dir, "labels")), "predicted = 0")
+    rows, row = numbered(docs)
+    model = D5.fit(docs, documents(spark, sf_dir, "labels"))
+    return keep_rows(rows, row, D5.score(rows.withColumn("doc_id", F.col(row)), model), "predicted = 0")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the longest original stays."""
-    return keep_rows(docs, D7.exact_dedup(docs), "kept")
+    rows, row = numbered(docs)
+    return keep_rows(rows, row, D7.exact_dedup(rows, row=row), "kept", row)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays, that of the smallest doc_id."""
-    return keep_rows(docs, D1.near_dedup(docs), "kept")
+    """One row of each component stays, one of the smallest doc_id."""
+    rows, row = numbered(docs)
+    return keep_rows(rows, row, D1.near_dedup(rows, row=row), "kept", row)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark window go."""
-    return keep_rows(docs, D2.decontaminate(docs, documents(spark, sf_dir, "benchmark")), "not contaminated")
+    rows, row = numbered(docs)
+    verdicts = D2.decontaminate(rows.withColumn("doc_id", F.col(row)), documents(spark, sf_dir, "benchmark"))
+    return keep_rows(rows, row, verdicts, "not contaminated")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

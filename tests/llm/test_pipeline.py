@@ -52,6 +52,29 @@ def test_stages_take_awkward_rows(spark, edge_docs, tmp_path):
             assert name == "packing" or docs.columns == columns
 
 
+def test_verdicts_take_effect_by_row(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = "doc_id long, text string, lang string"
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    scores = D5.score(docs, D5.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))).filter("doc_id is not null").collect()
+    toxic, clean = (texts[pick(scores, key=lambda r: r["score"])["doc_id"]] for pick in (max, min))
+    leak = spark.read.parquet(f"{SF}/benchmark.parquet").filter("length(text) > 100").first()["text"]
+    near = " ".join(f"w{i}" for i in range(100))
+
+    def left(stage, rows, base=None):
+        given = spark.createDataFrame([(*r, "en") for r in rows], columns)
+        out = dict(corpus_pipeline.STAGES)[stage](spark, given if base is None else base.unionByName(given), SF)
+        return sorted(((r["doc_id"], r["text"]) for r in out.collect() if r["doc_id"] in (None, -1)), key=repr)
+
+    mixed = [(-1, toxic), (-1, clean), (None, toxic), (None, clean)]
+    assert left("toxicity", mixed, docs.select("doc_id", "text", "lang")) == sorted([(-1, clean), (None, clean)], key=repr)
+    assert left("decontamination", [(-1, leak), (-1, "fine"), (None, leak), (None, "fine")]) == sorted([(-1, "fine"), (None, "fine")], key=repr)
+    assert left("exact dedup", [(-1, "a b"), (-1, "a b"), (-1, "c"), (None, "x"), (None, "x "), (None, "y")]) == sorted(
+        [(-1, "a b"), (-1, "c"), (None, "x "), (None, "y")], key=repr)
+    kept = left("near dedup", [(-1, near), (-1, near + " end"), (-1, "c"), (None, "x y"), (None, "x  y"), (None, ""), (None, "z")])
+    assert sorted(str(d) + t[:1] for d, t in kept) == ["-1c", "-1w", "None", "Nonex", "Nonez"]
+
+
 def test_registered():
     assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
     assert set(SQL) <= set(QUERIES)
