@@ -1,6 +1,7 @@
 """Operator 1, near-dedup by SetSketch registers.
 
-A document's set is its distinct 2-word shingles. Every shingle sends points at
+A document's set is its distinct shingles of ``width`` words (``WIDTH`` unless the caller says
+otherwise). Every shingle sends points at
 exponentially spaced times to random registers; a register keeps the earliest time,
 written as a truncated logarithm. So registers of a union are the larger ones of its
 parts, and two sets agree in a register about as often as their Jaccard similarity
@@ -22,7 +23,7 @@ a hash of its nodes. Texts move once to the nodes that have candidates, and then
 pivot pairs and blocks. Each step's tables are written in the shared folder.
 
 Defined cases: a null text, or one without words, has the empty set: it is linked with
-nothing, and is its own component; a text of one word has one shingle; a null doc_id sorts
+nothing, and is its own component; a text of fewer words than a shingle has one shingle; a null doc_id sorts
 after all others; rows that share a doc_id share a component if their texts do; extra
 columns are ignored; an empty table gives an empty result.
 """
@@ -38,6 +39,7 @@ from .common import Memo, cut_lineage, map_arrow, ship, slices
 
 ship(__name__)
 
+WIDTH = 5
 REGISTERS = 256
 BASE = 1.02
 RATE = 20.0
@@ -70,17 +72,19 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(LOWER).split() if text else []
 
 
-def shingle_set(text: bytes | None) -> set:
+def shingle_set(text: bytes | None, width: int = WIDTH) -> set:
     words = words_of(text)
-    return set(zip(words, words[1:])) if len(words) > 1 else {tuple(words)} if words else set()
+    return set(zip(*[words[i:] for i in range(min(width, len(words)))]))
 
 
-def shingle_hashes(words: list[bytes], memo: dict) -> np.ndarray:
+def shingle_hashes(words: list[bytes], memo: dict, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles."""
     h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-    if len(h) > 1:
-        h = mixed(h[:-1] * _GOLD + h[1:])
-    return np.unique(h)
+    n = max(0, len(h) - width) + 1
+    out = h[:n]
+    for i in range(1, min(width, len(h))):
+        out = mixed(out * _GOLD + h[i:i + n])
+    return np.unique(out)
 
 
 def sketch(sets: list[np.ndarray]) -> np.ndarray:
@@ -144,7 +148,7 @@ _SKETCH = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.
                      ("set_b", pa.int64()), ("registers", pa.binary()), ("row", pa.string())])
 
 
-def sketches(docs: DataFrame, row: str | None = None) -> DataFrame:
+def sketches(docs: DataFrame, row: str | None = None, width: int = WIDTH) -> DataFrame:
     """Written per row: doc_id, text_key, n (set size), set_a, set_b (a 128-bit digest of the whole
     set), registers (null for the empty set), row (the column of that name, if given)."""
     def run(batches):
@@ -153,7 +157,7 @@ def sketches(docs: DataFrame, row: str | None = None) -> DataFrame:
         memo = Memo(xxhash.xxh64_intdigest)
         for part in slices(batches, 1000):
             ids, keys, texts, own = part.columns
-            sets = [shingle_hashes(words_of(t), memo) for t in texts.to_pylist()]
+            sets = [shingle_hashes(words_of(t), memo, width) for t in texts.to_pylist()]
             digest = np.array([np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64) for s in sets]).reshape(-1, 2)
             registers = truncated(sketch([s for s in sets if len(s)]))
             rows = iter(registers)
@@ -196,7 +200,7 @@ def _near_size(a: str, b: str):
     return F.least(a, b) * 100 >= F.greatest(a, b) * THRESHOLD
 
 
-def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, texts: DataFrame, width: int = WIDTH) -> DataFrame:
     """The pairs (a, b) that are linked, by registers first and then by their full sets."""
     def start():
         last: list = [None, None]
@@ -207,8 +211,8 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             out = {"a": [], "b": []}
             for i in np.flatnonzero(hopeful).tolist():
                 if last[0] != b[i]:
-                    last[:] = b[i], shingle_set(text_b[i])
-                sa, sb = shingle_set(text_a[i]), last[1]
+                    last[:] = b[i], shingle_set(text_b[i], width)
+                sa, sb = shingle_set(text_a[i], width), last[1]
                 common = len(sa & sb)
                 if 100 * common >= THRESHOLD * (len(sa) + len(sb) - common):
                     out["a"].append(a[i])
@@ -252,12 +256,12 @@ def components(edges: DataFrame) -> DataFrame:
         e.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
 
-def _block_links(block_rows):
+def _block_links(block_rows, width: int = WIDTH):
     """Linked pairs of different components between the two sides of a block."""
     sides = []
     memo: dict = {}
     for side in block_rows:
-        sets = [[hash_ for hash_ in _indexed(r["text"], memo)] for r in side]
+        sets = [[hash_ for hash_ in _indexed(r["text"], memo, width)] for r in side]
         sides.append((np.array([r["node"] for r in side]), np.array([r["comp"] for r in side]), sets,
                       np.array([len(s) for s in sets])))
     (node_a, comp_a, sets_a, n_a), (node_b, comp_b, sets_b, n_b) = sides
@@ -275,9 +279,9 @@ def _block_links(block_rows):
     return node_a[i[keep]].tolist(), node_b[j[keep]].tolist()
 
 
-def _indexed(text: bytes, memo: dict) -> list[int]:
+def _indexed(text: bytes, memo: dict, width: int) -> list[int]:
     """A text's shingles as numbers that are exact within the block."""
-    return [memo.setdefault(s, len(memo)) for s in shingle_set(text)]
+    return [memo.setdefault(s, len(memo)) for s in shingle_set(text, width)]
 
 
 def _matrix(sets: list[list[int]], columns: np.ndarray) -> np.ndarray:
@@ -290,7 +294,7 @@ def _matrix(sets: list[list[int]], columns: np.ndarray) -> np.ndarray:
     return out
 
 
-def resolve_blocks(members: DataFrame, comps: DataFrame, texts: DataFrame) -> DataFrame:
+def resolve_blocks(members: DataFrame, comps: DataFrame, texts: DataFrame, width: int = WIDTH) -> DataFrame:
     """Links (a, b) between components that share a bucket, beyond those of the pivots.
     ``members``: (bucket, node, pivot) of the buckets with several nodes."""
     rows = members.filter("node <> pivot").join(comps.hint("merge"), "node", "left").select(
@@ -320,7 +324,7 @@ def resolve_blocks(members: DataFrame, comps: DataFrame, texts: DataFrame) -> Da
         def work(lefts, rights):
             out = {"a": [], "b": []}
             for pair in zip(lefts, rights):
-                a, b = _block_links(pair)
+                a, b = _block_links(pair, width)
                 out["a"] += a
                 out["b"] += b
             return out
@@ -329,10 +333,10 @@ def resolve_blocks(members: DataFrame, comps: DataFrame, texts: DataFrame) -> Da
     return map_arrow(blocks, "a long, b long", start, rows=8)
 
 
-def near_dedup(docs: DataFrame, row: str | None = None) -> DataFrame:
+def near_dedup(docs: DataFrame, row: str | None = None, width: int = WIDTH) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable), kept. With ``row``, a column
     that differs in all rows, that column too, and kept is true of one row of each component."""
-    table = sketches(docs, row)
+    table = sketches(docs, row, width)
     nodes = nodes_of(table)
     buckets = cut_lineage(buckets_of(nodes), "buckets")
     pivots = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n")).alias("p")).filter("size > 1")
@@ -349,8 +353,8 @@ def near_dedup(docs: DataFrame, row: str | None = None) -> DataFrame:
     texts = rows.join(wanted.hint("merge"), ["id", "z", "text_key"]).select("node", "n", "registers", "text")
     texts = cut_lineage(texts.dropDuplicates(["node"]), "node_texts")
 
-    links = cut_lineage(confirm(pairs, texts), "links")
-    more = cut_lineage(resolve_blocks(members.select("bucket", "node", "pivot"), components(links), texts), "block_links")
+    links = cut_lineage(confirm(pairs, texts, width), "links")
+    more = cut_lineage(resolve_blocks(members.select("bucket", "node", "pivot"), components(links), texts, width), "block_links")
     comps = components(links.unionByName(more))
     # components by node, then by the smallest doc_id in them
     owner = nodes.select("node", "set_a", "set_b", F.struct("doc.z", "doc.doc_id", "doc.row").alias("doc")).join(

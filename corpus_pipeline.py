@@ -53,9 +53,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component stays, one of the smallest doc_id."""
+    """One row of each component (shingles of five words) stays, one of the smallest doc_id."""
     rows, row = numbered(docs)
-    return keep_rows(rows, row, D1.near_dedup(rows, row=row), "kept", row)
+    return keep_rows(rows, row, D1.near_dedup(rows, row=row, width=5), "kept", row)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,9 +6,11 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 
 from cartwheel.llm import exact_dedup as D7
 from cartwheel.llm import near_dedup as D1
+from cartwheel.llm.catalog import QUERIES
 
 
 def brute_exact(rows):
@@ -91,6 +93,33 @@ def test_near_dedup_dense_group(spark, monkeypatch):
     assert key(tuple(r) for r in D1.near_dedup(docs).collect()) == key(brute_near(rows))
 
 
+def word_runs(text, width):
+    """Shingles by another way than the operator's."""
+    words = (text or "").lower().split()
+    return {" ".join(words[i:i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def test_shingle_width_by_caller(spark):
+    for text in ("a b c d e f a b c d e", "a b", "a", None):
+        for width in (2, 5):
+            given = text.encode() if text else None
+            assert {b" ".join(s).decode() for s in D1.shingle_set(given, width)} == word_runs(text, width)
+            assert len(D1.shingle_hashes(D1.words_of(given), D1.Memo(xxhash.xxh64_intdigest), width)) == len(word_runs(text, width))
+    words = [f"w{i}" for i in range(100)]
+    docs = spark.createDataFrame(
+        [(1, " ".join(words)), (2, " ".join("x" if i in (15, 30, 45, 60) else w for i, w in enumerate(words)))], "doc_id long, text string")
+    both = {w: len({r["component_id"] for r in D1.near_dedup(docs, width=w).collect()}) for w in (2, 5)}
+    assert both == {2: 1, 5: 2}
+
+
+def test_op1_query_links_on_two_words(spark, small_rows, monkeypatch):
+    wide = D1.shingle_set
+    monkeypatch.setattr(D1, "shingle_set", lambda text, width=2: wide(text, width))
+    want = key(brute_near(small_rows))
+    monkeypatch.undo()
+    assert key(tuple(r) for r in QUERIES["op1_near_dedup"](spark, "/root/testdata/sf0.001").collect()) == want
+
+
 def test_near_dedup_empty(edge_docs):
     assert D1.near_dedup(edge_docs.limit(0)).count() == 0
 
