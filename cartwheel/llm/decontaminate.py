@@ -9,9 +9,10 @@ rarity, keeps the candidates whose offset-adjusted position is in its own list.
 What is left after the last term are all exact phrase matches. A proximity
 match lets each term lie up to ``slop`` words from its place.
 
-Scale: no shuffle. The test set is a stated query set; it is cut into blocks of
-at most ``BLOCK_BYTES`` bytes of text (checked per block) and each block is sent
-to the tasks and run against all rows.
+Scale: documents are not shuffled. The test set is a stated query set; its different
+(item, text) rows are written once, cut into blocks of about ``BLOCK_BYTES`` bytes of text (checked
+per block), and each block is read by the driver, sent to the tasks and let go of
+before the next one, and run against all rows.
 
 Defined cases: null or wordless texts have no words and match nothing; a
 wordless item has no window; a null item_id is named "null"; items that share
@@ -27,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, ship
+from .common import cut_lineage, map_arrow, ship
 
 ship(__name__)
 
@@ -54,11 +55,15 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 def query_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
-    """The test set in blocks; every block's size is measured before it is read."""
+    """The test set in blocks, each read when it is asked for; every block's size is measured
+    before. Without a text there is one empty block."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
                              F.col("text").cast("binary").alias("text")).filter("text is not null")
+    # copies count once, and would always share a block
+    items = cut_lineage(items.distinct(), "benchmark_items")
     size = items.agg(F.sum(F.octet_length("text")), F.max(F.octet_length("text"))).first()
     if not size[0]:
+        yield []
         return
     limit = max(block_bytes, size[1])          # one item is never cut
     n = math.ceil(size[0] / limit)
@@ -202,7 +207,7 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH
                        F.lit(None).cast("array<struct<start:bigint,stop:bigint>>").alias("spans"))
     schema = HIT_SCHEMA.format(docs.schema["doc_id"].dataType.simpleString())
     # A block of no item still counts the words.
-    for block in [*query_blocks(benchmark, block_bytes)] or [[]]:
+    for block in query_blocks(benchmark, block_bytes):
         rows = map_arrow(rows, schema, _scan_block(sc.broadcast(block), width))
     return rows.drop("text")
 
@@ -240,7 +245,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, slop: int = 0, width: in
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     schema = "doc_id long, item string, position long, n_words long, exact boolean"
     out = [map_arrow(rows, schema, _match_block(sc.broadcast(block), width, slop))
-           for block in [*query_blocks(benchmark, block_bytes)] or [[]]]
+           for block in query_blocks(benchmark, block_bytes)]
     for part in out[1:]:
         out[0] = out[0].unionByName(part)
     return out[0]

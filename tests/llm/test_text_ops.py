@@ -62,6 +62,32 @@ def test_decontaminate_empty(spark, edge_docs):
     assert D2.decontaminate(edge_docs, bench.limit(0)).filter("contaminated").count() == 0
 
 
+def test_decontaminate_copies_of_an_item_count_once(spark, monkeypatch):
+    item = "one two three four five six"
+    bench = spark.createDataFrame([(1, item)] * 50 + [(2, "seven eight")], "item_id int, text string")
+    tries = []
+    pmod = F.pmod
+    monkeypatch.setattr(D2.F, "pmod", lambda *a: tries.append(a) or (pmod(*a) if len(tries) < 9 else 1 / 0))    # else it never ends
+    assert sorted(r for b in D2.query_blocks(bench, 32) for r in b) == [("1", item.encode()), ("2", b"seven eight")]
+
+
+def test_decontaminate_reads_a_block_at_a_time(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c d")], "doc_id long, text string")
+    log = []
+
+    def blocks(*_):
+        for w in (b"b", b"c"):
+            log.append("read")
+            yield [("1", w)]
+
+    monkeypatch.setattr(D2, "query_blocks", blocks)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast",
+                        lambda self, v, send=type(spark.sparkContext).broadcast: log.append("sent") or send(self, v))
+    D2.find_matches(docs, None)
+    D2.contaminated_spans(docs, None)
+    assert log == ["read", "sent"] * 4
+
+
 def test_exact_and_proximity_matches(spark):
     docs = spark.createDataFrame([(1, "x a b c d y"), (2, "a z b c d"), (3, "a b"), (4, "d c b a"), (5, None)], "doc_id long, text string")
     bench = spark.createDataFrame([(7, "a b c d")], "item_id int, text string")
