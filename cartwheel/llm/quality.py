@@ -3,13 +3,14 @@
 Two views of a document: its text content (hashed words and runs of marks) and its page
 metadata (source, language, lengths, line shape). A logistic regression is fitted on each.
 Each is calibrated (Platt scaling) on labelled rows kept out of training. In every round
-each view scores a pool of unlabelled documents, and those that its calibrated chance is
+each view scores all documents outside the labelled sample, and those that its calibrated chance is
 sure of join the other view's training rows with its label; a view that isn't good enough
 to be sure of any gives none. At the end the calibrated log-odds of both views are added,
 less the prior's, to score all documents.
 
-Scale: Spark ML throughout. Fitting reads bounded samples, by a hash of doc_id: about
-``MAX_LABELLED`` labelled and ``MAX_POOL`` unlabelled rows. Scoring is one pass over whole
+Scale: Spark ML throughout. The labelled sample is bounded, by a hash of doc_id: about
+``MAX_LABELLED`` rows. The other documents' word counts and page metadata are written once and
+scored in every round, and the fits run over all that are sure. Scoring is one pass over whole
 texts, without a shuffle or Python.
 
 Defined cases: null and empty texts have no words and are scored by the metadata and the
@@ -30,7 +31,6 @@ from pyspark.sql import functions as F
 from .common import cut_lineage, text_or_empty
 
 MAX_LABELLED = 20_000
-MAX_POOL = 20_000
 ROUNDS = 3
 SURE = 0.95
 WORD_BITS, META_BITS = 15, 10
@@ -49,18 +49,20 @@ def views(docs: DataFrame) -> DataFrame:
         (F.octet_length(text) / F.greatest(F.length(text), F.lit(1))).alias("width"))
 
 
-def _stages(view: str) -> list:
-    if view == "text":
-        return [HashingTF(inputCol="tokens", outputCol="counts", numFeatures=1 << WORD_BITS),
-                Normalizer(inputCol="counts", outputCol="text_features")]
-    return [FeatureHasher(inputCols=["source", "lang", "chars", "lines", "line_chars", "width"], outputCol="meta_features",
-                          numFeatures=1 << META_BITS, categoricalCols=["source", "lang"])]
+def counted(rows: DataFrame) -> DataFrame:
+    """Word counts in place of the words; smaller to write than the features."""
+    return HashingTF(inputCol="tokens", outputCol="counts", numFeatures=1 << WORD_BITS).transform(rows).drop("tokens")
+
+
+def normed(rows: DataFrame) -> DataFrame:
+    """Both views' features from counts and metadata."""
+    rows = Normalizer(inputCol="counts", outputCol="text_features").transform(rows).drop("counts")
+    return FeatureHasher(inputCols=["source", "lang", "chars", "lines", "line_chars", "width"], outputCol="meta_features",
+                         numFeatures=1 << META_BITS, categoricalCols=["source", "lang"]).transform(rows)
 
 
 def with_features(rows: DataFrame) -> DataFrame:
-    for stage in [*_stages("text"), *_stages("meta")]:
-        rows = stage.transform(rows)
-    return rows.drop("tokens", "counts")
+    return normed(counted(rows))
 
 
 def _share(col: Column, share: float) -> Column:
@@ -78,7 +80,7 @@ def _model(view: str) -> LogisticRegression:
                               standardization=view != "text", regParam=1e-4 if view == "text" else 1e-2)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL, rounds: int = ROUNDS) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS) -> dict:
     """Both views' models, their calibrations (slope, shift) and the prior's log-odds."""
     known = labels.filter("quality is not null").groupBy("doc_id").agg(F.max("quality").cast("double").alias("y"))
     n, good = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0.0))).first()
@@ -90,8 +92,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
     train, keep = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(4)) != 0), rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0)
     if train.select("y").distinct().count() < 2:
         return {"share": good / n}
-    pool = docs.filter(_share(F.col("doc_id"), max_pool / max(1, docs.count()))).join(part, "doc_id", "left_anti")
-    pool = cut_lineage(with_features(views(pool)), "quality_pool")
+    pool = normed(cut_lineage(counted(views(docs.join(F.broadcast(part.select("doc_id")), "doc_id", "left_anti"))), "quality_pool"))
     extra = {"text": None, "meta": None}
     for r in range(rounds + 1):
         models = {v: _model(v).fit(train if extra[v] is None else train.unionByName(extra[v], allowMissingColumns=True)) for v in extra}
@@ -102,8 +103,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
         for view, other in (("text", "meta"), ("meta", "text")):
             a, b = platt[other]
             p = 1 / (1 + F.exp(-(_logit(other) * a + b)))
-            sure = scored.filter((p >= SURE) | (p <= 1 - SURE)).select(*pool.columns, (p >= 0.5).cast("double").alias("y"))
-            extra[view] = cut_lineage(sure, f"quality_pseudo_{view}")
+            # not written: read again from the pool, with this round's models
+            extra[view] = scored.filter((p >= SURE) | (p <= 1 - SURE)).select(*pool.columns, (p >= 0.5).cast("double").alias("y"))
     return {"models": models, "platt": platt, "share": good / n}
 
 

@@ -165,6 +165,18 @@ def test_quality_separates_junk(spark):
     assert len(got) == 400 and all(r["good"] == (r["doc_id"] % 4 > 0) for r in got)
 
 
+def test_quality_rounds_see_all_other_documents(spark, monkeypatch):
+    rows = [(i, "Quiet words on a page about rivers. " if i % 4 else "BUY!! NOW!! %%% $$$ | ", "en", "s", 50) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    pools = []
+    cut = D3.cut_lineage
+    monkeypatch.setattr(D3, "cut_lineage", lambda df, name: pools.append((name, out := cut(df, name))) or out)
+    D3.fit(docs, labels, max_labelled=100, rounds=1)
+    sizes = {name: {r["doc_id"] for r in t.collect()} for name, t in pools}
+    assert sizes["quality_pool"] == set(range(400)) - sizes["quality_labelled"] and len(sizes["quality_pool"]) > 200
+
+
 def test_quality_edge_rows(edge_docs, edge_labels, edge_rows):
     assert D3.classify(edge_docs, edge_labels, rounds=1).count() == len(edge_rows)
     one_kind = D3.classify(edge_docs, edge_labels.filter("quality = 1")).collect()
