@@ -66,7 +66,7 @@ def _scored_sql() -> str:
     return f"SELECT user_id, product_id, label FROM ({REGISTRY['train_matrix'].sql}) m WHERE {bucket} >= 70"
 
 
-@query("lr_scored_rows", ops=("C4", "C5"), sql=_scored_sql())
+@query("lr_scored_rows", ops=("C5",), sql=_scored_sql())
 def q_lr_scored_rows(spark, sf):
     """The keys and labels of the rows the regression scores: all held-out ones, each once."""
     _, pred = MD.logistic_regression(_matrix(spark, sf), MD.FORMULA_7, train_pct=70)

@@ -120,3 +120,9 @@ def test_drop_old_partitions(spark):
     assert sorted(dropped) == ["20180820", "20180821"]
     assert sorted(d for d in os.listdir(path) if d.startswith("dt=")) == [f"dt=2018082{i}" for i in range(2, 9)]
     assert read_partitioned(spark, path, ["dt"]).count() == 70
+
+
+def test_scored_rows_query_counts_for_the_split_only():
+    from cartwheel.plans.registry import load_all
+
+    assert load_all()["lr_scored_rows"].ops == ("C5",)
