@@ -8,6 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import byte_bpe as D11
 from . import chat_format as D8
 from . import decontaminate as D2
 from . import exact_dedup as D7
@@ -83,6 +84,14 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D10.judge(documents(spark, sf_dir, "pages").select("page_id", "url"), labels)
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import PATTERN
+
+    tokens = D11.read_ranks(tokenizer_file("byte_bpe_multi_50k.tiktoken"))
+    return D11.digests(documents(spark, sf_dir), tokens, PATTERN)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_near_dedup, op2_decontaminate, op3_quality, op4_packing, op5_toxicity, op6_token_counts, op7_exact_dedup, op8_chat_format, op9_token_files, op10_url_rules)}
+    op1_near_dedup, op2_decontaminate, op3_quality, op4_packing, op5_toxicity, op6_token_counts, op7_exact_dedup, op8_chat_format, op9_token_files, op10_url_rules,
+    op11_byte_bpe)}
 SQL = {"op2_decontaminate": D2.SQL, "op7_exact_dedup": D7.SQL, "op8_chat_format": D8.SQL}
