@@ -15,6 +15,7 @@ from . import exact_dedup as D7
 from . import near_dedup as D1
 from . import packing as D4
 from . import quality as D3
+from . import spelling as D12
 from . import token_count as D6
 from . import token_files as D9
 from . import toxicity as D5
@@ -91,7 +92,12 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D11.digests(documents(spark, sf_dir), tokens, PATTERN)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D12.group_variants(D12.count_words(D12.planted_words(documents(spark, sf_dir))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_dedup, op2_decontaminate, op3_quality, op4_packing, op5_toxicity, op6_token_counts, op7_exact_dedup, op8_chat_format, op9_token_files, op10_url_rules,
-    op11_byte_bpe)}
-SQL = {"op2_decontaminate": D2.SQL, "op7_exact_dedup": D7.SQL, "op8_chat_format": D8.SQL}
+    op11_byte_bpe, op12_spelling)}
+SQL = {"op2_decontaminate": D2.SQL, "op7_exact_dedup": D7.SQL, "op8_chat_format": D8.SQL,
+       "op12_spelling": D12.SQL}
