@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import byte_bpe as D11
 from . import chat_format as D8
 from . import decontaminate as D2
+from . import divergence as D13
 from . import exact_dedup as D7
 from . import near_dedup as D1
 from . import packing as D4
@@ -96,8 +97,12 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D12.group_variants(D12.count_words(D12.planted_words(documents(spark, sf_dir))))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D13.audit(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_dedup, op2_decontaminate, op3_quality, op4_packing, op5_toxicity, op6_token_counts, op7_exact_dedup, op8_chat_format, op9_token_files, op10_url_rules,
-    op11_byte_bpe, op12_spelling)}
+    op11_byte_bpe, op12_spelling, op13_source_divergence)}
 SQL = {"op2_decontaminate": D2.SQL, "op7_exact_dedup": D7.SQL, "op8_chat_format": D8.SQL,
-       "op12_spelling": D12.SQL}
+       "op12_spelling": D12.SQL, "op13_source_divergence": D13.SQL}
