@@ -64,14 +64,14 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table's rows as one layout, and conversation -7 as another."""
+    """The table's rows as structs of one layout, and conversation -7 as a JSON record of another."""
     rows = documents(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"}).alias("record"))
+        "conv_id", "turn", F.struct("role", "text").alias("record"))
     said = "</s>[INST] ok [/INST]"
     extra = spark.range(1).select(
         F.lit(-7).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("turn"),
         F.lit(json.dumps({"messages": [{"role": r, "content": said} for r in ("user", "assistant")]})).alias("record"))
-    return D8.conversation_digests(D8.format_records(rows.unionByName(extra)))
+    return D8.conversation_digests(D8.format_records(extra, rows))
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """Operator 8, chat formatting by schema fingerprint; DataFrame functions only.
 
-A record is a JSON object in any known layout. Its fingerprint is the hash of its
-nested field paths (names and nesting, not the types of leaves). The fingerprint
-selects a layout's mapping, an expression that yields canonical turns (role, text).
+A record is a JSON object, or a struct column, in any known layout. Its fingerprint is the hash
+of its nested field paths (names and nesting, not the types of leaves). The fingerprint
+selects a layout's mapping, an expression that yields canonical turns (role, text). A struct's
+paths are those of the table's schema, so its rows are read as they are, with no JSON on the way
+and no limit but that of a Spark string (2 GiB, escapes included).
 A layout states the fields it needs and those it may also have; each such set of
 fields has its own fingerprint.
 
@@ -15,9 +17,10 @@ Scale: formatting, masks and reading work turn by turn, with no shuffle; layouts
 small fixed table. Only ``conversation_digests`` gathers a conversation, because a hash
 over its whole text must.
 
-Defined cases: null text and null role are empty; a record whose layout is unknown,
-that is no JSON object, or that is beyond Spark's variant size (128 MiB) gives no turns
-and is returned by ``unknown_records``; null turn numbers come first; turns with the
+Defined cases: null text and null role are empty; a JSON record whose layout is unknown,
+that is no JSON object, or that Spark's JSON parser refuses (a string of over 20,000,000
+characters, for one) gives no turns and is returned by ``unknown_records``; structs of an unknown
+layout are an error, a null struct gives no turns; null turn numbers come first; turns with the
 same number are ordered by place in the record, role and text; repeated rows are
 repeated turns; a null conv_id is one conversation; extra columns are ignored.
 """
@@ -29,6 +32,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from .common import cut_lineage
 
@@ -47,32 +51,36 @@ def _get(path: str) -> str:
     return f"try_variant_get(v, '$.{path}', 'string')"
 
 
-def _listed(path: str, role: str, text: str, role_of: str = "m.r") -> str:
+def _list(path: str, *fields: str) -> str:
+    return f"try_variant_get(v, '$.{path}', 'array<struct<{','.join(f'{f}:string' for f in fields)}>>')"
+
+
+def _listed(items: str, role: str, text: str, role_of: str = "m.r") -> str:
     """Turns out of a list of objects."""
-    return (f"transform(try_variant_get(v, '$.{path}', 'array<struct<{role}:string,{text}:string>>'),"
-            f" m -> {_pair(role_of.replace('m.r', f'm.{role}'), f'm.{text}')})")
+    return f"transform({items}, m -> {_pair(role_of.replace('m.r', f'm.{role}'), f'm.{text}')})"
 
 
 def _spoken(role: str) -> str:
     return f"case {role} when 'human' then 'user' when 'gpt' then 'assistant' else {role} end"
 
 
-#: name -> (example with the needed fields, further fields it may have, mapping to turns)
+#: name -> (example with the needed fields, further fields it may have, mapping to turns by the ways to get a field and a list)
 LAYOUTS = {
-    "turn": ({"role": "", "text": ""}, [], f"array({_pair(_get('role'), _get('text'))})"),
-    "message": ({"role": "", "content": ""}, ["name"], f"array({_pair(_get('role'), _get('content'))})"),
-    "messages": ({"messages": [{"role": "", "content": ""}]}, ["id"], _listed("messages", "role", "content")),
+    "turn": ({"role": "", "text": ""}, [], lambda get, rows: f"array({_pair(get('role'), get('text'))})"),
+    "message": ({"role": "", "content": ""}, ["name"], lambda get, rows: f"array({_pair(get('role'), get('content'))})"),
+    "messages": ({"messages": [{"role": "", "content": ""}]}, ["id"],
+                 lambda get, rows: _listed(rows("messages", "role", "content"), "role", "content")),
     "spoken": ({"conversations": [{"from": "", "value": ""}]}, ["id"],
-               _listed("conversations", "from", "value", _spoken("m.r"))),
+               lambda get, rows: _listed(rows("conversations", "from", "value"), "from", "value", _spoken("m.r"))),
     "prompt": ({"prompt": "", "completion": ""}, [],
-               f"array({_pair(repr('user'), _get('prompt'))}, {_pair(repr('assistant'), _get('completion'))})"),
+               lambda get, rows: f"array({_pair(repr('user'), get('prompt'))}, {_pair(repr('assistant'), get('completion'))})"),
     "prompt_response": ({"prompt": "", "response": ""}, ["system"],
-                        f"concat(if({_get('system')} is null, cast(array() as {_TURNS}),"
-                        f" array({_pair(repr('system'), _get('system'))})),"
-                        f" array({_pair(repr('user'), _get('prompt'))}, {_pair(repr('assistant'), _get('response'))}))"),
+                        lambda get, rows: f"concat(if({get('system')} is null, cast(array() as {_TURNS}),"
+                                          f" array({_pair(repr('system'), get('system'))})),"
+                                          f" array({_pair(repr('user'), get('prompt'))}, {_pair(repr('assistant'), get('response'))}))"),
     "instruction": ({"instruction": "", "output": ""}, ["input"],
-                    "array(" + _pair(repr("user"), f"concat({_get('instruction')}, if(coalesce({_get('input')}, '') = '', '',"
-                                                   f" concat('\\n', {_get('input')})))") + f", {_pair(repr('assistant'), _get('output'))})"),
+                    lambda get, rows: "array(" + _pair(repr("user"), f"concat({get('instruction')}, if(coalesce({get('input')}, '') = '', '',"
+                                                       f" concat('\\n', {get('input')})))") + f", {_pair(repr('assistant'), get('output'))})"),
 }
 
 
@@ -103,12 +111,39 @@ def canonical_turns(records: DataFrame) -> DataFrame:
     """conv_id, turn, part, role, text from (conv_id, turn, record)."""
     turns = F.lit(None).cast(_TURNS)
     for name, (_, _, mapping) in LAYOUTS.items():
-        turns = F.when(F.col("layout") == name, F.expr(f"cast({mapping} as {_TURNS})")).otherwise(turns)
-    return _matched(records.select("conv_id", "turn", "record")).select(
-        "conv_id", "turn", F.posexplode(turns).alias("part", "t")).select(
+        turns = F.when(F.col("layout") == name, F.expr(f"cast({mapping(_get, _list)} as {_TURNS})")).otherwise(turns)
+    return _turn_rows(_matched(records.select("conv_id", "turn", "record")), turns)
+
+
+def _turn_rows(rows: DataFrame, turns: Column) -> DataFrame:
+    return rows.select("conv_id", "turn", F.posexplode(turns).alias("part", "t")).select(
         "conv_id", "turn", "part", F.coalesce("t.role", F.lit("")).alias("role"), F.coalesce("t.text", F.lit("")).alias("text"))
 
 
+def _shape(kind) -> str:
+    """A type's nested field paths, written as ``fingerprint`` has them."""
+    if isinstance(kind, ArrayType):
+        return f"ARRAY<{_shape(kind.elementType)}>"
+    if not isinstance(kind, StructType):
+        return ""
+    fields = [(f.name, _shape(f.dataType)) for f in sorted(kind.fields, key=lambda f: f.name)]
+    return f"OBJECT<{', '.join(f'{name}: {shape}' if shape else name for name, shape in fields)}>"
+
+
+def canonical_rows(rows: DataFrame) -> DataFrame:
+    """As ``canonical_turns``, from (conv_id, turn, record) whose record is a struct."""
+    kind = rows.schema["record"].dataType
+    known = layout_table(rows.sparkSession).filter(F.col("fingerprint") == F.xxhash64(F.lit(_shape(kind)))).collect()     # one row
+    if not known:
+        raise ValueError(f"no layout has the fields {_shape(kind)}")
+
+    def get(path: str) -> str:
+        return f"cast(record.`{path}` as string)" if path in kind.names else "cast(null as string)"
+
+    turns = F.expr(f"cast({LAYOUTS[known[0]['layout']][2](get, lambda path, *fields: f'record.`{path}`')} as {_TURNS})")
+    return _turn_rows(rows.select("conv_id", "turn", "record"), F.when(F.col("record").isNotNull(), turns))
+
+
 def unknown_records(records: DataFrame) -> DataFrame:
     return _matched(records.select("conv_id", "turn", "record")).filter("layout is null").select("conv_id", "turn", "record")
 
@@ -157,9 +192,10 @@ def conversation_digests(formatted: DataFrame) -> DataFrame:
                         F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
 
 
-def format_records(records: DataFrame) -> DataFrame:
-    """The written table of formatted turns."""
-    return cut_lineage(format_turns(canonical_turns(records)), "formatted_turns")
+def format_records(records: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """The written table of formatted turns, of JSON records and of ``rows`` whose record is a struct."""
+    turns = canonical_turns(records)
+    return cut_lineage(format_turns(turns if rows is None else turns.unionByName(canonical_rows(rows))), "formatted_turns")
 
 
 SQL = r"""

@@ -1,8 +1,10 @@
 """Chat formatting (8) and URL rules (10)."""
 
+import hashlib
 import json
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -43,6 +45,35 @@ def test_layouts_become_canonical_turns_and_read_back(spark):
     assert D8.conversation_digests(formatted.limit(0)).count() == 0
 
 
+def test_struct_rows_are_read_like_records(spark):
+    said = "array<struct<role:string,content:string>>"
+    for conv, schema in ((1, "role string, text string"), (2, f"messages {said}"), (3, "id int, conversations array<struct<value:string,`from`:string>>"),
+                         (4, "prompt string, completion string"), (5, "prompt string, response string, system string"),
+                         (6, "instruction string, output string"), (7, "instruction string, input string, output string")):
+        rows = [(c, t, json.dumps(r)) for c, t, r in RECORDS if c == conv] + [(conv, 9, None)]
+        structs = spark.createDataFrame(rows, "conv_id long, turn long, j string").select("conv_id", "turn", F.from_json("j", schema).alias("record"))
+        got = sorted(map(tuple, D8.canonical_rows(structs.withColumn("part", F.lit(1))).collect()), key=lambda r: (r[1] or 0, r[2]))
+        assert [r[3:] for r in got] == TURNS[conv]
+    with pytest.raises(ValueError, match="no layout"):
+        D8.canonical_rows(spark.range(1).selectExpr("id as conv_id", "id as turn", "struct(id as what) as record"))
+
+
+def test_very_long_text_keeps_its_turn(spark):
+    """Beyond the 20,000,000 characters that a JSON string may have."""
+    text = F.expr("repeat(if(id = 0, '<', 'x'), if(id = 0, 3, 21000000))")
+    rows = spark.range(2).select(F.col("id").alias("conv_id"), F.lit(0).cast("long").alias("turn"), F.struct(F.lit("assistant").alias("role"), text.alias("text")).alias("record"))
+    got = D8.conversation_digests(D8.format_turns(D8.canonical_rows(rows))).orderBy("conv_id").collect()
+    assert [(r["n_turns"], r["loss_chars"]) for r in got] == [(1, 3), (1, 21_000_000)]
+    assert [r["turns_sha256"] for r in got] == [hashlib.sha256(f"assistant\n{t}\n".encode()).hexdigest() for t in ("<<<", "x" * 21_000_000)]
+
+
+def test_repeated_rows_and_equal_turn_numbers(spark):
+    rows = [(1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "user", "a"), (1, None, "assistant", "n")]
+    structs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").select("conv_id", "turn", F.struct("role", "text").alias("record"))
+    [r] = D8.conversation_digests(D8.format_turns(D8.canonical_rows(structs))).collect()
+    assert r["n_turns"] == 4 and r["turns_sha256"] == hashlib.sha256(b"assistant\nn\nuser\na\nuser\na\nuser\nb\n").hexdigest()
+
+
 def test_formatting_is_native(spark):
     plan = D8.conversation_digests(D8.format_turns(D8.canonical_turns(records(spark))))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
