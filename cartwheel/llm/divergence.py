@@ -9,7 +9,8 @@ ordinal; from there on, terms are integers, and ordinals break ties. Only terms
 are read back, by walking a shard down to the ordinal.
 
 A transducer is four arrays (transitions sorted by state and letter, their targets and outputs,
-final states), some 30 bytes a term; all distinct terms of a slice of documents walk at once.
+final states), some 30 bytes a term. A task counts the terms of its texts, by bytes, and whenever it
+holds ``FLUSH`` of them all distinct ones walk at once.
 
 Pair sums: L1 distances of sources over blocks of ``WIDTH`` ordinals, between two sets of about
 ``SIDE`` sources each, so a task's matrix is bounded whatever the vocabulary and the number of
@@ -29,7 +30,6 @@ table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterable
@@ -48,21 +48,37 @@ FEWEST, SMOOTH, UNIT, TOP = 30, 5, 1_000_000_000, 50
 SHARD = 1 << 15         # terms of a transducer
 BLOCK = 64 << 20        # bytes of transducers that a task holds
 WIDTH, SIDE = 1024, 128     # ordinals, and sources of each side, of a matrix
-FLUSH = 300_000         # counts that a task holds
-_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+FLUSH = 300_000         # terms, and counts by ordinal, that a task holds before it goes on with them
+#: of a text's UTF-8 bytes: A-Z in lower case, and white space for what is in no term
+_LETTERS = bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 _BITS = 21              # of a code point
 _SHARDS = "lang string, n_terms int, first string, last string, keys binary, targets binary, outs binary, finals binary"
 
 
-def lower_text() -> Column:
-    return F.translate(text_or_empty(), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def _rows(held: dict, names: list[str], kinds: list[pa.DataType]):
+    """A batch for each key of ``held``: its parts, the counted things and their counts."""
+    for key, counts in held.items():
+        k = len(counts)
+        parts = [pa.array([x] * k, pa.string()) for x in (key if isinstance(key, tuple) else (key,))]
+        yield pa.RecordBatch.from_arrays([*parts, *(pa.array(list(x), kind) for x, kind in zip((counts.keys(), counts.values()), kinds))], names=names)
+    held.clear()
+
+
+def _document_counts(batches):
+    held: dict[str, Counter] = defaultdict(Counter)
+    for batch in slices(batches, 500):
+        for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
+            held[lang].update(set(text.translate(_LETTERS).split()))
+        if sum(map(len, held.values())) > FLUSH:
+            yield from _rows(held, ["lang", "term", "n"], [pa.binary(), pa.int64()])
+    yield from _rows(held, ["lang", "term", "n"], [pa.binary(), pa.int64()])
 
 
 def kept_terms(docs: DataFrame, fewest: int = FEWEST) -> DataFrame:
     """(lang, term) of the terms in at least ``fewest`` documents of a language."""
-    terms = docs.select(text_or_empty("lang").alias("lang"), F.explode(F.array_distinct(
-        F.regexp_extract_all(lower_text(), F.lit(_TERM), F.lit(0)))).alias("term"))
-    return terms.groupBy("lang", "term").agg(F.count("*").alias("n")).filter(F.col("n") >= fewest).select("lang", "term")
+    texts = docs.select(text_or_empty("lang").alias("lang"), text_or_empty().cast("binary").alias("text"))
+    terms = texts.mapInArrow(_document_counts, "lang string, term binary, n long").groupBy("lang", "term").agg(F.sum("n").alias("n"))
+    return terms.filter(F.col("n") >= fewest).select("lang", F.col("term").cast("string").alias("term"))
 
 
 class Transducer:
@@ -209,32 +225,35 @@ class Block:
 
 
 def _count(shared):
-    pattern = re.compile(_TERM)
-    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("ordinal", pa.int64()), ("n", pa.int64())])
-
     def run(batches):
         block: Block = shared.value
-        held: dict[tuple[str, str], Counter] = defaultdict(Counter)
-
-        def rows():
-            for (lang, source), counts in held.items():
-                k = len(counts)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * k), pa.array([source] * k), pa.array(counts.keys(), pa.int64()),
-                                                  pa.array(counts.values(), pa.int64())], schema=schema)
-            held.clear()
+        held: dict[tuple[str, str], Counter] = defaultdict(Counter)         # of ordinals
+        terms: dict[tuple[str, str], Counter] = defaultdict(Counter)        # not yet walked
+
+        def walk():
+            by_lang = defaultdict(set)
+            for (lang, _), counts in terms.items():
+                by_lang[lang].update(counts)
+            known = {}
+            for lang, some in by_lang.items():
+                some = list(some)
+                known[lang] = dict(zip(some, block.ordinals(lang, [t.decode() for t in some]).tolist()))
+            for (lang, source), counts in terms.items():
+                ordinal, here = known[lang], held[lang, source]
+                for term, n in counts.items():
+                    if (o := ordinal[term]) >= 0:
+                        here[o] += n
+            terms.clear()
 
         for batch in slices(batches, 500):
-            groups = defaultdict(Counter)
             for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
-                groups[lang, source].update(pattern.findall(text))
-            for (lang, source), terms in groups.items():
-                counts, names = held[lang, source], list(terms)
-                for ordinal, n in zip(block.ordinals(lang, names).tolist(), terms.values()):
-                    if ordinal >= 0:
-                        counts[ordinal] += n
-            if sum(map(len, held.values())) > FLUSH:
-                yield from rows()
-        yield from rows()
+                terms[lang, source].update(text.translate(_LETTERS).split())
+            if sum(map(len, terms.values())) > FLUSH:
+                walk()
+                if sum(map(len, held.values())) > FLUSH:
+                    yield from _rows(held, ["lang", "source", "ordinal", "n"], [pa.int64(), pa.int64()])
+        walk()
+        yield from _rows(held, ["lang", "source", "ordinal", "n"], [pa.int64(), pa.int64()])
     return run
 
 
@@ -256,7 +275,7 @@ def blocks(vocabulary: DataFrame, limit: int = BLOCK) -> Iterable[list]:
 def recount(docs: DataFrame, vocabulary: DataFrame, limit: int = BLOCK) -> DataFrame:
     """The written table (lang, source, ordinal, n) of the kept terms that occur."""
     spark = docs.sparkSession
-    texts = docs.select(text_or_empty("lang").alias("lang"), text_or_empty("source").alias("source"), lower_text().alias("text"))
+    texts = docs.select(text_or_empty("lang").alias("lang"), text_or_empty("source").alias("source"), text_or_empty().cast("binary").alias("text"))
     parts = []
     for run in blocks(vocabulary, limit):
         langs = sorted({lang for lang, _ in run})
