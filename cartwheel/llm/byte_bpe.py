@@ -49,11 +49,12 @@ from .common import Memo, ship, slices
 
 ship(__name__)
 
-MEMO = 300_000
+MEMO = 250_000
 SHORT = 64         # characters of a string whose ids are kept
 BLOCK = 1 << 20    # characters of a text that are cut into pieces at a time
 _CUT = re.compile(r" (?=\S)")
 _WIDE = re.compile(r" \s")
+_MARKS = frozenset(",.;:!?)")     # neither letters, numbers nor white space, and in no contraction
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -150,10 +151,10 @@ class Codec:
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    def _fits(self, pair: tuple[int, int]) -> bool:
-        """Whether merging the pair's joined bytes gives the pair back."""
+    def _fits(self, pair: int) -> bool:
+        """Whether merging the joined bytes of two tokens, as one number, gives the two back."""
         tokens, halves, never = self.tokens, self.halves, len(self.tokens)
-        (left, right), left_goes, right_goes = pair, never, never    # when each is joined away from the border
+        (left, right), left_goes, right_goes = divmod(pair, never), never, never    # when each is joined away from the border
         while True:
             joined = self.rank.get(tokens[left] + tokens[right], never)
             if joined < left_goes and joined <= right_goes and joined < never:
@@ -170,14 +171,18 @@ class Codec:
         whole = self.rank.get(piece)
         if whole is not None:
             return array("i", [whole])
-        size, shorter, fits, best, reach, most = self.size, self.shorter, self.fits, self.best, self.trie.longest_prefix, self.most
-        letters, n = piece.decode("latin-1"), len(piece)
-        out = array("i", [token for _, token in self.trie.iter_long(letters)])     # longest after longest
-        good = next((i for i, pair in enumerate(zip(out, out[1:]), 1) if not fits[pair]), len(out))
-        if good == len(out):
-            return out
+        fits, n_tokens, letters = self.fits, len(self.tokens), piece.decode("latin-1")
+        out = [token for _, token in self.trie.iter_long(letters)]     # longest after longest
+        last = out[0]
+        for good in range(1, len(out)):
+            if not fits[last * n_tokens + out[good]]:
+                break
+            last = out[good]
+        else:
+            return array("i", out)
+        size, shorter, best, reach, most, n = self.size, self.shorter, self.best, self.trie.longest_prefix, self.most, len(piece)
         token, new, out = shorter[out[good]], False, out[:good]
-        dead, at, last = bytearray(n + 1), sum(size[t] for t in out), out[-1]
+        dead, at = bytearray(n + 1), sum([size[t] for t in out])
         while at < n:
             if new:     # the longest token here
                 token, new = best[letters[at:at + reach(letters[at:at + most])]], False
@@ -187,14 +192,13 @@ class Codec:
                 at -= size[token]
                 last = out[-1] if out else -1
                 token = shorter[token]
-                continue
-            if not dead[at + size[token]] and (last < 0 or fits[last, token]):
+            elif not dead[at + size[token]] and (last < 0 or fits[last * n_tokens + token]):
                 out.append(token)
                 at += size[token]
                 last, new = token, True
             else:
                 token = shorter[token]
-        return out
+        return array("i", out)
 
     def _cut(self, text: str) -> bytes:
         """The ids of a text by its pieces."""
@@ -207,10 +211,13 @@ class Codec:
         return b"".join(blocks)
 
     def _after_space(self, rest: str) -> bytes:
-        text = " " + rest
-        if rest.isalpha() and text.isascii():     # one piece
-            return self.split(text.encode()).tobytes()
-        return self._cut(text)
+        """The ids of a space and ``rest``, which has no other space before a character."""
+        if rest.isalpha():      # one piece
+            return self.split((" " + rest).encode()).tobytes()
+        word, mark = rest[:-1], rest[-1:]
+        if mark in _MARKS and word.isalpha():      # the mark is a piece of its own
+            return self.after_space[word] + self.known[mark]
+        return self._cut(" " + rest)
 
     def encode(self, text: str) -> np.ndarray:
         blocks, at = [], 0
@@ -225,10 +232,12 @@ class Codec:
             at = end + 1
         return np.frombuffer(b"".join(blocks), "int32")
 
-    def decode(self, ids: list[int]) -> bytes:
-        if ids and min(ids) < 0:
-            raise ValueError(f"no such id: {min(ids)}")
-        return b"".join(map(self.tokens.__getitem__, ids))
+
+def join(tokens: list[bytes], ids: list[int]) -> bytes:
+    """The bytes that ids stand for."""
+    if ids and min(ids) < 0:
+        raise ValueError(f"no such id: {min(ids)}")
+    return b"".join(map(tokens.__getitem__, ids))
 
 
 def _codec(shared) -> Codec:
@@ -277,8 +286,8 @@ def encode(docs: DataFrame, shared, text: str = "text", ids: str = "ids") -> Dat
 def decode(coded: DataFrame, shared, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``coded`` with the column ``decoded`` (binary) of the bytes that the ids stand for."""
     def make(lists):
-        codec = _codec(shared)
-        return pa.array([codec.decode(x) if x else b"" for x in lists.to_pylist()], pa.binary())
+        tokens = shared.value["tokens"]
+        return pa.array([join(tokens, x) if x else b"" for x in lists.to_pylist()], pa.binary())
 
     return _mapped(coded, F.col(f"`{ids}`"), decoded, "binary", make)
 
