@@ -286,8 +286,9 @@ def encode(docs: DataFrame, shared, text: str = "text", ids: str = "ids") -> Dat
 def decode(coded: DataFrame, shared, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``coded`` with the column ``decoded`` (binary) of the bytes that the ids stand for."""
     def make(lists):
-        tokens = shared.value["tokens"]
-        return pa.array([join(tokens, x) if x else b"" for x in lists.to_pylist()], pa.binary())
+        tokens, ids = shared.value["tokens"], lists.flatten().to_numpy().tolist()
+        ends = np.cumsum(np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False))).astype("int64").tolist()
+        return pa.array([join(tokens, ids[a:b]) for a, b in zip([0, *ends], ends)], pa.binary())
 
     return _mapped(coded, F.col(f"`{ids}`"), decoded, "binary", make)
 
