@@ -16,7 +16,7 @@ def test_contract_shapes():
 
 
 def test_oracle_reads_only_given_tables():
-    ctes = re.compile(r"(?:WITH|,)\s*([a-z_0-9]+)\s+AS\s*\(", re.I)
+    ctes = re.compile(r"(?:WITH(?:\s+RECURSIVE)?|,)\s*([a-z_0-9]+)(?:\([a-z_0-9, ]+\))?\s+AS\s*(?:MATERIALIZED\s*)?\(", re.I)
     for name, text in E.oracle_sql().items():
         defined = set(ctes.findall(text))
         used = set(re.findall(r"\b(?:FROM|JOIN)\s+([a-z_][a-z_0-9]*)\b(?!\s*\()", text, re.I))
