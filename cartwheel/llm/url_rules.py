@@ -3,24 +3,33 @@
 A list rule (host, path, verdict) fits its host and subdomains where the url's path
 begins with the rule's; the longest wins. For other urls, Spark's FP-growth mines
 combinations of url tokens (host labels, path words, parameter names) together with a
-label from labelled urls. Rules "tokens -> label" are kept by support and confidence,
-and dropped where a rule on fewer of the same tokens is at least as sure. A rule is
-filed in an inverted index under its rarest token; a url meets the rules of its own
-tokens and checks the rest of their tokens. The surest matching rule gives the verdict
+label from labelled urls. Rules "tokens -> label" of any length are kept by support and
+confidence, and dropped where a rule on fewer of the same tokens is at least as sure. A
+rule is filed in an inverted index under its rarest token; a url meets the rules of its
+own tokens and checks the rest of their tokens. The surest matching rule gives the verdict
 (on a tie, block); a url that none fits is allowed.
 
-Scale: urls and tokens only, html is never read. FP-growth's itemsets are limited by
-``min_support`` and ``MOST_TOKENS`` in a rule, so the rules don't grow with the rows; even so
-the index is joined, not broadcast by hand, and a hot token is a skewed join side that
-adaptive execution splits.
+FP-growth is given only tokens that can be part of an unbeaten longer rule, so that hot
+long urls don't make every subset of their tokens an itemset. Tokens of the same labelled
+urls are one item (``token_table`` keeps the names, and a url is matched by these items,
+so nothing is lost). A token whose urls all have one label, or that every url has, is
+left out: with it a longer rule is no surer than without the rest, or without it. Their
+rules of one token come straight from the counts.
+
+Scale: urls and tokens only, html is never read. The index is joined, not broadcast by
+hand, and a hot token is a skewed join side that adaptive execution splits. What stays
+of frequent itemsets is the method's own: k frequent tokens, each missing from some
+urls of its kind and each with both labels, still have 2^k combinations.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, no tokens, no
-rule and is allowed; repeated rows each keep their row; extra columns are ignored;
+rule and is allowed; a very long url is a url of many tokens; repeated rows each keep their row; extra columns are ignored;
 without labelled urls no rule is mined.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +42,6 @@ LIST_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.exa
 MIN_SUPPORT = 0.002
 MIN_ROWS = 20           # a rule rests on at least so many labelled urls
 MIN_CONFIDENCE = 0.8
-MOST_TOKENS = 3
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LABEL = "label="
 
@@ -79,27 +87,70 @@ def prepared_pages(pages: DataFrame, rules=LIST_RULES) -> DataFrame:
 _RULES = "tokens array<string>, verdict string, confidence double, support double"
 
 
+def token_table(labelled: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
+    """Written once: the frequent tokens of (tokens, label) rows as (token, item, n,
+    verdicts). Tokens of exactly the same rows have the same ``item``, the least of them."""
+    rows = cut_lineage(labelled.select(F.monotonically_increasing_id().alias("id"), F.array_distinct("tokens").alias("tokens"), "label")
+                       .filter(F.size("tokens") > 0), "url_labelled")
+    n = rows.count()
+    marks = [F.sum(F.xxhash64("id", F.lit(seed)).cast("decimal(38,0)")).alias(f"mark{seed}") for seed in (1, 2)]
+    by_label = rows.select("id", "label", F.explode("tokens").alias("token")).groupBy("token", "label").agg(
+        F.count(F.lit(1)).alias("k"), *marks)
+    sums = by_label.groupBy("token").agg(
+        F.sum("k").alias("n"), F.sum("mark1").alias("mark1"), F.sum("mark2").alias("mark2"),
+        F.array_sort(F.collect_list(F.struct("label", F.col("k").alias("n")))).alias("verdicts")
+    ).filter(F.col("n") >= F.lit(_least(n, min_support)))
+    first = sums.groupBy("n", "mark1", "mark2").agg(F.min("token").alias("item"))
+    sums = cut_lineage(sums.join(first, ["n", "mark1", "mark2"]).select("token", "item", "n", "verdicts"), "url_marks")
+    # the marks propose equal rows, a count of the rows that hold both tokens confirms them
+    both = rows.select("tokens", F.explode("tokens").alias("token")).join(
+        sums.filter("item <> token").select("token", "item"), "token").filter(
+        F.array_contains("tokens", F.col("item"))).groupBy("token").agg(F.count(F.lit(1)).alias("both"))
+    return cut_lineage(sums.join(both, "token", "left").select(
+        "token", F.when(F.col("both") == F.col("n"), F.col("item")).otherwise(F.col("token")).alias("item"), "n", "verdicts"), "url_tokens")
+
+
+def _least(n: int, min_support: float) -> int:
+    """Labelled urls that a rule must rest on."""
+    return max(math.ceil(min_support * n), MIN_ROWS)
+
+
+def as_items(rows: DataFrame, key: str, table: DataFrame) -> DataFrame:
+    """(key, tokens): each row's tokens as the items of the table, others left out."""
+    return rows.select(key, F.explode("tokens").alias("token")).join(table.select("token", "item"), "token").groupBy(key).agg(
+        F.array_sort(F.collect_set("item")).alias("tokens"))
+
+
 def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-               most_tokens: int = MOST_TOKENS) -> DataFrame:
-    """Pruned rules (tokens, verdict, confidence, support) from (tokens, label)."""
+               table: DataFrame | None = None) -> DataFrame:
+    """Pruned rules (tokens, verdict, confidence, support) from (tokens, label); their
+    tokens are items of ``table`` (the ``token_table`` of the same rows)."""
     spark = labelled.sparkSession
-    baskets = labelled.select(F.concat("tokens", F.array(F.concat(F.lit(_LABEL), "label"))).alias("items")).filter(F.size("items") > 1)
-    n = baskets.count()
+    labelled = cut_lineage(labelled.filter(F.size("tokens") > 0).select(F.monotonically_increasing_id().alias("id"), "tokens", "label"), "url_labels")
+    n = labelled.count()
     if n < MIN_ROWS:
         return spark.createDataFrame([], _RULES)
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, MIN_ROWS / n), minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.select(
-        F.array_sort("antecedent").alias("tokens"), F.col("consequent")[0].alias("c"), "confidence", "support")
-    rules = rules.filter(F.col("c").startswith(_LABEL) & (F.size("tokens") <= most_tokens)).select(
-        "tokens", F.substring("c", len(_LABEL) + 1, 99).alias("verdict"), "confidence", "support")
-    rules = cut_lineage(rules, "url_rules")
-    # A rule's shorter kin hold all but one of its tokens, or all but two, ...: at most 2^MOST_TOKENS keys.
-    kin = F.array(*[F.expr(f"filter(tokens, (t, i) -> shiftright({m}, i) % 2 = 1)") for m in range(1, (1 << most_tokens) - 1)])
-    longer = rules.select("tokens", "verdict", "confidence", F.explode(F.array_distinct(kin)).alias("part")).filter(
-        F.size("part") < F.size("tokens"))
-    shorter = rules.select(F.col("tokens").alias("part"), F.col("verdict").alias("v"), F.col("confidence").alias("least"))
-    beaten = longer.join(shorter, (longer["part"] == shorter["part"]) & (F.col("verdict") == F.col("v"))
-                         & (F.col("least") >= F.col("confidence"))).select("tokens", "verdict").distinct()
+    table = token_table(labelled, min_support) if table is None else table
+    items = table.filter("token = item")
+    single = items.select(F.array("item").alias("tokens"), "n", F.inline("verdicts").alias("verdict", "k")).filter(
+        (F.col("k") >= _least(n, min_support)) & (F.col("k") / F.col("n") >= min_confidence)).select(
+        "tokens", "verdict", (F.col("k") / F.col("n")).alias("confidence"), (F.col("k") / F.lit(n)).alias("support"))
+    mixed = table.filter((F.size("verdicts") > 1) & (F.col("n") < n))
+    baskets = labelled.select("id", "label").join(as_items(labelled, "id", mixed), "id", "left").select(
+        F.concat(F.array(F.concat(F.lit(_LABEL), "label")), F.coalesce("tokens", F.array().cast("array<string>"))).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=max(min_support, MIN_ROWS / n), minConfidence=min_confidence).fit(
+        cut_lineage(baskets, "url_baskets"))
+    longer = model.associationRules.filter(F.col("consequent")[0].startswith(_LABEL) & (F.size("antecedent") > 1)).select(
+        F.array_sort("antecedent").alias("tokens"), F.expr(f"substring(consequent[0], {len(_LABEL) + 1})").alias("verdict"), "confidence", "support")
+    rules = cut_lineage(single.unionByName(longer), "url_rules")
+    # a rule that beats another is met under its rarest token among the other's tokens
+    held = rules.select("tokens", "verdict", "confidence", F.explode("tokens").alias("token"))
+    uses = held.groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
+    least = held.join(uses, "token").groupBy("tokens", "verdict", "confidence").agg(F.min(F.struct("uses", "token"))["token"].alias("token"))
+    shorter = least.select(F.col("tokens").alias("part"), "verdict", F.col("confidence").alias("least"), "token")
+    beaten = held.join(shorter, ["token", "verdict"]).filter(
+        (F.size("part") < F.size("tokens")) & (F.col("least") >= F.col("confidence")) & (F.size(F.array_except("part", "tokens")) == 0)
+    ).select("tokens", "verdict").distinct()
     return cut_lineage(rules.join(beaten, ["tokens", "verdict"], "left_anti"), "url_rules_pruned")
 
 
@@ -126,8 +177,11 @@ def judge(pages: DataFrame, labels: DataFrame, rules=LIST_RULES, **limits) -> Da
     from_list = rows.filter("list_rule is not null").select("tokens", F.col("list_rule.verdict").alias("label"))
     given = rows.filter("list_rule is null").join(known, F.col("page_id") == F.col("id")).select(
         "tokens", F.when(F.col("bad"), "block").otherwise("allow").alias("label"))
-    mined = mine_rules(from_list.unionByName(given), **limits)
-    found = match_rules(rows.filter("list_rule is null"), mined).select("row", F.col("verdict").alias("mined"))
+    labelled = from_list.unionByName(given)
+    table = token_table(labelled, limits.get("min_support", MIN_SUPPORT))
+    mined = mine_rules(labelled, table=table, **limits)
+    items = cut_lineage(as_items(rows.filter("list_rule is null"), "row", table), "url_items")
+    found = match_rules(items, mined).select("row", F.col("verdict").alias("mined"))
     return rows.join(found, "row", "left").select(
         "page_id", "host", "path", F.col("list_rule.rule").alias("rule"),
         F.coalesce("list_rule.verdict", "mined", F.lit("allow")).alias("verdict"))

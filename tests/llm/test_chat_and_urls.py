@@ -1,7 +1,10 @@
 """Chat formatting (8) and URL rules (10)."""
 
 import hashlib
+import itertools
 import json
+import math
+import random
 import re
 
 import pytest
@@ -130,6 +133,50 @@ def test_rules_are_mined_pruned_and_matched(spark):
         assert got.get(i) == brute_match(t, rules)
 
 
+def brute_mine(rows, confidence=D10.MIN_CONFIDENCE):
+    """Every set of tokens that enough rows hold, by counting each row's subsets."""
+    held = {}
+    for tokens, label in rows:
+        for k in range(1, len(tokens) + 1):
+            for part in itertools.combinations(sorted(tokens), k):
+                held.setdefault(part, []).append(label)
+    least = max(math.ceil(D10.MIN_SUPPORT * len(rows)), D10.MIN_ROWS)
+    rules = {(p, v): ls.count(v) / len(ls) for p, ls in held.items() for v in set(ls) if ls.count(v) >= least and ls.count(v) / len(ls) >= confidence}
+    return {(p, v, c) for (p, v), c in rules.items()
+            if not any(v == w and set(q) < set(p) and d >= c for (q, w), d in rules.items())}
+
+
+def test_mined_rules_equal_a_brute_force_miner(spark):
+    """Tokens of every kind: in all rows, of one label, of the same rows, and mixed."""
+    draw = random.Random(7)
+    rows = []
+    for _ in range(400):
+        tokens = ["all"] + [t for t in "abcd" if draw.random() < 0.55]
+        tokens += ["twin1", "twin2"] if draw.random() < 0.4 else []
+        label = "block" if ("a" in tokens and "b" in tokens and draw.random() < 0.9) or draw.random() < 0.2 else "allow"
+        rows.append((tokens + (["pure"] if label == "block" and draw.random() < 0.5 else []), label))
+    labelled = spark.createDataFrame(rows, "tokens array<string>, label string")
+    table = D10.token_table(labelled)
+    names = {}
+    for r in table.collect():
+        names.setdefault(r["item"], []).append(r["token"])
+    assert sorted(names["twin1"]) == ["twin1", "twin2"] and len(names) == 7
+    got = {(tuple(sorted(p)), r["verdict"], r["confidence"]) for r in D10.mine_rules(labelled, table=table).collect()
+           for p in itertools.product(*(names[t] for t in r["tokens"]))}
+    want = brute_mine(rows)
+    assert got == want and any(len(p) > 1 for p, _, _ in want)
+
+
+def test_hot_long_urls_make_no_explosion(spark):
+    """300 equal urls of 40 tokens, with both labels, and a very long url beside them."""
+    words = "/".join(f"w{i}" for i in range(37))
+    urls = [f"http://h.org/{words}"] * 300 + [f"http://x.org/{words}/" + "/".join(f"v{i}" for i in range(5000))] * 2
+    pages = spark.createDataFrame(list(enumerate(urls)) + [(900, f"http://other.io/{words}"), (901, "http://other.io/w3")], "page_id long, url string")
+    labels = spark.createDataFrame([(i, "block" if i % 10 else "allow") for i in range(300)] * 2, "page_id long, label string")
+    rows = {r["page_id"]: r["verdict"] for r in D10.judge(pages, labels).collect()}
+    assert len(rows) == 304 and rows[0] == rows[300] == rows[900] == rows[901] == "block"
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.text(max_size=30))
 def test_brute_rule_never_fails(url):
