@@ -10,13 +10,16 @@ compiled when it is first taken and carries the number of tokens it emits (the
 change of the count). A blank after another character always starts afresh, as no
 piece has a blank behind another character; ``compile_pieces`` checks it.
 
-Long texts are cut into chunks. A chunk's map from entry state to (exit state,
-count) is constant from its first fresh start on, so it is kept as (head, count
-and exit state behind the head); maps compose associatively and a document's maps
-are combined pairwise, as in a parallel prefix scan.
+Long texts are cut into chunks. A chunk's map takes an entry state to (exit state,
+count); it is computed for the state that the ``LEAD`` characters before the chunk lead to
+from a fresh start, as states converge after some pieces. The maps of a document compose
+where each entry is the exit before it; a chunk entered by another state gets its map for
+that one in a further round, until all compose (each round settles at least the first
+open chunk of every document). A map is one small row, whatever the text.
 
-Scale: short texts (at most ``CHUNK`` characters) need no shuffle. Of longer ones
-only their chunks' maps are shuffled, to one small group a document.
+Scale: short texts (at most ``CHUNK`` characters) need no shuffle. Longer ones are written
+once in chunks, which are run through in parallel, also without any blank; only the
+chunks' maps are shuffled.
 
 Defined cases: null counts as empty (no tokens); repeated rows each keep their
 row; extra columns are ignored; an empty table gives an empty result.
@@ -28,17 +31,19 @@ import heapq
 import json
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, map_arrow, ship, text_or_empty
+from .common import Memo, cut_lineage, map_arrow, ship, text_or_empty
 
 ship(__name__)
 
 CHUNK = 1 << 15
+LEAD = 256
 LIMIT = 4096
 SPACE = "▁"
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
+_STARTS_AFRESH = re.compile(f"(?<=[^{SPACE}]){SPACE}")
 
 
 def compile_pieces(model_path: str) -> dict[str, float]:
@@ -165,30 +170,18 @@ class Counter:
             return sum(map(self.unit.__getitem__, _UNIT.findall(text)))
         return sum(map(self.word.__getitem__, words[1:]))
 
-    def chunk_map(self, chunk: str, first: bool) -> tuple[str, int | None, tuple | None]:
-        at = 0
-        if not first:
-            found = re.search(f"(?<=[^{SPACE}]){SPACE}", chunk)
-            if found is None:
-                return chunk, None, None
-            at = found.start()
+    def run(self, chunk: str, state: tuple) -> tuple[tuple, int]:
+        """Exit state and tokens of a chunk; whole units behind its first fresh start."""
+        found = _STARTS_AFRESH.search(chunk)
+        if found is None:
+            return self.machine.run(chunk, state)
+        at = found.start()
         tail = max(at, chunk.rfind(SPACE))
         while tail > at and chunk[tail - 1] == SPACE:
             tail -= 1
-        state, n = self.machine.run(chunk[tail:])
-        return chunk[:at], n + (self.fresh(chunk[at:tail]) if tail > at else 0), state
-
-    def compose(self, a: tuple, b: tuple) -> tuple:
-        head, count, state = a
-        if count is None:
-            return head + b[0], b[1], b[2]
-        state, n = self.machine.run(b[0], state)
-        return (head, count + n, state) if b[1] is None else (head, count + n + b[1], b[2])
-
-    def scan(self, maps: list[tuple]) -> tuple:
-        while len(maps) > 1:
-            maps = [self.compose(*maps[i:i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        return maps[0]
+        _, n = self.machine.run(chunk[:at], state)
+        after, m = self.machine.run(chunk[tail:])
+        return after, n + m + (self.fresh(chunk[at:tail]) if tail > at else 0)
 
 
 def _counter(shared) -> Counter:
@@ -212,42 +205,57 @@ def _map_chunks(shared):
     def start():
         counter = _counter(shared)
 
-        def work(rows, ids, n_bytes, at, chunks):
-            maps = [counter.chunk_map(prepared(c) if k == 0 else c.replace(" ", SPACE), k == 0) for k, c in zip(at, chunks)]
-            return {"row": rows, "doc_id": ids, "n_bytes": n_bytes, "at": at, "head": [m[0] for m in maps],
-                    "count": [m[1] for m in maps], "state": [m[2] and json.dumps(m[2]) for m in maps]}
+        def work(rows, ids, n_bytes, at, leads, chunks, entries):
+            out = {"row": rows, "doc_id": ids, "n_bytes": n_bytes, "at": at, "entry": [], "exit": [], "count": []}
+            for k, lead, chunk, entry in zip(at, leads, chunks, entries):
+                state = _state(entry) if entry else counter.run(lead.replace(" ", SPACE), Transducer.START)[0]
+                after, n = counter.run(prepared(chunk) if k == 0 else chunk.replace(" ", SPACE), state)
+                out["entry"].append(json.dumps(state))
+                out["exit"].append(json.dumps(after))
+                out["count"].append(n)
+            return out
         return work
     return start
 
 
-def _state(text):
-    if not isinstance(text, str):
-        return None
+def _state(text: str) -> tuple:
     fresh, live = json.loads(text)
     return fresh, tuple(map(tuple, live))
 
 
-def _combine(shared):
-    def combine(pdf):
-        pdf = pdf.sort_values("at")
-        maps = [(h, None if c != c else int(c), _state(s)) for h, c, s in zip(pdf["head"], pdf["count"], pdf["state"])]
-        return pdf[["doc_id", "n_bytes"]].head(1).assign(n_tokens=_counter(shared).scan(maps)[1])
-    return combine
+_MAPS = "row long, doc_id long, n_bytes long, at int, entry string, exit string, count long"
+
+
+def chunk_maps(chunks: DataFrame, shared) -> DataFrame:
+    """One map per chunk (row, at) of the written ``chunks``, entered by the state it is due."""
+    maps = cut_lineage(map_arrow(chunks, _MAPS, _map_chunks(shared), rows=64), "token_maps")
+    order = Window.partitionBy("row").orderBy("at")
+    while True:
+        due = F.coalesce(F.lag("exit").over(order), F.lit(json.dumps(Transducer.START)))
+        still = maps.select("row", "at", "entry", due.alias("due")).filter("entry <> due").select("row", "at", F.col("due").alias("entry"))
+        still = cut_lineage(still, "token_open")
+        if still.isEmpty():
+            return maps
+        again = map_arrow(chunks.drop("entry").join(still, ["row", "at"]).select(chunks.columns), _MAPS, _map_chunks(shared), rows=64)
+        maps = cut_lineage(maps.join(still.select("row", "at"), ["row", "at"], "left_anti").select(maps.columns).unionByName(again), "token_maps")
 
 
-def count_tokens(docs: DataFrame, model_path: str, chunk: int = CHUNK, limit: int = LIMIT) -> DataFrame:
+def count_tokens(docs: DataFrame, model_path: str, chunk: int = CHUNK, limit: int = LIMIT, lead: int = LEAD) -> DataFrame:
     """Per row: doc_id, n_bytes, n_tokens, over_limit."""
     shared = docs.sparkSession.sparkContext.broadcast({"scores": compile_pieces(model_path)})    # bounded: a vocabulary
     rows = docs.select("doc_id", text_or_empty().alias("text")).withColumn(
         "n_bytes", F.octet_length("text").cast("long"))
     # at most ``chunk`` bytes is at most ``chunk`` characters
     short = map_arrow(rows.filter(F.col("n_bytes") <= chunk), "doc_id long, n_bytes long, n_tokens long", _count_short(shared))
-    size = F.lit(chunk)
-    pieces = F.transform(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / size).cast("int")),
-                         lambda k: F.substring("text", k * size + 1, size))
+    size, lead = F.lit(chunk), max(lead, 1)
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.floor((F.length("text") - 1) / size).cast("int")),
+        lambda k: F.struct(F.when(k * size > lead, F.substring("text", k * size + 1 - lead, F.lit(lead)))
+                           .when(k > 0, F.concat(F.lit(" "), F.substring("text", F.lit(1), k * size))).otherwise("").alias("lead"),
+                           F.substring("text", k * size + 1, size).alias("chunk")))
     long = rows.filter(F.col("n_bytes") > chunk).withColumn("row", F.monotonically_increasing_id()).select(
-        "row", "doc_id", "n_bytes", F.posexplode(pieces).alias("at", "chunk"))
-    maps = map_arrow(long, "row long, doc_id long, n_bytes long, at int, head string, count long, state string",
-                     _map_chunks(shared), rows=64)
-    whole = maps.groupBy("row").applyInPandas(_combine(shared), "doc_id long, n_bytes long, n_tokens long")
+        "row", "doc_id", "n_bytes", F.posexplode(pieces).alias("at", "p")).select(
+        "row", "doc_id", "n_bytes", "at", "p.lead", "p.chunk", F.lit(None).cast("string").alias("entry"))
+    whole = chunk_maps(cut_lineage(long, "token_chunks"), shared).groupBy("row").agg(
+        F.min("doc_id").alias("doc_id"), F.min("n_bytes").alias("n_bytes"), F.sum("count").alias("n_tokens")).drop("row")
     return short.unionByName(whole).withColumn("over_limit", F.col("n_tokens") > limit)

@@ -1,5 +1,6 @@
 """Token counts (6), packing (4) and token files (9) against the libraries."""
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -37,9 +38,28 @@ def pieces():
 def test_transducer_counts_as_the_library(counter, pieces, text, size):
     want = len(pieces.encode(text))
     assert (counter.fresh(D6.prepared(text)) if text else 0) == want
-    maps = [counter.chunk_map(D6.prepared(c) if k == 0 else c.replace(" ", D6.SPACE), k == 0)
-            for k, c in enumerate(text[i:i + size] for i in range(0, len(text), size))]
-    assert (counter.scan(maps)[1] if maps else 0) == want
+    state, total = D6.Transducer.START, 0
+    for k, c in enumerate(text[i:i + size] for i in range(0, len(text), size)):
+        state, n = counter.run(D6.prepared(c) if k == 0 else c.replace(" ", D6.SPACE), state)
+        total += n
+    assert total == want
+
+
+def test_long_texts_without_blanks_are_run_through_in_chunks(spark, pieces):
+    """Every map is one small row; chunks entered by another state than foreseen are run again."""
+    draw = random.Random(3)
+    texts = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=200_000)), "梦的" * 30_000, "ab" * 40_000 + " end", " " * 50_000, "A" * 70_001]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = [len(pieces.encode(t)) for t in texts]
+    for chunk, lead in ((4096, 256), (20_000, 1)):
+        got = {r["doc_id"]: r["n_tokens"] for r in D6.count_tokens(docs, PIECES, chunk=chunk, lead=lead).collect()}
+        assert [got[i] for i in range(len(texts))] == want
+    shared = spark.sparkContext.broadcast({"scores": D6.compile_pieces(PIECES)})
+    chunks = spark.createDataFrame([(0, 0, 1, k, texts[0][max(0, k * 5000 - 3):k * 5000], texts[0][k * 5000:k * 5000 + 5000], None) for k in range(40)],
+                                   "row long, doc_id long, n_bytes long, at int, lead string, chunk string, entry string")
+    maps = D6.chunk_maps(chunks, shared).orderBy("at").collect()
+    assert len(maps) == 40 and sum(m["count"] for m in maps) == want[0] and max(len(m["exit"]) for m in maps) < 1000
+    assert all(a["exit"] == b["entry"] for a, b in zip(maps, maps[1:]))
 
 
 def test_token_counts_in_chunks(edge_docs, edge_rows, pieces):
