@@ -6,11 +6,15 @@ and returns what was read, so the oracle checks the round trip."""
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.typed import to_int
 from ..session import scratch_path
+from ..sinks import keyed as KV
+from ..sinks import snapshots as SN
 from ..sinks import tables as SK
 from ..sources import fixtures as FXS
 from ..sources.corpus import LABEL_RULES, UNKNOWN_LABEL, read_corpus
@@ -192,3 +196,56 @@ def q_text_save(spark, sf):
     path = scratch_path(spark, "pairs_txt")
     SK.save_text(o, path, line)
     return spark.read.text(path)
+
+
+_CELLS = [("id", "order", "order_id"), ("num", "dow", "order_dow")]
+
+
+def put_in_batches(spark, orders, root):
+    """Three overlapping batches of puts, newer versions before older ones; the second is
+    replayed, and a compaction lies between."""
+    cells = KV.cell_rows(orders.withColumn("v", to_int("order_number")), "user_id", _CELLS, "v").withColumn("part", F.col("version") % 3)
+    KV.create(spark, root, cells, regions=8)
+    for batch, part in enumerate((2, 0, 1)):
+        KV.put(cells.filter(F.col("part") == part).drop("part"), root, batch)
+        if batch == 1:
+            KV.put(cells.filter(F.col("part") == part).drop("part"), root, batch)
+            KV.compact(spark, root)
+
+
+@query("wide_column_upserts", ops=("K9",), fx=("fx_orders",), sql="""
+SELECT user_id AS row_key, 'id' AS family, 'order' AS qualifier, max(CAST(order_number AS BIGINT)) AS version,
+       arg_max(order_id, CAST(order_number AS INTEGER)) AS value FROM fx_orders GROUP BY user_id
+UNION ALL
+SELECT user_id, 'num', 'dow', max(CAST(order_number AS BIGINT)), arg_max(order_dow, CAST(order_number AS INTEGER)) FROM fx_orders GROUP BY user_id""")
+def q_wide_column_upserts(spark, sf):
+    root = scratch_path(spark, "cells")
+    put_in_batches(spark, FXS.load(spark, sf, "fx_orders"), root)
+    return KV.read(spark, root)
+
+
+@query("wide_column_range", ops=("K9",), fx=("fx_orders",), sql="""
+SELECT user_id AS row_key, arg_max(order_id, CAST(order_number AS INTEGER)) AS value FROM fx_orders
+WHERE user_id >= '2' AND user_id < '4' GROUP BY user_id""")
+def q_wide_column_range(spark, sf):
+    """A range of row keys, read from its regions only."""
+    root = scratch_path(spark, "cells")
+    put_in_batches(spark, FXS.load(spark, sf, "fx_orders"), root)
+    return KV.read(spark, root, "2", "4").filter("family = 'id'").select("row_key", "value")
+
+
+@query("snapshot_rebuild", ops=("K7",), sql="""
+WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events ORDER BY day DESC LIMIT 7)
+SELECT strftime(d.day, '%Y%m%d') AS dt, user_id, count(*) AS n, max(event_id) AS last_event
+FROM events e JOIN days d ON CAST(e.ts AS DATE) BETWEEN d.day - 2 AND d.day GROUP BY d.day, user_id""")
+def q_snapshot_rebuild(spark, sf):
+    """Nine daily snapshots of the users active in the last three days, stored as changes;
+    each of the seven that are kept, rebuilt."""
+    root = scratch_path(spark, "snapshots")
+    e = load_table(spark, sf, "events").select("event_id", "user_id", F.to_date("ts").alias("day"))
+    newest = sorted(r["day"] for r in e.select("day").distinct().orderBy(F.desc("day")).limit(9).collect())
+    for day in newest:
+        now = e.filter(F.col("day").between(F.date_sub(F.lit(day), 2), F.lit(day)))
+        SN.add_day(now.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_event")), root, f"{day:%Y%m%d}", ["user_id"])
+    kept = [SN.rebuild(spark, root, d, ["user_id"]).withColumn("dt", F.lit(d)) for d in SN.days(spark, root)]
+    return reduce(DataFrame.unionByName, kept)

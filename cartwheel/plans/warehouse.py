@@ -11,6 +11,8 @@ from ..functions.typed import hour_gap, plus_columns, to_int, to_long
 from ..functions.text import segment
 from ..operators import analytics as A
 from ..operators.skew import salted_counts
+from ..session import scratch_path
+from ..sinks import tables as SK
 from ..sources import fixtures as FXS
 from ..sources.tables import load_table
 from .common import round_doubles
@@ -89,9 +91,11 @@ def q_modulo_sample(spark, sf):
 @query("bucket_sample", ops=("S8",), fx=("fx_ratings",), sql="""
 SELECT user_id, item_id, rating FROM fx_ratings WHERE ((user_id % 4) + 4) % 4 = 0""")
 def q_bucket_sample(spark, sf):
-    """``tablesample(bucket 1 out of 4 on user_id)``: Hive's bucket of an int
-    key is the key mod n, so bucket 1 is pmod(user_id, 4) = 0."""
-    return FXS.load(spark, sf, "fx_ratings").filter(F.pmod(F.col("user_id"), F.lit(4)) == 0)
+    """``tablesample(bucket 1 out of 4 on user_id)``: the bucket of an int key is the
+    key mod n. The table is laid out by it, and the sample reads one bucket's folder."""
+    path = scratch_path(spark, "sampled")
+    SK.save_sampled(FXS.load(spark, sf, "fx_ratings"), path, "user_id", 4)
+    return SK.read_sample(spark, path, "user_id", 4, 1, 4)
 
 
 # ------------------------------------------------------------ word count

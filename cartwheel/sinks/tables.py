@@ -123,3 +123,25 @@ def save_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
     are written quoted (``""``) - the reader turns an unquoted empty field
     into NULL, a quoted one back into ''."""
     df.write.mode("overwrite").option("sep", sep).option("nullValue", HIVE_NULL).csv(path)
+
+
+def save_sampled(df: DataFrame, path: str, column: str, buckets: int) -> None:
+    """Lay a table out by the sample's own bucket function, the key mod ``buckets``
+    (a null key is in the first bucket), one folder a bucket."""
+    insert_partitioned(df.withColumn("bucket_no", F.coalesce(F.pmod(F.col(column), F.lit(buckets)), F.lit(0))),
+                       path, ["bucket_no"], mode="overwrite")
+
+
+def read_sample(spark: SparkSession, path: str, column: str, buckets: int, bucket: int, out_of: int) -> DataFrame:
+    """``tablesample(bucket x out of y on column)`` of a ``save_sampled`` table. Where one of
+    y and the table's buckets divides the other, only folders that hold the sample are read."""
+    if not 1 <= bucket <= out_of:
+        raise ValueError(f"bucket {bucket} out of {out_of}")
+    t, want = spark.read.parquet(path), bucket - 1
+    if buckets % out_of == 0:
+        t = t.filter(F.pmod(F.col("bucket_no"), F.lit(out_of)) == want)
+    else:
+        if out_of % buckets == 0:
+            t = t.filter(F.col("bucket_no") == want % buckets)
+        t = t.filter(F.coalesce(F.pmod(F.col(column), F.lit(out_of)), F.lit(0)) == want)
+    return t.drop("bucket_no")
