@@ -14,7 +14,9 @@ from ..sources import fixtures as FXS
 from ..sources.tables import load_table
 from ..streaming import counts as SC
 from ..streaming import ingest as SI
+from ..streaming import log_source as SL
 from ..streaming import sources as SS
+from ..streaming import state as ST
 from .registry import query
 
 WORDS_SQL = """(SELECT ts, unnest(string_split(event_type || ' ' || CAST(user_id AS VARCHAR), ' ')) AS word FROM events)"""
@@ -35,7 +37,7 @@ def _read_batches(spark, out):
     return spark.read.parquet(out).drop("batch_id")
 
 
-@query("stream_batch_wordcount", ops=("F1", "S13", "K11", "F10"), sql=f"""
+@query("stream_batch_wordcount", ops=("F1", "S13", "K11"), sql=f"""
 SELECT strftime(ts, '%Y-%m-%d') AS day, word, count(*) AS cnt FROM {WORDS_SQL} w GROUP BY 1, 2""")
 def q_stream_batch_wordcount(spark, sf):
     out = scratch_path(spark, "wc_batches")
@@ -53,7 +55,7 @@ def q_stream_line_count(spark, sf):
     return _read_batches(spark, out).groupBy("day", "line").agg(F.sum("cnt").alias("cnt"))
 
 
-@query("stream_running_count", ops=("F3", "F6"), sql=f"""
+@query("stream_running_count", ops=("F3",), sql=f"""
 SELECT word, count(*) AS cnt FROM {WORDS_SQL} w GROUP BY word""")
 def q_stream_running_count(spark, sf):
     out = scratch_path(spark, "wc_running")
@@ -197,3 +199,45 @@ def q_stream_offset_audit(spark, sf):
     SI.audit_offsets(SS.log_stream(spark, src, max_files_per_trigger=1), out, scratch_path(spark, "chk"))
     return spark.read.parquet(out).groupBy("topic", "partition").agg(
         F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset"))
+
+
+HALF = "2024-01-16"     # the day at which streams that stop and go on are cut
+
+
+@query("stream_direct_log", ops=("S10", "S11", "F10"), fx=("fx_offsets",), sql="""
+SELECT topic, "partition", "offset", value FROM fx_offsets""")
+def q_stream_direct_log(spark, sf):
+    """The log by ranges of offsets, at a fixed interval; the query is stopped, more of the log
+    arrives, and a second start goes on from the checkpoint."""
+    out, chk, commits = (scratch_path(spark, n) for n in ("direct", "chk", "commits"))
+    path = scratch_path(spark, "log")
+    cut = FXS.load(spark, sf, "fx_offsets").agg(F.max("offset")).first()[0] // 2
+    for where, mode in ((f"offset < {cut}", "overwrite"), (f"offset >= {cut}", "append")):
+        SS.stage_log(spark, sf, path, where, mode)
+        log = SL.direct_stream(spark, path, FXS.OFFSET_TOPIC, rows_per_partition=50_000, commits=commits)
+        SL.drain(log.writeStream.foreachBatch(SC._batch_dir_writer(out, lambda b: b)), chk, "1 second")
+    return spark.read.parquet(out).select("topic", "partition", "offset", "value")
+
+
+@query("stream_recovered_state", ops=("F6",), sql=f"""
+SELECT word, count(*) AS cnt FROM {WORDS_SQL} w GROUP BY word""")
+def q_stream_recovered_state(spark, sf):
+    """A running count that stops after half of the input and is started again; the result
+    is read from the state store of its checkpoint."""
+    src, out, chk = (scratch_path(spark, n) for n in ("lines", "wc_running", "chk"))
+    for where, mode in ((f"day < '{HALF}'", "overwrite"), (f"day >= '{HALF}'", "append")):
+        SS.stage_lines(spark, sf, src, where, mode)
+        SC.running_word_counts(SS.text_stream(spark, src), out, chk)
+    return ST.state_rows(spark, chk).select("key.word", F.col("value.count").alias("cnt"))
+
+
+@query("stream_state_from_table", ops=("F3", "F4", "V10"), sql="""
+SELECT event_type AS word, count(*) AS cnt, count(DISTINCT CAST(ts AS DATE)) AS days, max(epoch_ms(ts)) AS last_ms
+FROM events GROUP BY event_type""")
+def q_stream_state_from_table(spark, sf):
+    """State with timers that starts from the table of the first days and goes on with the rest."""
+    old = load_table(spark, sf, "events").select(F.col("event_type").alias("word"), F.col("ts").cast("timestamp").alias("ts"))
+    src, out = SS.stage_events(spark, sf, scratch_path(spark, "events_stream")), scratch_path(spark, "state_out")
+    new = SS.event_stream(spark, src).filter(F.col("ts") >= F.lit(HALF).cast("timestamp"))
+    ST.expiring_counts(new, out, scratch_path(spark, "chk"), idle="3650 days", initial=old.filter(F.col("ts") < F.lit(HALF).cast("timestamp")))
+    return ST.latest_rows(spark, out).select("word", "cnt", "days", "last_ms")

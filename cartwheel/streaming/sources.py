@@ -67,13 +67,14 @@ def event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | No
     return _files(spark, EVENT_SCHEMA, max_files_per_trigger).parquet(path)
 
 
-def stage_lines(spark: SparkSession, sf_dir: str, path: str) -> str:
+def stage_lines(spark: SparkSession, sf_dir: str, path: str, where: str = "true", mode: str = "overwrite") -> str:
     """Write the word stream as text: one line 'event_type user_id' per event
-    under day=yyyy-MM-dd; a large day is several files, written by several tasks."""
+    under day=yyyy-MM-dd; a large day is several files, written by several tasks.
+    ``where`` picks days, for input that arrives in parts (mode 'append')."""
     e = load_table(spark, sf_dir, "events").select(
         F.concat_ws(" ", "event_type", F.col("user_id").cast("string")).alias("value"),
         F.date_format("ts", "yyyy-MM-dd").alias("day"))
-    e.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").text(path)
+    e.filter(where).hint("rebalance", "day").write.mode(mode).partitionBy("day").text(path)
     return path
 
 
@@ -91,11 +92,11 @@ LOG_SCHEMA = T.StructType([T.StructField("topic", T.StringType()), T.StructField
                            T.StructField("offset", T.LongType()), T.StructField("value", T.StringType())])
 
 
-def stage_log(spark: SparkSession, sf_dir: str, path: str) -> str:
+def stage_log(spark: SparkSession, sf_dir: str, path: str, where: str = "true", mode: str = "overwrite") -> str:
     """Write the message log with its coordinates (topic, partition, offset,
     value) as parquet under partition=..., several files for a large one."""
-    log = FXS.load(spark, sf_dir, "fx_offsets")
-    log.hint("rebalance", "partition").write.mode("overwrite").partitionBy("partition").parquet(path)
+    log = FXS.load(spark, sf_dir, "fx_offsets").filter(where)
+    log.hint("rebalance", "partition").write.mode(mode).partitionBy("partition").parquet(path)
     return path
 
 
