@@ -232,7 +232,7 @@ def q_stream_recovered_state(spark, sf):
 
 
 @query("stream_state_from_table", ops=("F3", "F4", "V10"), sql="""
-SELECT event_type AS word, count(*) AS cnt, count(DISTINCT CAST(ts AS DATE)) AS days, max(epoch_ms(ts)) AS last_ms
+SELECT event_type AS word, count(*) AS cnt, count(DISTINCT CAST(ts AS DATE)) AS days, max(epoch_us(ts) // 1000) AS last_ms
 FROM events GROUP BY event_type""")
 def q_stream_state_from_table(spark, sf):
     """State with timers that starts from the table of the first days and goes on with the rest."""
