@@ -145,15 +145,52 @@ def test_plan_places_every_tail_once(lengths):
 def test_counts_solve_the_histogram():
     hist = np.zeros(2048, int)
     hist[[1000, 1048, 500, 548]] = [700, 300, 400, 400]
-    combos = D4.enumerate_combinations(hist, 2048)
-    counts = D4.solve_counts(combos, hist)
+    combos, x, _ = D4.solve(hist, 2048)
     used = np.zeros(2048, int)
-    for c, n in zip(combos, counts):
+    for c, n in D4.whole_counts(combos, x, hist, 2048):
+        assert sum(c) == 2048
         for a in c:
             used[a] += n
     assert (used <= hist).all() and used.sum() >= 1790
 
 
+def all_combinations(window):
+    """Every pair and triple of lengths that fills the window, and every repeat with a partner or none."""
+    found = {(a, window - a) for a in range(1, window // 2 + 1)}
+    found |= {(a, b, window - a - b) for a in range(1, window) for b in range(a, (window - a) // 2 + 1)}
+    for a in range(1, window):
+        for k in range(1, window // a + 1):
+            found.add(tuple(sorted([a] * k + [window - k * a] * (window > k * a))))
+    return sorted(c for c in found if max(c) < window)
+
+
+@pytest.mark.parametrize("counts", [[36, 28, 16, 8, 0, 18, 14, 17, 27, 7, 23, 18, 6, 0, 0],
+                                    *np.random.default_rng(1).integers(0, 41, (12, 15)).tolist()])
+def test_generated_columns_reach_the_least_error_of_all(counts):
+    hist = np.array([0, *counts])
+    combos, _, left = D4.solve(hist, 16)
+    every = [c for c in all_combinations(16) if all(hist[n] for n in c)]
+    assert set(combos) <= set(every)
+    if every:
+        _, least = D4.least_squares(every, hist.astype(float), np.zeros(len(every)), 3000)
+        square = float((hist * hist).sum())
+        assert float(left @ left) <= 1.01 * float(least @ least) + 1e-4 * square
+        for c in every:                                 # no combination would lower the error by much
+            assert sum(left[n] for n in c) <= 0.05 * square ** 0.5
+
+
+def test_most_tails_are_placed_by_combinations():
+    rng = np.random.default_rng(4)
+    hist = np.bincount(rng.integers(1, 2048, 20_000), minlength=2048)
+    combos, x, _ = D4.solve(hist, 2048)
+    out = D4.whole_counts(combos, x, hist, 2048)
+    used = np.zeros(2048, int)
+    for c, n in out:
+        for a in c:
+            used[a] += n
+    assert (used <= hist).all() and used.sum() >= 0.9 * hist.sum()
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 1 << 20), min_size=1, max_size=1500))
 def test_codes_round_trip(ids):
