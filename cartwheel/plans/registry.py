@@ -39,5 +39,5 @@ def query(name: str, *, sql: str | None = None, fx: tuple[str, ...] = (),
 
 def load_all() -> dict[str, Query]:
     # Importing the catalog modules fills the registry.
-    from . import warehouse, features, recommend, text_models, segment_q, sinks_q, streams_q, ml_q, linear_q  # noqa: F401
+    from . import warehouse, features, recommend, text_models, segment_q, sinks_q, streams_q, ml_q, linear_q, clusters_q  # noqa: F401
     return REGISTRY
