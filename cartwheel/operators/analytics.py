@@ -184,8 +184,10 @@ def user_product_set(orders: DataFrame, prior: DataFrame) -> DataFrame:
 
 
 def user_product_record(orders: DataFrame, prior: DataFrame) -> DataFrame:
-    """Distinct product count and the product set in one record."""
-    pairs = distinct_pairs(orders, prior)
+    """Distinct product count and the product set in one record. Lines go
+    to their user once, and are made distinct and gathered there."""
+    pairs = (orders.select("order_id", "user_id").join(prior.select("order_id", "product_id"), "order_id")
+             .select("user_id", "product_id").repartition("user_id").distinct())
     return pairs.groupBy("user_id").agg(
         F.count(_one()).alias("u_prod_dist_cnt"),
         _sorted_csv(F.collect_list("product_id")).alias("u_prod_records"))

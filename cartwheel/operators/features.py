@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from ..functions.typed import blank_to_zero, hour_gap, safe_ratio, to_double, to_int, to_long, to_whole
 from ..session import cut_lineage
 from . import analytics as A
+from .text import sent_if_small
+
+SENT_PRODUCTS = 2_000_000     # rows of product features that may be sent to every task
 
 
 def _one() -> Column:
@@ -168,10 +171,20 @@ MODEL_PRODUCT = ["prod_sum_rod", "prod_rod_rate", "prod_cnt"]
 def train_matrix(orders: DataFrame, prior: DataFrame, trains: DataFrame) -> DataFrame:
     """Labels joined with user and product features (inner). The per-user
     product list is not carried: it would be copied onto every pair."""
-    op = cut_lineage(order_lines(orders, prior), "order_lines")
-    uf = user_features(orders, prior, op).drop("u_prod_records")
-    return (train_labels(orders, prior, trains, op).join(uf, "user_id")
-            .join(product_features(prior), "product_id")
+    both = prior.select("order_id", "product_id", F.lit(0).alias("train")).unionByName(
+        trains.select("order_id", "product_id", F.lit(1).alias("train")))
+    users = orders.select("order_id", "user_id")
+    # Lines meet their order, then go to the user once; pairs, labels and user features are made there.
+    pairs = users.join(both, "order_id").select("user_id", "product_id", "train").repartition("user_id").groupBy(
+        "user_id", "product_id").agg(F.max("train").alias("label"), F.min("train").alias("bought"))
+    kinds = F.count_if(F.col("bought") == 0).over(Window.partitionBy("user_id"))
+    per_user = orders.groupBy("user_id").agg(
+        F.avg(blank_to_zero("days_since_prior_order", "int")).alias("u_avg_day_gap"), F.count(_one()).alias("user_ord_cnt"))
+    sizes = users.join(prior.groupBy("order_id").agg(F.count("product_id").alias("n")), "order_id").groupBy(
+        "user_id", "order_id").agg(F.sum("n").alias("n")).groupBy("user_id").agg(F.avg("n").alias("u_avg_ord_prods"))
+    products = cut_lineage(product_features(prior), "product_features")
+    return (pairs.withColumn("u_prod_dist_cnt", kinds).join(per_user, "user_id").join(sizes, "user_id")
+            .join(sent_if_small(products, SENT_PRODUCTS), "product_id")
             .select("user_id", "product_id", "label", *MODEL_USER, *MODEL_PRODUCT))
 
 

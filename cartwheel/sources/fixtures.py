@@ -72,7 +72,9 @@ def lines_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lines_from(li: DataFrame, orders_t: DataFrame, parts: DataFrame) -> DataFrame:
     products = parts.agg(F.greatest(F.floor(F.count(F.lit(1)) / PRODUCT_SHARE), F.lit(PRODUCT_LEAST))).scalar()
-    basket = (li.groupBy("l_orderkey", (F.col("l_partkey") % products).alias("product_id"))
+    # Brought together by order once, for the basket, the join and the cart positions.
+    basket = (li.select("l_orderkey", (F.col("l_partkey") % products).alias("product_id"), "l_linenumber")
+                .repartition("l_orderkey").groupBy("l_orderkey", "product_id")
                 .agg(F.min("l_linenumber").alias("first_line")))
     o = orders_t.select("order_id", "user_id", "order_number", "eval_set")
     j = basket.join(o, basket.l_orderkey == o.order_id)
@@ -122,13 +124,23 @@ def fx_ratings(spark, sf_dir) -> DataFrame:
 def fx_docs(spark, sf_dir) -> DataFrame:
     """Reference ``news_noseg`` (sentence, label, segs): label is the quality
     flag where ``labels`` has the document, else the language."""
-    from ..functions.text import segment
+    return with_segs(docs_labelled(spark, sf_dir))
+
+
+def docs_labelled(spark, sf_dir) -> DataFrame:
+    """fx_docs without the segmented text. Labels are an id and a number: sent to
+    every task as long as they are few, so that no text is moved for them."""
+    from ..operators.text import SENT_DOCS, sent_if_small
     d = load_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     lab = load_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return (d.join(lab, "doc_id", "left")
+    return (d.join(sent_if_small(lab, SENT_DOCS), "doc_id", "left")
              .select("doc_id", F.col("text").alias("sentence"),
-                     F.coalesce(F.col("quality").cast("string"), F.col("lang")).alias("label"),
-                     segment("text", " ").alias("segs")))
+                     F.coalesce(F.col("quality").cast("string"), F.col("lang")).alias("label")))
+
+
+def with_segs(docs: DataFrame) -> DataFrame:
+    from ..functions.text import segment
+    return docs.withColumn("segs", segment("sentence", " "))
 
 
 def fx_offsets(spark, sf_dir) -> DataFrame:
@@ -158,21 +170,24 @@ def _stored_lines(spark, sf_dir, eval_set):
 
 
 # How each stored table is built. The typed order and basket tables are
-# stored once and the string tables are projections of them, so the windows
-# and the lineitem aggregation behind them run once per session.
+# stored once, so the windows and the lineitem aggregation behind them run once per session.
 DERIVED = {
     "fx_orders_t": lambda spark, sf: orders_typed(load_table(spark, sf, "orders")),
+    "fx_lines_t": lambda spark, sf: _lines_from(load_table(spark, sf, "lineitem"), load(spark, sf, "fx_orders_t"),
+                                                load_table(spark, sf, "part")),
+    "fx_docs_t": docs_labelled, "fx_ratings": fx_ratings, "fx_offsets": fx_offsets,
+}
+# Projections of a stored table: computed where they are read, not written a second time.
+VIEWS = {
     "fx_orders": lambda spark, sf: load(spark, sf, "fx_orders_t").select(*[
         F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c == "days_since_prior_order"
         else F.col(c).cast("string").alias(c) for c in ORDER_COLUMNS]),
-    "fx_lines_t": lambda spark, sf: _lines_from(load_table(spark, sf, "lineitem"), load(spark, sf, "fx_orders_t"),
-                                                load_table(spark, sf, "part")),
     "fx_lines": lambda spark, sf: _stored_lines(spark, sf, None),
     "fx_prior": lambda spark, sf: _stored_lines(spark, sf, "prior"),
     "fx_trains": lambda spark, sf: _stored_lines(spark, sf, "train"),
-    "fx_ratings": fx_ratings, "fx_docs": fx_docs, "fx_offsets": fx_offsets,
+    "fx_docs": lambda spark, sf: with_segs(load(spark, sf, "fx_docs_t")),
 }
-SPREAD = {"fx_docs"}
+SPREAD = {"fx_docs_t"}
 DOCS_A_FILE = 50_000
 _STORED: dict[tuple[str, str, str], str] = {}
 
@@ -180,8 +195,11 @@ _STORED: dict[tuple[str, str, str], str] = {}
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived table as a stored parquet table, written once per session
     below the shared folder and scanned afterwards (with column pruning and
-    filter pushdown), the way the reference reads its warehouse tables."""
+    filter pushdown), the way the reference reads its warehouse tables; ``VIEWS``
+    are projections of such tables."""
     from ..session import scratch_path
+    if name in VIEWS:
+        return VIEWS[name](spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     path = _STORED.get(key)
     if path is None:
