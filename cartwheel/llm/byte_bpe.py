@@ -49,7 +49,7 @@ from .common import Memo, ship, slices
 
 ship(__name__)
 
-MEMO = 250_000
+MEMO = 50_000      # entries, of some 200 bytes; a worker has five such tables
 SHORT = 64         # characters of a string whose ids are kept
 BLOCK = 1 << 20    # characters of a text that are cut into pieces at a time
 _CUT = re.compile(r" (?=\S)")
