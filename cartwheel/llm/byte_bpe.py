@@ -20,9 +20,11 @@ before a character that is no white space always starts a piece, so texts are fi
 
 ``encode`` and ``decode`` are columns in, columns out; the digests of the query come from them.
 
-Scale: no shuffle. The vocabulary is broadcast (its size is the file's). A worker keeps the ids
-of short strings and the answers for pairs, in two generations of at most ``MEMO`` each, of which
-the older is dropped when the newer is full; this changes speed only. A piece
+Scale: no shuffle. The vocabulary is broadcast with the two tokens that each is merged from, so that
+a worker need not merge them again (its size is the file's). A worker keeps the ids of short strings,
+in two generations of at most ``MEMO`` each, of which the older is dropped when the newer is full,
+and the answers for at most ``PAIRS`` pairs; this changes speed only. Strings that are put together
+from kept ones (a word and a mark, two words around a line break) are not kept themselves. A piece
 takes some ten bytes of memory a byte while it is split, a text's ids four bytes each.
 
 Defined cases: null text counts as empty (no ids); null ids decode to no bytes; ids outside of
@@ -49,7 +51,8 @@ from .common import Memo, ship, slices
 
 ship(__name__)
 
-MEMO = 50_000      # entries, of some 200 bytes; a worker has five such tables
+MEMO = 80_000      # strings, of some 200 bytes each; a worker has four such tables
+PAIRS = 200_000    # pairs, of some 100 bytes each; one table
 SHORT = 64         # characters of a string whose ids are kept
 BLOCK = 1 << 20    # characters of a text that are cut into pieces at a time
 _CUT = re.compile(r" (?=\S)")
@@ -89,18 +92,22 @@ def library_pattern(pattern: str) -> tuple[str, str, set[str]]:
     return pattern, narrow, odd
 
 
+def _one_word(string: str) -> bool:
+    return string[-1:] not in _MARKS and "\n" not in string
+
+
 class _Known(dict):
-    """``known[string]`` makes the ids, as bytes, and keeps those of short strings."""
+    """``known[string]`` makes the ids, as bytes, and keeps those of short strings worth ``keeping``."""
 
-    def __init__(self, make):
+    def __init__(self, make, keeping=lambda string: True):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.keeping, self.older = make, keeping, {}
 
     def __missing__(self, string: str) -> bytes:
         ids = self.older.get(string)
         if ids is None:
             ids = self.make(string)
-        if len(string) <= SHORT:
+        if len(string) <= SHORT and self.keeping(string):
             if len(self) >= MEMO:
                 self.older = dict(self)
                 self.clear()
@@ -111,7 +118,7 @@ class _Known(dict):
 class Codec:
     """Splits and joins by a list of tokens whose index is the id and the merge rank."""
 
-    def __init__(self, tokens: list[bytes], pattern: tuple[str, str, set[str]]):
+    def __init__(self, tokens: list[bytes], pattern: tuple[str, str, set[str]], halves: list[tuple[int, ...] | None] | None = None):
         import ahocorasick
         import regex
 
@@ -119,12 +126,7 @@ class Codec:
         self.pieces, self.narrow, self.odd = *(regex.compile(p, regex.V1) for p in pattern[:2]), frozenset(pattern[2])
         self.size = [len(t) for t in tokens]
         #: the two tokens that a token is merged from; () for a byte; None if merging doesn't make it (only a whole piece can be it)
-        self.halves: list[tuple[int, ...] | None] = []
-        for i, t in enumerate(tokens):
-            parts = tuple(self.rank[p] for p in self.merge(t, i))
-            self.halves.append(() if len(t) == 1 else parts if len(parts) == 2 else None)
-            if len(parts) == 2 and any(len(tokens[p]) > 1 and p > i for p in parts):
-                raise ValueError(f"token {i} is merged from later ones")
+        self.halves = self.merged_from() if halves is None else halves
         self.trie, self.most = ahocorasick.Automaton(), max(self.size)
         whole = {t.decode("latin-1"): i for i, t in enumerate(tokens) if self.halves[i] is not None}
         #: node of the trie, as its letters -> the longest token on the way to it
@@ -136,9 +138,9 @@ class Codec:
                     self.best[t[:k]] = whole.get(t[:k], self.best.get(t[:k - 1], -1))
         self.trie.make_automaton()
         self.shorter = [self.best.get(t[:-1].decode("latin-1"), -1) for t in tokens]
-        self.fits = Memo(self._fits, MEMO)
+        self.fits = Memo(self._fits, PAIRS)
         self.known = _Known(lambda piece: self.split(piece.encode()).tobytes())
-        self.after_space = _Known(self._after_space)
+        self.after_space = _Known(self._after_space, _one_word)
 
     def merge(self, word: bytes, below: int | None = None) -> list[bytes]:
         """Join the adjacent pair of lowest rank, leftmost first, as long as one has a rank (``below`` the given one)."""
@@ -151,6 +153,15 @@ class Codec:
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
+    def merged_from(self) -> list[tuple[int, ...] | None]:
+        halves: list[tuple[int, ...] | None] = []
+        for i, t in enumerate(self.tokens):
+            parts = tuple(self.rank[p] for p in self.merge(t, i))
+            halves.append(() if len(t) == 1 else parts if len(parts) == 2 else None)
+            if len(parts) == 2 and any(len(self.tokens[p]) > 1 and p > i for p in parts):
+                raise ValueError(f"token {i} is merged from later ones")
+        return halves
+
     def _fits(self, pair: int) -> bool:
         """Whether merging the joined bytes of two tokens, as one number, gives the two back."""
         tokens, halves, never = self.tokens, self.halves, len(self.tokens)
@@ -244,7 +255,7 @@ def _codec(shared) -> Codec:
     """The worker's codec, kept with the broadcast."""
     kept = shared.value
     if "codec" not in kept:
-        kept["codec"] = Codec(kept["tokens"], kept["pattern"])
+        kept["codec"] = Codec(kept["tokens"], kept["pattern"], kept["halves"])
     return kept["codec"]
 
 
@@ -268,7 +279,8 @@ def _mapped(df: DataFrame, source, name: str, kind: str, make) -> DataFrame:
 
 def share(spark, tokens: list[bytes], pattern: str):
     """The vocabulary and pattern for ``encode`` and ``decode``; bounded by the vocabulary file."""
-    return spark.sparkContext.broadcast({"tokens": tokens, "pattern": library_pattern(pattern)})
+    known = library_pattern(pattern)
+    return spark.sparkContext.broadcast({"tokens": tokens, "pattern": known, "halves": Codec(tokens, known).halves})
 
 
 def encode(docs: DataFrame, shared, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -64,6 +64,20 @@ def test_kept_strings_are_bounded(codec, monkeypatch):
     assert max(map(len, (small.known, small.known.older, small.after_space, small.after_space.older))) <= 10
 
 
+def test_a_worker_does_not_merge_the_vocabulary_again(spark, codec, monkeypatch):
+    shared = D11.share(spark, TOKENS, PATTERN).value
+    assert shared["halves"] == codec.halves
+    monkeypatch.setattr(D11.Codec, "merge", None)
+    assert D11.Codec(TOKENS, shared["pattern"], shared["halves"]).encode("a worded text").tolist() == LIBRARY.encode_ordinary("a worded text")
+
+
+def test_strings_made_of_kept_ones_are_not_kept(codec):
+    small = D11.Codec(TOKENS, D11.library_pattern(PATTERN), codec.halves)
+    text = "First second, third.\nFourth second. don't it's"
+    assert small.encode(text).tolist() == LIBRARY.encode_ordinary(text)
+    assert set(small.after_space) == {"second", "don't", "it's"}
+
+
 def _digest(doc, text):
     ids = LIBRARY.encode_ordinary(text or "")
     return doc, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
