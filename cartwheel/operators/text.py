@@ -33,11 +33,36 @@ def segment_documents(docs: DataFrame, text: str = "text", sep: str = "/", min_l
     return docs.select("doc_id", segment(text, sep, min_len).alias("seg"))
 
 
+def term_counts(words: Column) -> Column:
+    """An array of (term, tf) from an array of words: the words are sorted, a term is a run of equal ones."""
+    def runs(s):
+        starts = F.when(F.size(s) > 0, F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: ~F.get(s, i).eqNullSafe(F.get(s, i - 1))))
+        return _bound(starts, lambda at: F.transform(at, lambda i, k: F.struct(
+            F.get(s, i).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).cast("bigint").alias("tf"))))
+    return _bound(F.sort_array(words), runs)
+
+
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def term_frequency(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, term, tf) - raw counts, not binary. Texts are brought together by doc_id, which
-    moves fewer bytes than their terms do."""
-    t = docs.select("doc_id", F.col(text).alias("text")).repartition("doc_id").select("doc_id", F.explode(tokens("text")).alias("term"))
-    return t.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    """(doc_id, term, tf) - raw counts, not binary. Terms are counted within their row, so no
+    text is moved; only the terms of a doc_id with several rows (found first, by ids alone; null is
+    one id) are brought together."""
+    t = docs.select("doc_id", F.col(text).alias("text"))
+    again = t.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("again"))
+
+    def counted(rows):
+        return rows.select("doc_id", F.explode(term_counts(tokens("text"))).alias("t")).select("doc_id", "t.term", "t.tf")
+
+    if again.isEmpty():
+        return counted(t)
+    again = sent_if_small(cut_lineage(again, "doc_ids_again"), SENT_DOCS)
+    same = F.col("doc_id").eqNullSafe(F.col("again"))
+    together = counted(t.join(again, same, "left_semi")).groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
+    return counted(t.join(again, same, "left_anti")).unionByName(together)
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:
@@ -54,15 +79,28 @@ def idf_table(tf: DataFrame, n_docs: Column, min_doc_freq: int = 1) -> DataFrame
 
 def tf_idf(docs: DataFrame, text: str = "text", min_doc_freq: int = 1) -> DataFrame:
     """(doc_id, term, tf, idf, tfidf). N counts every document, including
-    ones with no tokens, as the vectorised IDF does. The idf table has one
-    row per term; it is written and joins the term table on term, by broadcast
-    up to ``SENT_TERMS`` terms and by a shuffle beyond (the vocabulary
-    grows with the corpus, so it is not broadcast blindly)."""
-    tf = term_frequency(docs, text)
+    ones with no tokens, as the vectorised IDF does. The counts are written, so texts are
+    cut once. The idf table has one row per term; it is written and joins the counts on term: by
+    broadcast for the terms in most documents, at most ``SENT_TERMS``, and by a shuffle for the
+    others (the vocabulary grows with the corpus, so it is not broadcast blindly), which
+    moves the few rows of rare terms only."""
+    tf = cut_lineage(term_frequency(docs, text), "term_counts")
     n = docs.agg(F.count(F.lit(1))).scalar()
-    idf = cut_lineage(idf_table(tf, n, min_doc_freq).select("term", "idf"), "idf")
-    return (tf.join(sent_if_small(idf, SENT_TERMS), "term")
-            .select("doc_id", "term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf")))
+    idf = cut_lineage(idf_table(tf, n, min_doc_freq), "idf")
+    least = frequent_from(idf, SENT_TERMS)
+    common = F.broadcast(idf.filter(F.col("df") >= least))
+    joined = tf.join(common, "term")
+    if least > 1:
+        rare = tf.join(F.broadcast(idf.filter(F.col("df") >= least).select("term")), "term", "left_anti")
+        joined = joined.unionByName(rare.join(idf.filter(F.col("df") < least), "term").select(*joined.columns))
+    return joined.select("doc_id", "term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+
+
+def frequent_from(df: DataFrame, most: int) -> int:
+    """The least power of two d such that at most ``most`` rows of ``df`` have a ``df`` of d or more."""
+    steps = [1 << k for k in range(63)]
+    counts = df.agg(*[F.count_if(F.col("df") >= d).alias(str(d)) for d in steps]).first()
+    return next(d for d in steps if counts[str(d)] <= most)
 
 
 def label_index(labels: DataFrame, label: str = "label") -> DataFrame:

@@ -208,9 +208,13 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         if name in SPREAD:
             # Text rows are costly per byte downstream (tokenising); adaptive
             # execution would coalesce a small corpus into one file, i.e. one
-            # scan task. At least a file a core, and more as the corpus grows.
-            files = max(df.count() // DOCS_A_FILE, spark.sparkContext.defaultParallelism)
-            df = df.repartition(int(files))
+            # scan task. At least a file a core, and more as the corpus grows. Rows that
+            # already lie in parts of about that size are not moved.
+            parts = df.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
+            total, largest = parts[0] or 0, parts[1] or 0
+            files = max(total // DOCS_A_FILE, spark.sparkContext.defaultParallelism)
+            if largest * files > 2 * total:
+                df = df.repartition(int(files))
         df.write.mode("overwrite").parquet(path)
         _STORED[key] = path
     return spark.read.parquet(path)
