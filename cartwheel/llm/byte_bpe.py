@@ -51,7 +51,7 @@ from .common import Memo, ship, slices
 
 ship(__name__)
 
-MEMO = 80_000      # strings, of some 200 bytes each; a worker has four such tables
+MEMO = 55_000      # strings, of some 200 bytes each; a worker has four such tables
 PAIRS = 200_000    # pairs, of some 100 bytes each; one table
 SHORT = 64         # characters of a string whose ids are kept
 BLOCK = 1 << 20    # characters of a text that are cut into pieces at a time

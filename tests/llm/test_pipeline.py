@@ -76,7 +76,7 @@ def test_verdicts_take_effect_by_row(spark):
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert set(SQL) <= set(QUERIES)
 
 
