@@ -12,6 +12,7 @@ the last token taken gives way to a shorter one. What stands left of a place is
 split of these bytes, so it is one and the same whenever the place is reached; a place dies once
 and each token at it is tried once. A token's length is bounded by the vocabulary, so time is
 linear in the piece, whatever it holds (merging it directly takes the square of its length).
+Short pieces that are not known take these steps together, as arrays (``Batch``); long ones one by one.
 
 Pieces are the matches of a pattern. The regex module and the tiktoken library know different
 Unicode versions. ``library_pattern`` asks the library which code points it counts to ``\p{L}`` and
@@ -23,9 +24,11 @@ before a character that is no white space always starts a piece, so texts are fi
 Scale: no shuffle. The vocabulary is broadcast with the two tokens that each is merged from, so that
 a worker need not merge them again (its size is the file's). A worker keeps the ids of short strings,
 in two generations of at most ``MEMO`` each, of which the older is dropped when the newer is full,
-and the answers for at most ``PAIRS`` pairs; this changes speed only. Strings that are put together
-from kept ones (a word and a mark, two words around a line break) are not kept themselves. A piece
-takes some ten bytes of memory a byte while it is split, a text's ids four bytes each.
+and the answers for at most ``PAIRS`` pairs and for ``SLOTS`` in arrays; this changes speed only. Strings
+that are put together from kept ones (a word and a mark, two words around a line break) are not kept
+themselves. Each different string of some ``TOGETHER`` characters of texts is looked up once. A piece
+takes some ten bytes of memory a byte while it is split alone and some 200 with others, a text's ids
+four bytes each.
 
 Defined cases: null text counts as empty (no ids); null ids decode to no bytes; ids outside of
 the vocabulary are an error; strings of special tokens inside texts are ordinary text; repeated
@@ -40,7 +43,8 @@ import base64
 import re
 import sys
 from array import array
-from itertools import islice
+from collections.abc import Iterator
+from itertools import chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +57,11 @@ ship(__name__)
 
 MEMO = 55_000      # strings, of some 200 bytes each; a worker has four such tables
 PAIRS = 200_000    # pairs, of some 100 bytes each; one table
-SHORT = 64         # characters of a string whose ids are kept
+SLOTS = 1 << 19    # pairs' answers in arrays, of nine bytes each
+SHORT = 64         # characters of a string whose ids are kept; bytes of a piece that is split with others
+FEW = 40           # pieces that are not worth arrays
 BLOCK = 1 << 20    # characters of a text that are cut into pieces at a time
+TOGETHER = 1 << 19     # characters of texts whose strings are looked up together
 _CUT = re.compile(r" (?=\S)")
 _WIDE = re.compile(r" \s")
 _MARKS = frozenset(",.;:!?)")     # neither letters, numbers nor white space, and in no contraction
@@ -107,12 +114,144 @@ class _Known(dict):
         ids = self.older.get(string)
         if ids is None:
             ids = self.make(string)
-        if len(string) <= SHORT and self.keeping(string):
+        self.keep({string: ids})
+        return ids
+
+    def keep(self, made: dict[str, bytes]) -> None:
+        kept = [string for string in made if len(string) <= SHORT and self.keeping(string)]
+        while kept:
             if len(self) >= MEMO:
                 self.older = dict(self)
                 self.clear()
-            self[string] = ids
-        return ids
+            now, kept = kept[:MEMO - len(self)], kept[MEMO - len(self):]
+            self.update(zip(now, map(made.__getitem__, now)))
+
+    def table(self, strings: dict[str, None], make_all) -> dict[str, bytes]:
+        """The ids of each of ``strings``; ``make_all`` gives those of the ones that are not kept."""
+        table = dict(zip(strings, map(self.get, strings)))
+        missing = [string for string, ids in table.items() if ids is None]
+        older = dict(zip(missing, map(self.older.get, missing)))
+        made = make_all([string for string, ids in older.items() if ids is None])
+        older.update(made)
+        self.keep(older)
+        table.update(older)
+        return table
+
+
+def _slots(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Places of whole numbers in a table of 2 ** ``bits``."""
+    return ((keys.astype("uint64") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype("int64")
+
+
+class Batch:
+    """``Codec.split`` for many short pieces, a step of all of them at a time.
+
+    The trie is a hash table from a node and the next byte to the next node, with linear probing; 256
+    stands for the end of a piece and leads nowhere."""
+
+    def __init__(self, codec: Codec):
+        self.codec, self.size, self.shorter = codec, np.array(codec.size), np.array(codec.shorter)
+        node = {prefix: i for i, prefix in enumerate(codec.best)}
+        self.longest = np.array(list(codec.best.values()))
+        self.bits = max(8, (4 * len(node)).bit_length())
+        self.keys, self.to = np.full(1 << self.bits, -1), np.full(1 << self.bits, -1, "int32")
+        keys = np.array([node[prefix[:-1]] * 257 + ord(prefix[-1]) for prefix in node if len(prefix) > 1], "int64")
+        to = np.array([i for prefix, i in node.items() if len(prefix) > 1], "int64")
+        slots = _slots(keys, self.bits)
+        while len(keys):
+            free = self.keys[slots] < 0
+            self.keys[slots[free]] = keys[free]
+            won = self.keys[slots] == keys
+            self.to[slots[won]] = to[won]
+            keys, to, slots = keys[~won], to[~won], (slots[~won] + 1) % len(self.keys)
+        self.first = np.array([node[chr(byte)] for byte in range(256)])
+        self.second = self.child(np.repeat(self.first, 257), np.tile(np.arange(257), 256))      # node after two bytes
+        self.pairs, self.answers = np.full(SLOTS, -1), np.zeros(SLOTS, bool)
+
+    def child(self, nodes: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """The next nodes; -1 where there is none."""
+        keys = nodes * 257 + letters
+        slots = _slots(keys, self.bits)
+        found = self.keys[slots]
+        out = np.where(found == keys, self.to[slots], -1).astype("int64")
+        rest = np.flatnonzero((found != keys) & (found >= 0))
+        while len(rest):
+            slots[rest] = (slots[rest] + 1) % len(self.keys)
+            found = self.keys[slots[rest]]
+            same = found == keys[rest]
+            out[rest[same]] = self.to[slots[rest[same]]]
+            rest = rest[~same & (found >= 0)]
+        return out
+
+    def fits(self, pairs: np.ndarray) -> np.ndarray:
+        slots = _slots(pairs, SLOTS.bit_length() - 1)
+        out = self.answers[slots]
+        unknown = np.flatnonzero(self.pairs[slots] != pairs)
+        if len(unknown):
+            some, where = np.unique(pairs[unknown], return_inverse=True)
+            answers = np.fromiter(map(self.codec._fits, some.tolist()), bool, len(some))
+            out[unknown] = answers[where]
+            # of pairs that share a slot one is written, in both tables
+            slots, one = np.unique(_slots(some, SLOTS.bit_length() - 1), return_index=True)
+            self.pairs[slots], self.answers[slots] = some[one], answers[one]
+        return out
+
+    def longest_at(self, letters: np.ndarray) -> np.ndarray:
+        """The longest token at each place; at the end of a piece -1."""
+        at = np.flatnonzero(letters < 256)
+        out = np.full(len(letters), -1)
+        out[at] = self.longest[self.first[letters[at]]]
+        node, far = self.second[letters[at] * 257 + letters[at + 1]], 2
+        while True:
+            on = node >= 0
+            at, node = at[on], node[on]
+            if not len(at):
+                return out
+            out[at] = self.longest[node]
+            node = self.child(node, letters[at + far])
+            far += 1
+
+    def split(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of pieces of at least one byte, as bytes."""
+        size, shorter, n_tokens = self.size, self.shorter, len(self.codec.tokens)
+        ends = np.cumsum([len(piece) + 1 for piece in pieces]) - 1
+        letters = np.frombuffer(b"\0".join(pieces) + b"\0", "uint8").astype("int64")
+        letters[ends] = 256
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        best = self.longest_at(letters)
+        stack, stops = np.zeros(len(letters), "int32"), starts.copy()       # a piece's tokens stand from its start on
+        dead = np.zeros(len(letters), bool)
+        piece, first, at, top = np.arange(len(pieces)), starts, starts.copy(), starts.copy()
+        token, last = best[at], np.full(len(pieces), -1)
+        while len(piece) > FEW:
+            out = np.flatnonzero(token < 0)
+            if len(out):        # the place is dead
+                dead[at[out]] = True
+                top[out] -= 1
+                gone = stack[top[out]]
+                at[out] -= size[gone]
+                last[out] = np.where(top[out] > first[out], stack[top[out] - 1], -1)
+                token[out] = shorter[gone]
+            on = np.flatnonzero(token >= 0)
+            to = at[on] + size[token[on]]
+            good = ~dead[to]
+            ask = np.flatnonzero(good & (last[on] >= 0))
+            good[ask] = self.fits(last[on[ask]] * n_tokens + token[on[ask]])
+            bad, on, to = on[~good], on[good], to[good]
+            token[bad] = shorter[token[bad]]
+            last[on] = stack[top[on]] = token[on]
+            top[on] += 1
+            at[on] = to
+            token[on] = best[to]
+            over = letters[at] == 256
+            if over.any():
+                stops[piece[over]] = top[over]
+                piece, first, at, top, token, last = (x[~over] for x in (piece, first, at, top, token, last))
+        ids = stack.tobytes()
+        made = [ids[a:b] for a, b in zip((starts * 4).tolist(), (stops * 4).tolist())]
+        for i in piece.tolist():
+            made[i] = self.codec.split(pieces[i]).tobytes()
+        return made
 
 
 class Codec:
@@ -141,6 +280,7 @@ class Codec:
         self.fits = Memo(self._fits, PAIRS)
         self.known = _Known(lambda piece: self.split(piece.encode()).tobytes())
         self.after_space = _Known(self._after_space, _one_word)
+        self.batch: Batch | None = None
 
     def merge(self, word: bytes, below: int | None = None) -> list[bytes]:
         """Join the adjacent pair of lowest rank, leftmost first, as long as one has a rank (``below`` the given one)."""
@@ -211,9 +351,13 @@ class Codec:
                 token = shorter[token]
         return array("i", out)
 
+    def _pieces(self, text: str):
+        """The pattern that cuts the text as the library does."""
+        return self.pieces if text.isascii() or self.odd.isdisjoint(text) else self.narrow
+
     def _cut(self, text: str) -> bytes:
         """The ids of a text by its pieces."""
-        known, pieces = self.known.__getitem__, self.pieces if text.isascii() or self.odd.isdisjoint(text) else self.narrow
+        known, pieces = self.known.__getitem__, self._pieces(text)
         if len(text) <= BLOCK:
             return b"".join(map(known, pieces.findall(text)))
         found, blocks = (m[0] for m in pieces.finditer(text)), []
@@ -230,18 +374,80 @@ class Codec:
             return self.after_space[word] + self.known[mark]
         return self._cut(" " + rest)
 
-    def encode(self, text: str) -> np.ndarray:
-        blocks, at = [], 0
+    def split_all(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of each of some pieces, as bytes."""
+        coded = [piece.encode() for piece in pieces]
+        short = [len(piece) <= SHORT and piece not in self.rank for piece in coded]
+        alone = coded if sum(short) <= FEW else [piece for piece, with_others in zip(coded, short) if not with_others]
+        if len(alone) == len(coded):
+            return dict(zip(pieces, [self.split(piece).tobytes() for piece in coded]))
+        if self.batch is None:
+            self.batch = Batch(self)
+        together = self.batch.split(list(compress(coded, short)))
+        if not alone:
+            return dict(zip(pieces, together))
+        made = dict(zip(compress(pieces, short), together))
+        made.update((piece.decode(), self.split(piece).tobytes()) for piece in alone)
+        return made
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of a space and each word of letters."""
+        pieces = [" " + word for word in words]
+        return dict(zip(words, map(self.split_all(pieces).__getitem__, pieces)))
+
+    def _all_after_space(self, strings: list[str]) -> dict[str, bytes]:
+        """``_after_space`` of each."""
+        made = self._words([rest for rest in strings if rest.isalpha()])
+        others = [rest for rest in strings if rest not in made]
+        marked = [rest for rest in others if rest[-1:] in _MARKS and rest[:-1].isalpha()]
+        new = [word for word in dict.fromkeys([rest[:-1] for rest in marked]) if word not in made]
+        words = self.after_space.table(dict.fromkeys(new), self._words)
+        for rest in marked:
+            made[rest] = (made.get(rest[:-1]) or words[rest[:-1]]) + self.known[rest[-1]]
+        cut = {rest: self._pieces(" " + rest).findall(" " + rest) for rest in others if rest not in made and len(rest) < BLOCK}
+        ids = self.known.table(dict.fromkeys(chain.from_iterable(cut.values())), self.split_all).__getitem__
+        for rest in others:
+            if rest not in made:
+                made[rest] = b"".join(map(ids, cut[rest])) if rest in cut else self._cut(" " + rest)
+        return made
+
+    def _parts(self, text: str) -> Iterator[tuple[str | None, list[str]]]:
+        """The text's beginning, if it is in this part, and strings behind a space each."""
+        at = 0
         while at < len(text):
             end = len(text)
             if end - at > BLOCK and (cut := _CUT.search(text, at + BLOCK)):
                 end = cut.start()
             part = text[at:end]
             first, *rest = _CUT.split(part) if _WIDE.search(part) else part.split(" ")
-            blocks.append(self._cut(first) if at == 0 else self.after_space[first])
-            blocks.append(b"".join(map(self.after_space.__getitem__, rest)))
+            yield (first, rest) if at == 0 else (None, [first, *rest])
             at = end + 1
-        return np.frombuffer(b"".join(blocks), "int32")
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        blocks: list[list[bytes]] = [[] for _ in texts]
+        waiting, size = [], 0
+
+        def finish():
+            found = dict.fromkeys(chain.from_iterable(rest for _, rest in waiting))
+            ids = self.after_space.table(found, self._all_after_space).__getitem__
+            for i, rest in waiting:
+                blocks[i].append(b"".join(map(ids, rest)))
+
+        for i, text in enumerate(texts):
+            for first, rest in self._parts(text):
+                if first is not None:
+                    blocks[i].append(self._cut(first))
+                waiting.append((i, rest))
+                size += sum(map(len, rest)) + len(rest)
+                if size >= TOGETHER:
+                    finish()
+                    waiting, size = [], 0
+        finish()
+        return [np.frombuffer(b"".join(b), "int32") for b in blocks]
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encode_all([text])[0]
 
 
 def join(tokens: list[bytes], ids: list[int]) -> bytes:
@@ -251,6 +457,24 @@ def join(tokens: list[bytes], ids: list[int]) -> bytes:
     return b"".join(map(tokens.__getitem__, ids))
 
 
+def join_all(vocabulary: pa.Array, ids: pa.Array, ends: np.ndarray) -> pa.Array:
+    """The bytes of the ids between each two of ``ends``, of which the first is 0; a slice of rows at once."""
+    if len(ids) and ids.to_numpy().min() < 0:
+        raise ValueError(f"no such id: {ids.to_numpy().min()}")
+    found = vocabulary.take(ids)
+    _, offsets, values = found.buffers()
+    ends = np.frombuffer(offsets, "int32")[found.offset + ends] if len(ids) else np.zeros(len(ends), "int32")
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype("int32").tobytes()), values])
+
+
+def _vocabulary(shared) -> pa.Array:
+    """The tokens as an array, kept with the broadcast."""
+    kept = shared.value
+    if "vocabulary" not in kept:
+        kept["vocabulary"] = pa.array(kept["tokens"], pa.binary())
+    return kept["vocabulary"]
+
+
 def _codec(shared) -> Codec:
     """The worker's codec, kept with the broadcast."""
     kept = shared.value
@@ -287,7 +511,7 @@ def encode(docs: DataFrame, shared, text: str = "text", ids: str = "ids") -> Dat
     """``docs`` with the column ``ids`` (array<int>) of the texts' token ids."""
     def make(texts):
         codec = _codec(shared)
-        coded = [codec.encode(t or "") for t in texts.to_pylist()]
+        coded = codec.encode_all([t or "" for t in texts.to_pylist()])
         ends = np.cumsum([0, *map(len, coded)]).astype("int32")
         values = np.concatenate([np.empty(0, "int32"), *coded])
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
@@ -298,9 +522,8 @@ def encode(docs: DataFrame, shared, text: str = "text", ids: str = "ids") -> Dat
 def decode(coded: DataFrame, shared, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``coded`` with the column ``decoded`` (binary) of the bytes that the ids stand for."""
     def make(lists):
-        tokens, ids = shared.value["tokens"], lists.flatten().to_numpy().tolist()
-        ends = np.cumsum(np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False))).astype("int64").tolist()
-        return pa.array([join(tokens, ids[a:b]) for a, b in zip([0, *ends], ends)], pa.binary())
+        ids, lengths = lists.flatten(), np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False))
+        return join_all(_vocabulary(shared), ids, np.cumsum([0, *lengths]).astype("int64"))
 
     return _mapped(coded, F.col(f"`{ids}`"), decoded, "binary", make)
 

@@ -108,3 +108,40 @@ def test_ranks_are_checked(tmp_path):
         D11.read_ranks(str(bad))
     with pytest.raises(ValueError, match="no such id"):
         D11.join(TOKENS, [-1])
+
+
+def test_pieces_split_together_are_those_split_alone(codec, monkeypatch):
+    """op11_byte_bpe: unknown pieces are split as arrays; one by one only where they are few or long."""
+    rng = random.Random(7)
+    some = ["".join(rng.choices("abcdeinorst", k=rng.randrange(1, 40))) for _ in range(3_000)]
+    some += ["".join(rng.choices("aéñя梦½ \n'.,-\x00\x85", k=rng.randrange(1, 16))) for _ in range(3_000)]
+    pieces = list(dict.fromkeys(some))
+    want = {piece: codec.split(piece.encode()).tobytes() for piece in pieces}
+    for slots in (1 << 19, 4):
+        monkeypatch.setattr(D11, "SLOTS", slots)
+        small = D11.Codec(TOKENS, D11.library_pattern(PATTERN), codec.halves)
+        assert small.split_all(pieces) == want
+    alone = []
+    small.split = lambda piece: alone.append(piece) or codec.split(piece)
+    assert small.split_all(pieces) == want and 10 * len(alone) < len(pieces)
+
+
+def test_texts_are_coded_together(codec, monkeypatch):
+    rng = random.Random(8)
+    parts = ["first", "second,", "tiers.", "a1,", "don't", "mañana", "mañana!", "x.\ny", "", "梦想", "1½", "?,", " ", "\t", "z" * 70, "q" * 2_000]
+    texts = ["", *[" ".join(rng.choices(parts, k=rng.randrange(80))) for _ in range(300)]]
+    want = [LIBRARY.encode_ordinary(text) for text in texts]
+    for together, block, memo in ((1 << 19, 1 << 20, 55_000), (300, 1_000, 10), (1, 50, 3)):
+        for name, value in (("TOGETHER", together), ("BLOCK", block), ("MEMO", memo)):
+            monkeypatch.setattr(D11, name, value)
+        assert [ids.tolist() for ids in D11.Codec(TOKENS, D11.library_pattern(PATTERN), codec.halves).encode_all(texts)] == want
+
+
+def test_decoded_rows_are_the_ids_bytes(spark):
+    rows = [(1, [5, 300, 40_000]), (2, None), (3, []), (4, [7])]
+    shared = D11.share(spark, TOKENS, PATTERN)
+    ids = spark.createDataFrame(rows, "n long, ids array<int>").coalesce(1)
+    assert {r["n"]: bytes(r["decoded"]) for r in D11.decode(ids, shared).collect()} == {n: D11.join(TOKENS, i or []) for n, i in rows}
+    for wrong in (-1, len(TOKENS)):
+        with pytest.raises(Exception, match="no such id|out of bounds"):
+            D11.decode(spark.createDataFrame([(1, [wrong])], "n long, ids array<int>"), shared).collect()
