@@ -84,7 +84,7 @@ def q_corpus_ingest(spark, sf):
     root = scratch_path(spark, "corpus")
     p = load_table(spark, sf, "pages").select(
         "page_id", "html", F.regexp_extract("url", r"^[a-z]+://([^/:?#]+)", 1).alias("host"))
-    p.repartition("page_id").write.mode("overwrite").partitionBy("host", "page_id").text(root)
+    SK.save_files(p, root, ["host", "page_id"], "page_id")
     c = read_corpus(spark, root)
     return c.select(F.regexp_extract("path", r"page_id=(\d+)", 1).cast("bigint").alias("page_id"),
                     "sentence", "label", "segs")

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 HIVE_NULL = "\\N"
 # Fixed value: the folder name of the null partition value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+FILES_A_TASK = 1_000
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
@@ -118,6 +120,17 @@ def save_text(df: DataFrame, path: str, line) -> None:
     df.select(line.alias("value")).write.mode("overwrite").text(path)
 
 
+def save_files(df: DataFrame, path: str, folders: list[str], key: str) -> None:
+    """One text file per row, below a folder for each of ``folders``; rows of one ``key`` share a task.
+
+    Creating a file costs far more than its bytes, so tasks are dealt by rows, ``FILES_A_TASK`` each and at
+    least one a core, and adaptive execution may not merge them by size. On a ``file:`` folder each file would
+    also get a checksum file, and permissions for both by a process of its own: ``PLAIN_FILES`` leaves the
+    checksum files out. Other storage is written as ever."""
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, df.count() // FILES_A_TASK)
+    df.repartition(tasks, key).write.mode("overwrite").options(**PLAIN_FILES).partitionBy(*folders).text(path)
+
+
 def save_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
     """Warehouse text table: delimited, no header, NULL as \\N. Empty strings
     are written quoted (``""``) - the reader turns an unquoted empty field
