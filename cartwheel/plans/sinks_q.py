@@ -17,7 +17,8 @@ from ..sinks import keyed as KV
 from ..sinks import snapshots as SN
 from ..sinks import tables as SK
 from ..sources import fixtures as FXS
-from ..sources.corpus import LABEL_RULES, UNKNOWN_LABEL, read_corpus
+from ..sources import corpus as CP
+from ..sources.corpus import LABEL_RULES, UNKNOWN_LABEL
 from ..sources.tables import delimited_load, external_table, load_table, text_lines
 from .registry import query
 
@@ -84,8 +85,20 @@ def q_corpus_ingest(spark, sf):
     root = scratch_path(spark, "corpus")
     p = load_table(spark, sf, "pages").select(
         "page_id", "html", F.regexp_extract("url", r"^[a-z]+://([^/:?#]+)", 1).alias("host"))
-    SK.save_files(p, root, ["host", "page_id"], "page_id")
-    c = read_corpus(spark, root)
+    passes = p.count() // CP.FILES_A_PASS + 1
+    if passes == 1:
+        return _ingested(spark, p, f"{root}/pages")
+    # Beyond that many files, pages are written and ingested in passes, dealt by id, so that the
+    # driver never holds the names of all files.
+    for i in range(passes):
+        part = p.filter(F.pmod(F.xxhash64("page_id"), F.lit(passes)) == i)
+        _ingested(spark, part, f"{root}/pages{i}").write.mode("append").parquet(f"{root}/ingested")
+    return spark.read.parquet(f"{root}/ingested")
+
+
+def _ingested(spark, pages, root):
+    SK.save_files(pages, root, ["host", "page_id"], "page_id")
+    c = CP.read_corpus(spark, root)
     return c.select(F.regexp_extract("path", r"page_id=(\d+)", 1).cast("bigint").alias("page_id"),
                     "sentence", "label", "segs")
 

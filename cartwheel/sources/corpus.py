@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 # in the file's path wins.
 LABEL_RULES = ["business", "yule", "it", "sports", "auto"]
 UNKNOWN_LABEL = "unknown"
+FILES_A_PASS = 100_000      # files that the driver lists, or hears of from the tasks that wrote them, at a time
 
 
 def label_from_path(path: Column) -> Column:
@@ -26,7 +27,7 @@ def read_corpus(spark: SparkSession, root: str) -> DataFrame:
     content without line breaks. Labels are matched on the path relative to
     ``root`` so the storage prefix cannot match a rule. Files are read by
     many tasks in parallel; no listing happens on the driver beyond Spark's
-    own file index."""
+    own file index, which keeps some hundred bytes a file there (``FILES_A_PASS``)."""
     # wholetext must be the text() argument: its default False overrides an option.
     raw = (spark.read.option("recursiveFileLookup", True).text(root, wholetext=True)
            .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content")))
